@@ -57,6 +57,7 @@ def to_messages(records: DataFrame, topic: str) -> DataFrame:
 
 def unwrap(value: Column, topic: str) -> Column:
     """The record inside a message: its payload if that is an object, else the message itself."""
-    wrapped = F.from_json(value, "payload " + schemas.payload_struct(topic))["payload"]
-    bare = F.from_json(value, schemas.payload_ddl(topic))
-    return F.when(F.get_json_object(value, "$.payload").startswith("{"), wrapped).otherwise(bare)
+    fields = schemas.payload_ddl(topic)
+    message = F.from_json(value, f"payload struct<{fields}>, {fields}")
+    bare = F.struct(*[message[field].alias(field) for field, _, _, _ in schemas.PAYLOADS[topic]])
+    return F.coalesce(message["payload"], bare)

@@ -84,7 +84,7 @@ def history(changes: DataFrame, key: str, max_rows: int = MAX_ROWS) -> DataFrame
         "_key", "_from", F.lead("_starts").over(W.partitionBy("_key").orderBy("_from")).alias("_after_slice")
     )
     joined = local.join(
-        follows, local[key].eqNullSafe(follows["_key"]) & (local[SLICE] == follows["_from"]), "left"
+        F.broadcast(follows), local[key].eqNullSafe(follows["_key"]) & (local[SLICE] == follows["_from"]), "left"
     )
     return (
         joined.filter("op <> 'd'")

@@ -11,29 +11,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_ROWS = 1_000_000
+MAX_HOT_KEYS = 10_000
 SLICE = "_slice"
 
 
 def slice_hot_keys(df: DataFrame, key: str, sequence: str, max_rows: int = MAX_ROWS) -> DataFrame:
     """Add `_slice`: null for ordinary keys, else a number that rises with `sequence`.
 
-    `sequence` is a whole-number column that agrees with the window's order. The
-    counting pass reads two columns and combines before its shuffle; at most
-    rows/max_rows keys come out of it. When there are none the adaptive planner
-    removes the join.
+    `sequence` is a whole-number column that agrees with the window's order.
+    Hot are the most frequent keys with more than `max_rows` rows, up to
+    MAX_HOT_KEYS of them; any other key owns less than one row in MAX_HOT_KEYS.
+    That bounds the hot keys, and their slices to one per `max_rows` rows, so
+    both may be broadcast and the table itself is not shuffled here. Counting
+    reads two columns and combines before its shuffle.
     """
     hot = (
         df.groupBy(F.col(key).alias("_key"))
         .agg(F.count("*").alias("_n"), F.min(sequence).alias("_low"), F.max(sequence).alias("_high"))
         .filter(F.col("_n") > max_rows)
-        .select(
-            "_key",
-            "_low",
-            F.expr(f"(_high - _low) div (1 + _n div {max_rows}) + 1").alias("_width"),
-        )
+        .orderBy(F.col("_n").desc(), "_key")
+        .limit(MAX_HOT_KEYS)
+        .select("_key", "_low", F.expr(f"(_high - _low) div (1 + _n div {max_rows}) + 1").alias("_width"))
     )
     return (
-        df.join(hot, F.col(key).eqNullSafe(F.col("_key")), "left")
+        df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_key")), "left")
         .withColumn(SLICE, F.expr(f"({sequence} - _low) div _width"))
         .drop("_key", "_low", "_width")
     )

@@ -44,7 +44,7 @@ def running_totals(
     )
     carried = _carry(rows, key, sums)
     joined = local.join(
-        carried,
+        F.broadcast(carried),  # one row per slice of a hot key, see slice_hot_keys
         local[key].eqNullSafe(carried["_key"]) & (local[SLICE] == carried["_from"]),
         "left",
     )

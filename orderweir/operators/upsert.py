@@ -129,12 +129,13 @@ class KeyedTable:
         self.schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
     def _bucketed(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("_bucket", F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
+        """Add the bucket number: the number Spark's hash partitioning on the key gives as well."""
+        return df.withColumn("_bucket", F.pmod(F.hash(*self.keys), F.lit(self.buckets)))
 
     def _write(self, df: DataFrame) -> None:
+        """Write rows that are hash partitioned by key: every task holds whole buckets."""
         (
             self._bucketed(df)
-            .repartition(self.buckets, "_bucket")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("_bucket")
@@ -144,7 +145,7 @@ class KeyedTable:
     def create(self, rows: DataFrame) -> KeyedTable:
         """Write the first version; `rows` must be unique per key."""
         self.schema = rows.schema
-        self._write(rows.withColumn("_removed", F.lit(False)))
+        self._write(rows.withColumn("_removed", F.lit(False)).repartition(self.buckets, *self.keys))
         return self
 
     def _stored(self) -> DataFrame:
@@ -179,7 +180,10 @@ class KeyedTable:
             for rule in ("update", "insert"):
                 if rules.get(rule) is not None:
                     rules[rule] = [*rules[rule], "_removed"]
-            self._write(merged(stored, batch.drop("_bucket"), self.keys, **rules))
+            # Partitioned alike, the two sides join and are written without another shuffle.
+            old = stored.repartition(self.buckets, *self.keys)
+            new = batch.drop("_bucket").repartition(self.buckets, *self.keys)
+            self._write(merged(old, new, self.keys, **rules))
         finally:
             batch.unpersist()
         return self

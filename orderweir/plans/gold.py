@@ -12,35 +12,31 @@ from orderweir.operators.latest import latest_per_key
 def fact_rollup(fact: DataFrame) -> DataFrame:
     """Fact figures per customer.
 
-    Lines are first brought to one row per customer, order and product; both
-    distinct counts then work on that smaller frame, and a customer with very
-    many lines is spread over all tasks until the last, combined step.
+    For the two distinct counts Spark first groups by (customer, order) and
+    (customer, product), so a customer with very many lines is spread over all
+    tasks until the last, already combined step. The largest month name is found
+    apart: a text maximum would turn the whole aggregate into a sorting one.
     """
-    fine = fact.groupBy("customer_id", "order_id", "product_id").agg(
-        F.sum("line_total").alias("amount"),
-        F.count("*").alias("lines"),
-        F.max("order_timestamp").alias("at"),
-        F.max("date_key").alias("date_key"),
-        F.max("year").alias("year"),
-        F.max("quarter").alias("quarter"),
-        F.max("month").alias("month"),
-        F.max("month_name").alias("month_name"),
-        F.max(F.coalesce("is_weekend", F.lit(False))).alias("weekend"),
+    names = (
+        fact.groupBy(F.col("customer_id").alias("n_customer"), "month_name")
+        .agg(F.count("*").alias("lines"))
+        .groupBy("n_customer")
+        .agg(F.max("month_name").alias("last_order_month_name"))
     )
-    return fine.groupBy("customer_id").agg(
-        F.sum("amount").cast(MONEY).alias("recomputed_total_from_line_items"),
-        F.sum("lines").alias("total_line_items"),
+    figures = fact.groupBy("customer_id").agg(
+        F.sum("line_total").cast(MONEY).alias("recomputed_total_from_line_items"),
+        F.count("*").alias("total_line_items"),
         F.count_distinct("product_id").alias("distinct_products_purchased"),
         F.count_distinct("order_id").alias("observed_orders"),
-        F.max("at").alias("last_order_timestamp"),
+        F.max("order_timestamp").alias("last_order_timestamp"),
         F.max("date_key").alias("last_order_date_key"),
         F.max("year").alias("last_order_year"),
         F.max("quarter").alias("last_order_quarter"),
         F.max("month").alias("last_order_month"),
-        F.max("month_name").alias("last_order_month_name"),
-        F.bool_or("weekend").alias("has_weekend_orders"),
-        F.max("at").alias("last_line_item_timestamp"),
+        F.bool_or(F.coalesce("is_weekend", F.lit(False))).alias("has_weekend_orders"),
+        F.max("order_timestamp").alias("last_line_item_timestamp"),
     )
+    return figures.join(names, F.col("customer_id").eqNullSafe(F.col("n_customer"))).drop("n_customer")
 
 
 def customer_sales_summary(snapshots: DataFrame, customers: DataFrame, rollup: DataFrame) -> DataFrame:
@@ -118,11 +114,8 @@ def customer_sales_summary_by_max(snapshots: DataFrame, orders: DataFrame, lines
         F.max("total_spent").alias("latest_total_spent"),
         F.max("updated_at").alias("projection_updated_at"),
     )
-    observed = (
-        orders.groupBy("customer_id", "order_id")
-        .agg(F.max("order_timestamp").alias("at"))
-        .groupBy(F.col("customer_id").alias("o_customer"))
-        .agg(F.count("order_id").alias("observed_orders"), F.max("at").alias("last_order_timestamp"))
+    observed = orders.groupBy(F.col("customer_id").alias("o_customer")).agg(
+        F.count_distinct("order_id").alias("observed_orders"), F.max("order_timestamp").alias("last_order_timestamp")
     )
     rollup = line_item_rollup(lines).withColumnRenamed("customer_id", "l_customer")
     return (

@@ -21,7 +21,7 @@ from orderweir.plans import bronze, gold
 from orderweir.plans.models import Models
 from orderweir.plans.warehouse import Warehouse, column_inventory, row_counts
 from orderweir.schemas import lakehouse_columns
-from orderweir.session import configure, shared_dir
+from orderweir.session import configure, shared_dir, stored
 from orderweir.sources import changes as change_source
 from orderweir.sources.landing import Landing
 from orderweir.sources.order_events import order_event_json, parse_order_events
@@ -68,9 +68,8 @@ def src_raw_orders(landing: Landing) -> DataFrame:
 
 @query
 def src_cdc_envelope(landing: Landing) -> DataFrame:
-    """Change envelopes from JSON, limited to the captured tables."""
-    decoded = change_source.changes(landing).filter(F.col("source.table").isin("customer360", "product_master"))
-    return decoded.select(
+    """Change envelopes from JSON, limited to the captured topics before anything is parsed."""
+    return change_source.changes(landing).select(
         "entity_id",
         "op",
         "ts_ms",
@@ -106,12 +105,9 @@ def values_seed_orders(landing: Landing) -> DataFrame:
 @query
 def recent_changes_topk(landing: Landing) -> DataFrame:
     """The 100 newest changes since a bound ten days before the last one."""
-    events = landing.source("events")
-    bound = events.agg((F.max("ts") - F.expr("interval 10 days")).alias("since"))
-    recent = events.join(F.broadcast(bound), F.col("ts") >= F.col("since"))
-    return cdc.recent_changes(
-        recent.select("event_id", "user_id", "event_type", "ts", "since"), "ts", F.col("since"), 100, "event_id"
-    ).drop("since")
+    events = landing.source("events").select("event_id", "user_id", "event_type", "ts")
+    since = events.agg(F.max("ts") - F.expr("interval 10 days")).scalar()
+    return cdc.recent_changes(events, "ts", since, 100, "event_id")
 
 
 @query
@@ -324,19 +320,25 @@ def fact_sales_order(landing: Landing) -> DataFrame:
     return Models(landing).fact_sales_order
 
 
+def _models_on_stored_fact(landing: Landing) -> Models:
+    """Gold reads the fact as a stored table, not as a plan that is run once per use."""
+    fact = stored(Models(landing).fact_sales_order, "fact")
+    return Models(landing, {"fact_sales_order": fact})
+
+
 @query
 def fact_rollup(landing: Landing) -> DataFrame:
-    return Models(landing).fact_rollup
+    return _models_on_stored_fact(landing).fact_rollup
 
 
 @query
 def gold_summary(landing: Landing) -> DataFrame:
-    return Models(landing).summary()
+    return _models_on_stored_fact(landing).summary()
 
 
 @query
 def gold_summary_changelog(landing: Landing) -> DataFrame:
-    return Models(landing).summary_changelog()
+    return _models_on_stored_fact(landing).summary_changelog()
 
 
 @query
@@ -400,10 +402,8 @@ def dup_keys(landing: Landing) -> DataFrame:
 @query
 def compact_latest(landing: Landing) -> DataFrame:
     """A state topic rewritten to the last record of each key."""
-    path = shared_dir(landing.spark, "compacted")
     records = landing.source("events").select("user_id", "event_id", "ts", "event_type", "value")
-    latest.latest_per_key(records, ["user_id"], ["event_id"]).hint("rebalance").write.parquet(path)
-    return landing.spark.read.parquet(path)
+    return stored(latest.latest_per_key(records, ["user_id"], ["event_id"]).hint("rebalance"), "compacted")
 
 
 # ---- tables that are merged ------------------------------------------------------------
@@ -419,38 +419,20 @@ def merge_sales_order(landing: Landing) -> DataFrame:
     The table holds closed and pending orders with no total yet; messages bring
     the pending ones again and the open ones for the first time.
     """
-    records = header_records(landing)
-    stored = records.filter("status in ('F', 'P')").withColumn("orderTotal", F.lit(0).cast(c.MONEY))
-    sent = messages(records.filter("status in ('O', 'P')"), "sales_order")
-    table = _table(landing, "merge-sales-order", ["order_id"])
-    table.create(projections.to_lakehouse(messages(stored, "sales_order"), "sales_order"))
+    orders = landing.sales_order_arrivals()
+    stage = bronze.MODELS["stg_sales_order"][1]
+    earlier = orders.filter("status in ('F', 'P')").selectExpr(*stage).withColumn("order_total", F.lit(0).cast(c.MONEY))
+    table = _table(landing, "merge-sales-order", ["order_id"]).create(earlier)
+    sent = messages(header_records(landing).filter("status in ('O', 'P')"), "sales_order")
     batch = projections.to_lakehouse(sent, "sales_order").filter(c.has_key(F.col("order_id")))
     return table.upsert(batch).read()
 
 
-def _typed_lines(landing: Landing) -> DataFrame:
-    return landing.line_arrivals().select(
-        F.col("orderid").alias("order_id"),
-        F.col("ordertimestamp").alias("order_timestamp"),
-        F.col("customerid").alias("customer_id"),
-        F.col("customername").alias("customer_name"),
-        F.col("lineitemid").alias("line_item_id"),
-        "sku",
-        F.col("productname").alias("product_name"),
-        "quantity",
-        F.col("unitprice").alias("unit_price"),
-        F.col("linetotal").alias("line_total"),
-        "currency",
-        "shipped_at",
-        "position",
-        "status",
-    )
-
-
 @query
 def merge_line_item(landing: Landing) -> DataFrame:
     """Two batches with repeated line ids: the later batch wins, and in a batch the later arrival."""
-    lines = _typed_lines(landing)
+    stage = bronze.MODELS["stg_sales_order_line_item"][1]
+    lines = landing.line_arrivals().selectExpr(*stage, "shipped_at", "position", "status")
     columns = lakehouse_columns("sales_order_line_item")
     table = _table(landing, "merge-line-item", ["line_item_id"])
     first = latest.latest_per_key(lines.filter("status = 'F'"), ["line_item_id"], ["shipped_at", "position"])
@@ -461,7 +443,6 @@ def merge_line_item(landing: Landing) -> DataFrame:
 @query
 def merge_customer_sales(landing: Landing) -> DataFrame:
     """Snapshots out of order across batches, guarded by event time."""
-    snapshots = bronze.stage("stg_customer_sales", landing.customer_sales_arrivals())
     snapshots = landing.customer_sales_arrivals().selectExpr(*bronze.MODELS["stg_customer_sales"][1], "arrival", "status")
     table = _table(landing, "merge-customer-sales", ["customer_id"])
     first = latest.latest_per_key(snapshots.filter("status <> 'F'"), ["customer_id"], ["updated_at", "arrival"])
@@ -522,9 +503,7 @@ def sync_customer_sales(landing: Landing) -> DataFrame:
 
 def _ctas(landing: Landing, df: DataFrame, table: str) -> DataFrame:
     """Replace a table with a column subset of another."""
-    path = shared_dir(landing.spark, f"ctas-{table}")
-    df.select(SYNC_COLUMNS[table]).write.mode("overwrite").parquet(path)
-    return landing.spark.read.parquet(path)
+    return stored(df.select(SYNC_COLUMNS[table]), f"ctas-{table}")
 
 
 @query
@@ -675,8 +654,8 @@ def cdc_current_state_with_reads(landing: Landing) -> DataFrame:
 
 @query
 def cdc_scd2(landing: Landing) -> DataFrame:
-    """All versions of every row with their validity."""
-    versions = cdc.history(change_source.changes(landing), "entity_id")
+    """All versions of every row with their validity, from a stored log of decoded changes."""
+    versions = cdc.history(stored(change_source.changes(landing), "change-log"), "entity_id")
     return versions.select(
         "entity_id", "position", F.col("after.value").cast(c.MONEY).alias("value"),
         "valid_from_ms", "valid_to_ms", "is_current",

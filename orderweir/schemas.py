@@ -76,10 +76,6 @@ def payload_ddl(topic: str) -> str:
     return ", ".join(f"{field} {_SPARK_WIRE[wire]}" for field, wire, _, _ in PAYLOADS[topic])
 
 
-def payload_struct(topic: str) -> str:
-    return "struct<" + ", ".join(f"{f}:{_SPARK_WIRE[w]}" for f, w, _, _ in PAYLOADS[topic]) + ">"
-
-
 def lakehouse_columns(topic: str) -> list[str]:
     return [column for _, _, column, _ in PAYLOADS[topic]]
 

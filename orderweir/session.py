@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings that change results or plans; safe to set on a live session.
 RUNTIME_SETTINGS = {
@@ -16,6 +16,10 @@ RUNTIME_SETTINGS = {
     # Hot join keys are split at run time, also when that costs one more shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Stream state on local disk with incremental checkpoints, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 _local_base: str | None = None
@@ -53,3 +57,10 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             _local_base = tempfile.mkdtemp(prefix="orderweir-")
         base = _local_base
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back: later steps do not compute it again."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

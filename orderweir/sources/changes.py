@@ -64,20 +64,17 @@ def parse_changes(messages: DataFrame, row: str = ROW) -> DataFrame:
     """
     others = [name for name in messages.columns if name != "value"]
     envelope = schemas.cdc_envelope(row)
-    value = F.col("value")
-    wrapped = F.from_json(value, f"payload struct<{envelope}>")["payload"]
-    bare = F.from_json(value, envelope)
-    is_wrapped = F.get_json_object(value, "$.payload").startswith("{")
-    parsed = messages.filter(value.isNotNull()).select(
-        *others, F.when(is_wrapped, wrapped).otherwise(bare).alias("change")
+    parsed = messages.filter(F.col("value").isNotNull()).select(
+        *others, F.from_json("value", f"payload struct<{envelope}>, {envelope}").alias("message")
     )
-    return parsed.select(*others, "change.*")
+    bare = F.struct(*[F.col(f"message.{name}") for name in ("before", "after", "op", "ts_ms", "source")])
+    return parsed.select(*others, F.coalesce("message.payload", bare).alias("change")).select(*others, "change.*")
 
 
 def changes(landing: Landing) -> DataFrame:
-    """Decoded change events with the log position as a column."""
+    """Decoded change events of the captured topics, with the log position as a column."""
     return (
-        parse_changes(change_messages(landing))
+        parse_changes(change_messages(landing).filter(F.col("topic").isin(*schemas.CDC_TOPICS)))
         .withColumn("position", F.col("source.lsn"))
         .withColumn("entity_id", F.coalesce(F.col("after.user_id"), F.col("before.user_id")))
     )

@@ -17,8 +17,8 @@ def order_event_json(landing: Landing, lines_per_message: int = LINES_PER_MESSAG
     """One JSON order event per order: `(arrival, value)`.
 
     An order with more lines than fit a message is spread over several messages
-    by a hash of the line, so no array and no task ever holds a huge order. The
-    order total travels with the first part only.
+    by a hash of the line, so no array and no task ever holds a huge order. Its
+    total travels in a message of its own, without lines.
     """
     line = landing.source("lineitem")
     part = landing.source("part")
@@ -34,7 +34,7 @@ def order_event_json(landing: Landing, lines_per_message: int = LINES_PER_MESSAG
         .join(oversized, line.l_orderkey == oversized.big_order, "left")
         .select(
             "l_orderkey",
-            F.coalesce(spread, F.lit(0)).alias("part"),
+            F.coalesce(spread + 1, F.lit(0)).alias("part"),
             F.struct(
                 line_item_id().alias("lineItemId"),
                 c.prefixed("SKU-", F.col("l_partkey")).alias("sku"),
@@ -47,6 +47,10 @@ def order_event_json(landing: Landing, lines_per_message: int = LINES_PER_MESSAG
         .groupBy("l_orderkey", "part")
         .agg(F.collect_list("line").alias("lineItems"))
     )
+    no_lines = F.array().cast(packed.schema["lineItems"].dataType).alias("lineItems")
+    packed = packed.unionByName(
+        oversized.select(F.col("big_order").alias("l_orderkey"), F.lit(0).cast("bigint").alias("part"), no_lines)
+    )
     orders = landing.source("orders")
     customer = landing.source("customer")
     name = F.split(F.col("c_name"), "#")
