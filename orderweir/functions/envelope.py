@@ -41,8 +41,8 @@ def payload_json(topic: str) -> Column:
     return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
-def to_messages(records: DataFrame, topic: str) -> DataFrame:
-    """Wire-typed records to `(topic, key, value)`, keyed by the business key.
+def to_messages(records: DataFrame, topic: str, *keep: str) -> DataFrame:
+    """Wire-typed records to `(topic, key, value)`, keyed by the business key, and columns to keep.
 
     The schema half is the same text in every message, so it is a literal and
     only the payload is rendered per row.
@@ -52,6 +52,7 @@ def to_messages(records: DataFrame, topic: str) -> DataFrame:
         F.lit(topic).alias("topic"),
         F.col(schemas.TOPIC_KEYS[topic]).alias("key"),
         F.concat(F.lit(head), payload_json(topic), F.lit("}")).alias("value"),
+        *keep,
     )
 
 

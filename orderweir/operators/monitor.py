@@ -3,7 +3,7 @@
 Samples are rows of (time, labels, value). Time-range windows run per
 `(series, block of time)`: a block also gets the last rows of the block before
 it, as far back as the range reaches. One busy series is thereby spread over as
-many tasks as it has blocks.
+many tasks as it has blocks. A block is twice the range long unless set.
 """
 
 from __future__ import annotations
@@ -16,12 +16,10 @@ from pyspark.sql import functions as F
 
 from orderweir.functions import columns as c
 
-BLOCK_SECONDS = 3600
 
-
-def _blocks(samples: DataFrame, time: str, reach: int, block: int) -> DataFrame:
+def _blocks(samples: DataFrame, time: str, reach: int, block: int | None) -> DataFrame:
     """Rows by block; a row near the end of a block is also lent to the next one (`_home` false)."""
-    size, range_ms = max(block, reach) * 1000, reach * 1000
+    size, range_ms = max(block or 2 * reach, reach) * 1000, reach * 1000
     dated = samples.withColumn("_ms", c.epoch_ms(F.col(time))).withColumn("_block", F.expr(f"_ms div {size}"))
     lent = F.when(
         F.col("_ms") + range_ms >= (F.col("_block") + 1) * size, F.array(F.col("_block"), F.col("_block") + 1)
@@ -35,7 +33,7 @@ def _blocks(samples: DataFrame, time: str, reach: int, block: int) -> DataFrame:
 
 
 def max_over_time(
-    samples: DataFrame, series: list[str], time: str, value: str, seconds: int, block: int = BLOCK_SECONDS
+    samples: DataFrame, series: list[str], time: str, value: str, seconds: int, block: int | None = None
 ) -> DataFrame:
     """Highest value of the series in the last `seconds` before each sample, as `max_value`."""
     back = W.partitionBy(*series, "_block").orderBy("_ms").rangeBetween(-seconds * 1000, 0)
@@ -48,7 +46,7 @@ def max_over_time(
 
 
 def increase(
-    samples: DataFrame, series: list[str], time: str, value: str, seconds: int, block: int = BLOCK_SECONDS
+    samples: DataFrame, series: list[str], time: str, value: str, seconds: int, block: int | None = None
 ) -> DataFrame:
     """Growth of a counter over the last `seconds` before each sample, as `increase`.
 

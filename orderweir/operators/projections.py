@@ -26,6 +26,22 @@ def sales_orders(events: DataFrame) -> DataFrame:
     )
 
 
+def join_parts(headers: DataFrame) -> DataFrame:
+    """One header per order when large orders came in several messages.
+
+    Only one of the messages carries the total, each counts its own lines.
+    """
+    same = [name for name in headers.columns if name not in ("orderTotal", "lineItemCount")]
+    return (
+        headers.groupBy(*same)
+        .agg(
+            F.sum("orderTotal").cast(c.MONEY).alias("orderTotal"),
+            F.sum("lineItemCount").cast("int").alias("lineItemCount"),
+        )
+        .select(headers.columns)
+    )
+
+
 def line_items(events: DataFrame) -> DataFrame:
     """One row per line with its order's columns; events without lines give none."""
     return events.select("*", F.explode("lineItems").alias("line")).select(
@@ -64,7 +80,7 @@ CUSTOMER_SUMS = ["orderCount", "totalSpent"]
 CUSTOMER_LATEST = ["customerName", "customerEmail", "customerSegment", "lastOrderId", "currency"]
 
 
-def to_wire(records: DataFrame, topic: str) -> DataFrame:
+def to_wire(records: DataFrame, topic: str, *keep: str) -> DataFrame:
     """Typed records to wire types: times as epoch milliseconds, amounts as plain text."""
     types = dict(records.dtypes)
     columns = []
@@ -75,7 +91,7 @@ def to_wire(records: DataFrame, topic: str) -> DataFrame:
         elif types[field].startswith("decimal"):
             value = c.plain_text(value)
         columns.append(value.alias(field))
-    return records.select(*columns)
+    return records.select(*columns, *keep)
 
 
 def to_lakehouse(messages: DataFrame, topic: str, *keep: str) -> DataFrame:

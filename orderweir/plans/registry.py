@@ -51,19 +51,23 @@ def order_events(landing: Landing) -> DataFrame:
 def src_raw_orders(landing: Landing) -> DataFrame:
     """Nested JSON order events, decoded; line amounts are summed inside the array."""
     zero = F.lit(0).cast("decimal(28,2)")
-    return order_events(landing).select(
+    lines_total = F.aggregate(
+        "lineItems", zero, lambda total, line: (total + c.money(line["lineTotal"])).cast("decimal(28,2)")
+    )
+    decoded = order_events(landing).select(
         F.col("orderId").alias("order_id"),
         F.col("customer.customerId").alias("customer_id"),
         F.col("customer.segment").alias("segment"),
         c.money(F.col("orderTotal")).alias("order_total"),
         c.array_size(F.col("lineItems")).alias("line_count"),
-        F.coalesce(
-            F.aggregate(
-                "lineItems", zero, lambda total, line: (total + c.money(line["lineTotal"])).cast("decimal(28,2)")
-            ),
-            zero,
-        ).cast(c.MONEY).alias("lines_total"),
-    )
+        F.coalesce(lines_total, zero).alias("lines_total"),
+    )
+    # Orders too large for one message arrive in parts.
+    return decoded.groupBy("order_id", "customer_id", "segment").agg(
+        F.max("order_total").alias("order_total"),
+        F.sum("line_count").cast("int").alias("line_count"),
+        F.sum("lines_total").cast(c.MONEY).alias("lines_total"),
+    )
 
 
 @query
@@ -138,7 +142,7 @@ def federated_customer_compare(landing: Landing) -> DataFrame:
 # ---- projections and envelopes ---------------------------------------------------
 @query
 def proj_sales_order(landing: Landing) -> DataFrame:
-    return projections.sales_orders(order_events(landing))
+    return projections.join_parts(projections.sales_orders(order_events(landing)))
 
 
 @query
@@ -226,17 +230,10 @@ def envelope_customer_sales(landing: Landing) -> DataFrame:
 @query
 def unwrap_payload(landing: Landing) -> DataFrame:
     """Records from messages that come wrapped (open orders) or bare (all others)."""
-    records = header_records(landing)
-    wire = projections.to_wire(records, "sales_order").select(F.struct("*").alias("record"), "orderId")
-    sent = to_messages(wire.select("record.*"), "sales_order")
-    status = landing.source("orders").select(
-        c.prefixed("SO-", F.col("o_orderkey")).alias("key"), F.col("o_orderstatus").alias("status")
-    )
-    mixed = sent.join(status, "key").select(
-        "topic",
-        F.when(F.col("status") == "O", F.col("value")).otherwise(F.get_json_object("value", "$.payload")).alias("value"),
-    )
-    return mixed.select(unwrap(F.col("value"), "sales_order").alias("record")).select(
+    wire = projections.to_wire(header_records(landing), "sales_order", "status")
+    sent = to_messages(wire, "sales_order", "status")
+    mixed = F.when(F.col("status") == "O", F.col("value")).otherwise(F.get_json_object("value", "$.payload"))
+    return sent.select(unwrap(mixed, "sales_order").alias("record")).select(
         F.col("record.orderId").alias("order_id"),
         F.col("record.orderTimestamp").alias("order_ms"),
         F.col("record.orderTotal").alias("order_total"),
@@ -403,7 +400,7 @@ def dup_keys(landing: Landing) -> DataFrame:
 def compact_latest(landing: Landing) -> DataFrame:
     """A state topic rewritten to the last record of each key."""
     records = landing.source("events").select("user_id", "event_id", "ts", "event_type", "value")
-    return stored(latest.latest_per_key(records, ["user_id"], ["event_id"]).hint("rebalance"), "compacted")
+    return stored(latest.latest_per_key(records, ["user_id"], ["event_id"]), "compacted")
 
 
 # ---- tables that are merged ------------------------------------------------------------

@@ -57,10 +57,12 @@ class Warehouse:
         return self
 
     def _store(self, layer: str, table: str, df: DataFrame, partitions: list[str] | None = None) -> DataFrame:
-        """Write a table; rebalancing sizes its files and splits partitions that are too big for one."""
-        writer = df.hint("rebalance", *(partitions or [])).write.mode("overwrite").format("parquet")
+        """Write a table; rebalancing keeps a partition's files few and splits partitions too big for one."""
         if partitions:
-            writer = writer.partitionBy(*partitions)
+            writer = df.hint("rebalance", *partitions).write.partitionBy(*partitions)
+        else:
+            writer = df.write
+        writer = writer.mode("overwrite").format("parquet")
         writer.saveAsTable(self.name(layer, table))
         return self.table(layer, table).select(df.columns)
 

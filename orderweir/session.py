@@ -16,6 +16,8 @@ RUNTIME_SETTINGS = {
     # Hot join keys are split at run time, also when that costs one more shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Join by hash instead of sorting where every partition of the smaller side is small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     # Stream state on local disk with incremental checkpoints, not on the heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

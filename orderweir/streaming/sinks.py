@@ -40,13 +40,20 @@ def append_json(df: DataFrame, batch_id: int, path: str, files: int = 1) -> None
 
 
 def full_refresh(spark: SparkSession, tables: dict[str, DataFrame], path: str) -> dict[str, int]:
-    """Replace whole tables; returns rows written, observed during the write."""
+    """Replace whole tables; returns rows written, observed during the write.
+
+    The only partition of a table is overwritten dynamically: new files are
+    staged and swapped in at the end, so a failed run leaves the old rows.
+    """
     counts = {}
     for name, df in tables.items():
         seen = Observation(f"refresh-{name}")
-        counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        counted.write.mode("overwrite").parquet(f"{path}/{name}")
+        counted = df.observe(seen, F.count(F.lit(1)).alias("rows")).withColumn("_part", F.lit(0))
+        writer = counted.write.mode("overwrite").partitionBy("_part")
+        writer.option("partitionOverwriteMode", "dynamic").parquet(f"{path}/{name}")
         counts[name] = seen.get["rows"]
+        if counts[name] == 0:  # no rows, no partition to overwrite: empty the table
+            counted.limit(0).write.mode("overwrite").partitionBy("_part").parquet(f"{path}/{name}")
     return counts
 
 
