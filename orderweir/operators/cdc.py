@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from orderweir import schemas
-from orderweir.operators.hotkeys import MAX_ROWS, SLICE, slice_hot_keys
+from orderweir.operators.hotkeys import SLICE, slice_hot_keys
 from orderweir.operators.latest import latest_per_key
 
 EVERY_OPERATION = ("c", "r", "u", "d")
@@ -62,7 +62,7 @@ def current_state(
     return last.filter("op <> 'd'").select(*keys, "op", "ts_ms", "after")
 
 
-def history(changes: DataFrame, key: str, max_rows: int = MAX_ROWS) -> DataFrame:
+def history(changes: DataFrame, key: str, max_rows: int | None = None) -> DataFrame:
     """Versions of each key with the time range they were valid in.
 
     A version ends where the next change of its key begins, a delete ends the

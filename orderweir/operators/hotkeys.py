@@ -15,16 +15,17 @@ MAX_HOT_KEYS = 10_000
 SLICE = "_slice"
 
 
-def slice_hot_keys(df: DataFrame, key: str, sequence: str, max_rows: int = MAX_ROWS) -> DataFrame:
+def slice_hot_keys(df: DataFrame, key: str, sequence: str, max_rows: int | None = None) -> DataFrame:
     """Add `_slice`: null for ordinary keys, else a number that rises with `sequence`.
 
     `sequence` is a whole-number column that agrees with the window's order.
-    Hot are the most frequent keys with more than `max_rows` rows, up to
+    Hot are the most frequent keys with more than `max_rows` (MAX_ROWS) rows, up to
     MAX_HOT_KEYS of them; any other key owns less than one row in MAX_HOT_KEYS.
     That bounds the hot keys, and their slices to one per `max_rows` rows, so
     both may be broadcast and the table itself is not shuffled here. Counting
     reads two columns and combines before its shuffle.
     """
+    max_rows = max_rows or MAX_ROWS
     hot = (
         df.groupBy(F.col(key).alias("_key"))
         .agg(F.count("*").alias("_n"), F.min(sequence).alias("_low"), F.max(sequence).alias("_high"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from orderweir.operators.hotkeys import MAX_ROWS, SLICE, slice_hot_keys
+from orderweir.operators.hotkeys import SLICE, slice_hot_keys
 
 
 def newest(event_time: str, arrival: str, latest: list[str]) -> Column:
@@ -24,7 +24,7 @@ def running_totals(
     event_time: str,
     sums: list[str],
     latest: list[str],
-    max_rows: int = MAX_ROWS,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """One row per event: sums so far by arrival, attributes of the newest event so far.
 

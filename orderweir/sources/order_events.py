@@ -13,13 +13,14 @@ from orderweir.sources.landing import Landing, line_item_id
 LINES_PER_MESSAGE = 1000
 
 
-def order_event_json(landing: Landing, lines_per_message: int = LINES_PER_MESSAGE) -> DataFrame:
+def order_event_json(landing: Landing, lines_per_message: int | None = None) -> DataFrame:
     """One JSON order event per order: `(arrival, value)`.
 
     An order with more lines than fit a message is spread over several messages
     by a hash of the line, so no array and no task ever holds a huge order. Its
     total travels in a message of its own, without lines.
     """
+    lines_per_message = lines_per_message or LINES_PER_MESSAGE
     line = landing.source("lineitem")
     part = landing.source("part")
     oversized = (
