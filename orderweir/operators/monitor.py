@@ -9,8 +9,9 @@ many tasks as it has blocks. A block is twice the range long unless set.
 from __future__ import annotations
 
 from decimal import Decimal
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -86,6 +87,16 @@ def probe_duration(probes: DataFrame, series: list[str], time: str, value: str,
     )
 
 
+def freshness(tables: dict[str, tuple[DataFrame, str]], now: Column) -> DataFrame:
+    """Age in seconds of the newest row of each table at a given time."""
+    ages = [
+        df.agg(F.max(time).alias("newest")).select(F.lit(name).alias("table_name"), "newest")
+        for name, (df, time) in tables.items()
+    ]
+    age = ((c.epoch_ms(now) - c.epoch_ms(F.col("newest"))) / 1000).cast("bigint")
+    return reduce(DataFrame.unionByName, ages).select("table_name", "newest", age.alias("age_seconds"))
+
+
 def delay_quantile(df: DataFrame, group: list[str], delay: str, quantile: float) -> DataFrame:
     """The exact discrete quantile of a whole-number delay per group, as `delay_quantile`.
 

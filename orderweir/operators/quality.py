@@ -31,6 +31,11 @@ def not_null(df: DataFrame, columns: list[str]) -> DataFrame:
     return _one_per_row(totals, names)
 
 
+def not_null_violations(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows that lack one of the columns."""
+    return df.filter(reduce(Column.__or__, [F.col(name).isNull() for name in columns]))
+
+
 def relationship_violations(child: DataFrame, column: str, parent: DataFrame, field: str, where: Column | None = None) -> DataFrame:
     """Child values without a parent, with the number of rows that hold each.
 
@@ -61,6 +66,32 @@ def accepted_values(df: DataFrame, accepted: dict[str, list]) -> DataFrame:
     return _one_per_row(totals, names)
 
 
+def accepted_values_violations(df: DataFrame, accepted: dict[str, list]) -> DataFrame:
+    """`(column_name, value, row_count)` of every value that is not accepted."""
+    checked = F.explode(
+        F.array(
+            *[
+                F.when(
+                    ~F.col(name).isin(*values),
+                    F.struct(F.lit(name).alias("column_name"), F.col(name).cast("string").alias("value")),
+                )
+                for name, values in accepted.items()
+            ]
+        )
+    )
+    found = df.select(checked.alias("bad")).filter("bad is not null").select("bad.*")
+    return found.groupBy("column_name", "value").agg(F.count("*").alias("row_count"))
+
+
+def non_empty(tables: dict[str, DataFrame]) -> DataFrame:
+    """`(table_name, has_rows)`; looks at one row per table."""
+    found = [
+        df.limit(1).agg((F.count("*") > 0).alias("has_rows")).select(F.lit(name).alias("table_name"), "has_rows")
+        for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 def unique(name: str, df: DataFrame, column: str) -> DataFrame:
     """Number of values that occur more than once."""
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n")).filter("n > 1")

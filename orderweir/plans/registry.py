@@ -713,6 +713,22 @@ def stream_customer_totals(landing: Landing) -> DataFrame:
     return customer_totals(landing, shared_dir(landing.spark, "totals"))
 
 
+@query
+def stream_customer_changelog(landing: Landing) -> DataFrame:
+    """Running snapshots kept by a stateful stream, one per order."""
+    from orderweir.streaming.jobs import customer_changelog
+
+    return customer_changelog(landing, shared_dir(landing.spark, "changelog"))
+
+
+@query
+def stream_change_chain(landing: Landing) -> DataFrame:
+    """Two chained streams: changes to an immutable log, the log to current state."""
+    from orderweir.streaming.jobs import change_chain
+
+    return change_chain(landing, shared_dir(landing.spark, "chain"))
+
+
 # ---- data quality -------------------------------------------------------------------------
 @query
 def dq_not_null(landing: Landing) -> DataFrame:
@@ -762,6 +778,33 @@ def dq_accepted_values(landing: Landing) -> DataFrame:
     )
 
 
+@query
+def dq_accepted_values_violations(landing: Landing) -> DataFrame:
+    fact = Models(landing).fact_sales_order
+    segments = ["AUTOMOBILE", "BUILDING", "MACHINERY"]
+    return quality.accepted_values_violations(fact, {"currency": ["USD"], "customer_segment": segments})
+
+
+@query
+def dq_not_null_violations(landing: Landing) -> DataFrame:
+    """Lines of customers or days the dimensions do not know."""
+    fact = Models(landing).fact_sales_order
+    return quality.not_null_violations(fact, ["customer_email", "date_key"]).select(
+        "line_item_id", "product_id", "line_total", "customer_email", "date_key"
+    )
+
+
+@query
+def dq_non_empty(landing: Landing) -> DataFrame:
+    return quality.non_empty(
+        {
+            "sales_order": landing.sales_order(),
+            "sales_order_line_item": landing.sales_order_line_item(),
+            "customer_sales": landing.customer_sales(),
+        }
+    )
+
+
 @query
 def dq_unique(landing: Landing) -> DataFrame:
     models = Models(landing)
@@ -869,6 +912,19 @@ def freshness_p95(landing: Landing) -> DataFrame:
     )
 
 
+@query
+def freshness_age(landing: Landing) -> DataFrame:
+    """Age of the newest order, line and event at a fixed time."""
+    return monitor.freshness(
+        {
+            "sales_order": (landing.source("orders"), "o_orderdate"),
+            "sales_order_line_item": (landing.source("lineitem"), "l_shipdate"),
+            "events": (landing.source("events"), "ts"),
+        },
+        F.expr(BATCH_TIME),
+    )
+
+
 @query
 def alert_max_over_time(landing: Landing) -> DataFrame:
     """Samples at which the highest value of the last ten minutes is above the threshold."""

@@ -64,6 +64,14 @@ def file_stream(spark: SparkSession, path: str, schema: str = MESSAGE, per_batch
     return reader.load(path)
 
 
+def table_stream(spark: SparkSession, table: str, per_batch: int | None = None) -> DataFrame:
+    """A catalog table as a stream of the files added to it."""
+    reader = spark.readStream
+    if per_batch:
+        reader = reader.option("maxFilesPerTrigger", per_batch)
+    return reader.table(table)
+
+
 def avro_value(column: str, avro_schema: str):
     """Decode an Avro message body. Needs the spark-avro package."""
     from pyspark.sql.avro.functions import from_avro

@@ -12,6 +12,7 @@ from orderweir.operators.running import latest_totals
 from orderweir.operators.upsert import KeyedTable
 from orderweir.sources.landing import Landing
 from orderweir.sources.order_events import parse_order_events
+from orderweir.streaming import changelog
 from orderweir.streaming.sinks import append_batch
 
 
@@ -22,6 +23,11 @@ def run_available(writer, checkpoint: str) -> StreamingQuery:
     return query
 
 
+def run_every(writer, checkpoint: str, interval: str = "5 seconds") -> StreamingQuery:
+    """Run on and on, one micro-batch per interval; the source's limit bounds its size."""
+    return writer.option("checkpointLocation", checkpoint).trigger(processingTime=interval).start()
+
+
 def fan_out(messages: DataFrame, path: str):
     """One read of order messages feeds header, line and customer-contribution logs.
 
@@ -114,6 +120,52 @@ def enrich_events(landing: Landing, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/log").drop("_ingest_ts", "_batch_id")
 
 
+def customer_changelog(landing: Landing, path: str) -> DataFrame:
+    """One running snapshot per order, from the orders file read as a stream."""
+    orders = source_stream(landing, "orders")
+    customer = landing.source("customer")
+    contributions = orders.join(customer, orders.o_custkey == customer.c_custkey).select(
+        c.prefixed("CUST-", F.col("o_custkey")).alias("customerId"),
+        F.col("c_name").alias("customerName"),
+        c.email_of(F.col("c_name")).alias("customerEmail"),
+        F.col("c_mktsegment").alias("customerSegment"),
+        F.lit(1).cast("bigint").alias("orderCount"),
+        c.money(F.col("o_totalprice")).alias("totalSpent"),
+        c.prefixed("SO-", F.col("o_orderkey")).alias("lastOrderId"),
+        F.col("o_orderdate").alias("updatedAt"),
+        F.lit("USD").alias("currency"),
+        F.col("o_orderkey").alias("arrival"),
+    )
+    writer = changelog.customer_changelog(contributions, "arrival").writeStream.outputMode("update")
+    run_available(
+        writer.foreachBatch(lambda batch, batch_id: append_batch(batch, batch_id, f"{path}/log")), f"{path}/checkpoint"
+    )
+    return landing.spark.read.parquet(f"{path}/log").drop("_ingest_ts", "_batch_id")
+
+
+def change_chain(landing: Landing, path: str) -> DataFrame:
+    """Activity as change events: stream to an immutable log, then log to current state."""
+    spark = landing.spark
+    events = source_stream(landing, "events")
+    row = F.struct("user_id", c.money(F.col("value")).alias("value"))
+    deleted = F.col("event_type") == "error"
+    decoded = events.select(
+        F.col("user_id").alias("entity_id"),
+        F.when(deleted, "d").otherwise("u").alias("op"),
+        c.epoch_ms(F.col("ts")).alias("ts_ms"),
+        F.col("event_id").alias("position"),
+        F.when(~deleted, row).alias("after"),
+    )
+    run_available(changes_to_bronze(decoded, f"{path}/log"), f"{path}/checkpoint-log")
+    fields = "entity_id bigint, ts_ms bigint, position bigint, op string, user_id bigint, value decimal(18,2)"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = KeyedTable(spark, f"{path}/table", ["entity_id"], buckets=buckets)
+    table.create(spark.createDataFrame([], fields))
+    log = spark.readStream.schema(spark.read.parquet(f"{path}/log").schema).parquet(f"{path}/log")
+    run_available(bronze_to_current(log, table), f"{path}/checkpoint-table")
+    return table.read().select("entity_id", "ts_ms", "value")
+
+
 def changes_to_bronze(changes: DataFrame, path: str):
     """First half of the change chain: an immutable log of decoded changes."""
     return changes.writeStream.foreachBatch(lambda batch, batch_id: append_batch(batch, batch_id, path))

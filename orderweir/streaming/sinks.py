@@ -71,6 +71,13 @@ def kafka_batch(messages: DataFrame, servers: str) -> None:
     messages.select("topic", "key", "value").write.format("kafka").option("kafka.bootstrap.servers", servers).save()
 
 
+def kafka_stream_writer(messages: DataFrame, servers: str):
+    """A writer that sends a stream of `(topic, key, value)` messages."""
+    return (
+        messages.select("topic", "key", "value").writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
+    )
+
+
 def merge_topic(table: KeyedTable, topic: str, order: list[str] | None = None, guard: str | None = None):
     """A `foreachBatch` function that merges the messages of one topic.
 

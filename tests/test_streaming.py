@@ -217,3 +217,38 @@ def test_envelope_messages_as_a_stream(spark, event_files):
         projections.sales_orders(parse_order_events(stream(spark, event_files))), "sales_order"
     )
     assert to_messages(headers, "sales_order").isStreaming
+
+
+def test_table_as_stream_source(spark, tmp_path):
+    from orderweir.plans.warehouse import Warehouse
+
+    warehouse = Warehouse(spark, str(tmp_path / "w"), "streamed_").create()
+    try:
+        spark.range(10).write.saveAsTable(warehouse.name("landing", "numbers"))
+        out = str(tmp_path / "out")
+        numbers = connectors.table_stream(spark, warehouse.name("landing", "numbers"), per_batch=4)
+        writer = numbers.writeStream.foreachBatch(lambda df, i: sinks.append_batch(df, i, out))
+        jobs.run_available(writer, str(tmp_path / "cp"))
+        assert spark.read.parquet(out).count() == 10
+    finally:
+        warehouse.drop()
+
+
+def test_interval_trigger(spark, event_files, tmp_path):
+    out = str(tmp_path / "out")
+    writer = stream(spark, event_files).writeStream.foreachBatch(lambda df, i: sinks.append_batch(df, i, out))
+    query = jobs.run_every(writer, str(tmp_path / "cp"), "100 milliseconds")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert spark.read.parquet(out).count() == spark.read.parquet(event_files).count()
+
+
+def test_full_refresh_replaces_and_empties(spark, tmp_path):
+    path = str(tmp_path / "mdm")
+    assert sinks.full_refresh(spark, {"t": spark.range(5)}, path) == {"t": 5}
+    assert sinks.full_refresh(spark, {"t": spark.range(3)}, path) == {"t": 3}
+    assert spark.read.parquet(f"{path}/t").count() == 3
+    assert sinks.full_refresh(spark, {"t": spark.range(0)}, path) == {"t": 0}
+    assert spark.read.schema("id bigint").parquet(f"{path}/t").count() == 0
