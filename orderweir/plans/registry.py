@@ -715,7 +715,7 @@ def stream_customer_totals(landing: Landing) -> DataFrame:
 
 @query
 def stream_customer_changelog(landing: Landing) -> DataFrame:
-    """Running snapshots kept by a stateful stream, one per order."""
+    """Running snapshots written by a stream, one per order."""
     from orderweir.streaming.jobs import customer_changelog
 
     return customer_changelog(landing, shared_dir(landing.spark, "changelog"))

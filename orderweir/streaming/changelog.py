@@ -1,69 +1,91 @@
 """The customer changelog of a stream: one snapshot out per event in.
 
-`totals_stream` keeps the latest totals with built-in aggregates and is the one
-to prefer. This operator is for consumers that need every intermediate snapshot.
+`totals_stream` keeps the latest totals with built-in state and is the one to
+prefer. This writer is for consumers that need every intermediate snapshot. Each
+micro-batch runs the batch operator, so a customer with very many events is cut
+into slices here as well, and adds the totals the customer had before.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from decimal import Decimal
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pyspark.sql import DataFrame, Row
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from orderweir.functions.columns import MONEY, has_key
+from orderweir.operators.latest import latest_per_key
+from orderweir.operators.projections import CUSTOMER_LATEST, CUSTOMER_SUMS
+from orderweir.operators.running import running_totals
+from orderweir.operators.upsert import KeyedTable
+from orderweir.streaming.sinks import append_batch
 
-from orderweir.operators.projections import CUSTOMER_LATEST
-
-OUTPUT = (
+SNAPSHOT = (
     "customerId string, customerName string, customerEmail string, customerSegment string, "
     "orderCount bigint, totalSpent decimal(18,2), lastOrderId string, updatedAt timestamp_ntz, currency string"
 )
-STATE = OUTPUT.replace("customerId string, ", "")
-FIELDS = [field.split()[0] for field in OUTPUT.split(", ")][1:]
-
-
-def accumulate(total: dict | None, event: Row) -> dict:
-    """Add one event: sums always grow, attributes change unless the event is older."""
-    if total is None:
-        return {name: event[name] for name in FIELDS}
-    current, offered = total["updatedAt"], event["updatedAt"]
-    grown = dict(
-        total,
-        orderCount=total["orderCount"] + event["orderCount"],
-        totalSpent=(total["totalSpent"] or Decimal(0)) + (event["totalSpent"] or Decimal(0)),
-    )
-    if current is None or (offered is not None and offered >= current):
-        grown["updatedAt"] = offered
-        grown.update({name: event[name] for name in CUSTOMER_LATEST})
-    return grown
-
-
-class RunningTotals(StatefulProcessor):
-    """Holds one total per customer; a batch's events of a customer are taken in arrival order."""
-
-    def __init__(self, arrival: str):
-        self._arrival = arrival
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._total = handle.getValueState("total", STATE)
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        total = dict(zip(FIELDS, self._total.get())) if self._total.exists() else None
-        # One trigger's events of one customer; the source's rate limit bounds them.
-        for event in sorted(rows, key=lambda row: row[self._arrival]):
-            total = accumulate(total, event)
-            yield Row(customerId=key[0], **total)
-        self._total.update(tuple(total[name] for name in FIELDS))
-
-    def close(self) -> None:
-        pass
-
-
-def customer_changelog(contributions: DataFrame, arrival: str) -> DataFrame:
-    """Running snapshots of a stream of customer contributions, one per event."""
-    return contributions.groupBy("customerId").transformWithState(
-        statefulProcessor=RunningTotals(arrival),
-        outputStructType=OUTPUT,
-        outputMode="update",
-        timeMode="none",
-    )
+FIELDS = [field.split()[0] for field in SNAPSHOT.split(", ")]
+_TOTALS = "struct<" + ", ".join(field.replace(" ", ":", 1) for field in SNAPSHOT.split(", ")[1:]) + ">"
+STATE = f"customerId string, batch bigint, before {_TOTALS}, after {_TOTALS}"
+
+
+class Changelog:
+    """A log of snapshots and a keyed table with the last totals of every customer.
+
+    The table keeps the totals before and after the batch that wrote them last. A
+    batch that is run again starts from `before`, writes the same log partition
+    and the same totals: nothing is counted twice.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 8):
+        self.log_path = f"{path}/log"
+        self.totals = KeyedTable(spark, f"{path}/totals", ["customerId"], STATE, buckets)
+        self.spark = spark
+
+    def create(self) -> Changelog:
+        self.totals.create(self.spark.createDataFrame([], STATE))
+        return self
+
+    def read(self) -> DataFrame:
+        return self.spark.read.parquet(self.log_path).select(FIELDS)
+
+    def write(self, contributions: DataFrame, batch_id: int, arrival: str) -> None:
+        """Take one micro-batch of customer contributions; usable as a `foreachBatch` body."""
+        running = running_totals(
+            contributions.filter(has_key(F.col("customerId"))),
+            key="customerId",
+            arrival=arrival,
+            event_time="updatedAt",
+            sums=CUSTOMER_SUMS,
+            latest=CUSTOMER_LATEST,
+        )
+        known = self.totals.read().select(
+            "customerId", F.when(F.col("batch") < batch_id, F.col("after")).otherwise(F.col("before")).alias("old")
+        )
+        both = running.join(known, "customerId", "left")
+        keep_old = F.col("old.updatedAt").isNotNull() & (
+            F.col("updatedAt").isNull() | (F.col("updatedAt") < F.col("old.updatedAt"))
+        )
+        added = {
+            "orderCount": (F.col("orderCount") + F.coalesce(F.col("old.orderCount"), F.lit(0))).cast("bigint"),
+            "totalSpent": (F.col("totalSpent") + F.coalesce(F.col("old.totalSpent"), F.lit(0))).cast(MONEY),
+        }
+        snapshots = both.select(
+            "customerId",
+            *[
+                added[name].alias(name)
+                if name in added
+                else F.when(keep_old, F.col(f"old.{name}")).otherwise(F.col(name)).alias(name)
+                for name in FIELDS[1:]
+            ],
+            F.col("old"),
+        )
+        append_batch(snapshots, batch_id, self.log_path)
+        written = self.spark.read.parquet(self.log_path).filter(F.col("_batch_id") == batch_id)
+        last = latest_per_key(written, ["customerId"], ["orderCount"])
+        self.totals.upsert(
+            last.select(
+                "customerId",
+                F.lit(batch_id).cast("bigint").alias("batch"),
+                F.col("old").alias("before"),
+                F.struct(*FIELDS[1:]).alias("after"),
+            )
+        )

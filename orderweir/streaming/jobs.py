@@ -12,7 +12,7 @@ from orderweir.operators.running import latest_totals
 from orderweir.operators.upsert import KeyedTable
 from orderweir.sources.landing import Landing
 from orderweir.sources.order_events import parse_order_events
-from orderweir.streaming import changelog
+from orderweir.streaming.changelog import Changelog
 from orderweir.streaming.sinks import append_batch
 
 
@@ -136,11 +136,10 @@ def customer_changelog(landing: Landing, path: str) -> DataFrame:
         F.lit("USD").alias("currency"),
         F.col("o_orderkey").alias("arrival"),
     )
-    writer = changelog.customer_changelog(contributions, "arrival").writeStream.outputMode("update")
-    run_available(
-        writer.foreachBatch(lambda batch, batch_id: append_batch(batch, batch_id, f"{path}/log")), f"{path}/checkpoint"
-    )
-    return landing.spark.read.parquet(f"{path}/log").drop("_ingest_ts", "_batch_id")
+    log = Changelog(landing.spark, path, int(landing.spark.conf.get("spark.sql.shuffle.partitions"))).create()
+    writer = contributions.writeStream.foreachBatch(lambda batch, batch_id: log.write(batch, batch_id, "arrival"))
+    run_available(writer, f"{path}/checkpoint")
+    return log.read()
 
 
 def change_chain(landing: Landing, path: str) -> DataFrame:
