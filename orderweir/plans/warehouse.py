@@ -12,6 +12,10 @@ from orderweir.plans import bronze
 from orderweir.plans.models import Models
 
 
+# Landing tables that meet in the largest join, and its key.
+JOINED_BY = {"sales_order": "orderid", "sales_order_line_item": "orderid"}
+
+
 class Warehouse:
     """One database per layer, named `<prefix><layer>`, stored below `location`."""
 
@@ -36,9 +40,18 @@ class Warehouse:
             self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name('landing', table)} ({columns}) USING parquet")
         return self
 
-    def land(self, tables: dict[str, DataFrame]) -> Warehouse:
+    def land(self, tables: dict[str, DataFrame], buckets: int = 0) -> Warehouse:
+        """Store landing tables.
+
+        With `buckets` orders and lines are bucketed by order, and the fact joins
+        them without a shuffle. Leave it off where one order may be huge: a bucket
+        cannot be split, a shuffled partition can.
+        """
         for table, df in tables.items():
-            df.write.mode("overwrite").format("parquet").saveAsTable(self.name("landing", table))
+            writer = df.write.mode("overwrite").format("parquet")
+            if buckets and table in JOINED_BY:
+                writer = writer.bucketBy(buckets, JOINED_BY[table]).sortBy(JOINED_BY[table])
+            writer.saveAsTable(self.name("landing", table))
         return self
 
     def build(self) -> Warehouse:

@@ -1,8 +1,13 @@
 """What the plans must and must not contain."""
 
 import pytest
+from pyspark.sql import functions as F
 
+from orderweir.operators.upsert import KeyedTable, merged
 from orderweir.plans.registry import QUERIES
+from orderweir.plans.warehouse import Warehouse
+from orderweir.session import shared_dir
+from orderweir.sources.landing import Landing
 
 LAZY = [
     "fact_sales_order", "line_item_rollup", "gold_summary_chart", "customer_sales_running", "customer_sales_latest",
@@ -28,10 +33,8 @@ def test_scan_reads_only_the_columns_it_needs(spark, folder):
 
 
 def test_filters_reach_the_scan(spark, folder):
-    text = plan(QUERIES["metric_gross_revenue"](spark, folder))
-    assert "EqualTo(o_orderstatus,F)" in text or "GreaterThanOrEqual" in plan(
-        QUERIES["recent_changes_topk"](spark, folder)
-    )
+    assert "GreaterThanOrEqual(ts" in plan(QUERIES["recent_changes_topk"](spark, folder))
+    assert "IsNotNull(o_orderkey)" in plan(QUERIES["freshness_p95"](spark, folder))
 
 
 def test_latest_row_is_picked_before_the_shuffle(spark, folder):
@@ -41,3 +44,35 @@ def test_latest_row_is_picked_before_the_shuffle(spark, folder):
 
 def test_top_k_does_not_sort_everything(spark, folder):
     assert "TakeOrderedAndProject" in plan(QUERIES["recent_changes_topk"](spark, folder))
+
+
+def test_merge_shuffles_each_side_once(spark):
+    table = KeyedTable(spark, shared_dir(spark, "plan"), ["id"], buckets=4).create(spark.range(100))
+    old = table._stored().drop("_bucket").repartition(4, "id")
+    new = spark.range(50, 150).withColumn("_removed", F.lit(False)).repartition(4, "id")
+    text = plan(table._bucketed(merged(old, new, ["id"])))
+    assert text.count("Exchange ") == 2
+
+
+def test_a_bucket_is_a_hash_partition(spark):
+    """What lets a merge write its buckets without a shuffle."""
+    table = KeyedTable(spark, "unused", ["k"], buckets=7)
+    df = spark.range(1000).select(F.concat(F.lit("key-"), "id").alias("k")).repartition(7, "k")
+    wrong = table._bucketed(df).filter(F.col("_bucket") != F.spark_partition_id())
+    assert wrong.count() == 0
+
+
+def test_bucketed_landing_joins_without_a_shuffle(spark, folder):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    landing = Landing(spark, folder)
+    warehouse = Warehouse(spark, shared_dir(spark, "bucketed"), "bucketed_").create()
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        tables = {"sales_order": landing.sales_order(), "sales_order_line_item": landing.sales_order_line_item()}
+        warehouse.land(tables, buckets=4)
+        orders, lines = warehouse.table("landing", "sales_order"), warehouse.table("landing", "sales_order_line_item")
+        text = plan(lines.join(orders, "orderid", "left"))
+        assert "Exchange" not in text and "SelectedBucketsCount: 4 out of 4" in text
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        warehouse.drop()

@@ -42,18 +42,56 @@ def log(spark, path):
     return spark.read.parquet(path).drop("_batch_id", "_ingest_ts")
 
 
-def test_fan_out_equals_batch(spark, event_files, tmp_path):
-    query = jobs.run_available(jobs.fan_out(stream(spark, event_files), str(tmp_path / "out")), str(tmp_path / "cp"))
+def test_stream_projection(spark, event_files, tmp_path):
+    """Headers and lines are plain selects, so they need no state and append as they come."""
+    whole = parse_order_events(spark.read.parquet(event_files))
+    events = parse_order_events(stream(spark, event_files))
+    for name, project in (("headers", projections.sales_orders), ("lines", projections.line_items)):
+        out = str(tmp_path / name)
+        writer = project(events).writeStream.format("parquet").option("path", out)
+        jobs.run_available(writer, str(tmp_path / f"{name}-cp"))
+        assert rows(spark.read.parquet(out)) == rows(project(whole))
+
+
+def test_fanout(spark, event_files, tmp_path):
+    jobs.run_available(jobs.fan_out(stream(spark, event_files), str(tmp_path / "out")), str(tmp_path / "cp"))
     events = parse_order_events(spark.read.parquet(event_files))
     assert rows(log(spark, str(tmp_path / "out/sales_order"))) == rows(projections.sales_orders(events))
     assert rows(log(spark, str(tmp_path / "out/sales_order_line_item"))) == rows(projections.line_items(events))
     assert log(spark, str(tmp_path / "out/customer_contribution")).count() == events.count()
+
+
+def test_progress_table(spark, event_files, tmp_path):
+    writer = stream(spark, event_files).writeStream.foreachBatch(lambda df, i: df.count())
+    query = jobs.run_available(writer, str(tmp_path / "cp"))
     signals = progress.progress_table(spark, query)
     assert signals.filter("input_rows > 0").count() == 4
-    assert signals.agg(F.sum("input_rows")).first()[0] == events.count()
+    assert signals.agg(F.min("batch_ms")).first()[0] >= 0
+
+
+def test_stream_late_event(spark, tmp_path):
+    """An older event in a later batch adds to the totals and changes nothing else."""
+    source = tmp_path / "orders"
+    source.mkdir()
+    for number, (order, day, total) in enumerate([("SO-2", 2, "10.00"), ("SO-1", 1, "5.00")]):
+        event = {
+            "orderId": order,
+            "orderTimestamp": f"2026-01-0{day}T00:00:00+00:00",
+            "orderTotal": total,
+            "customer": {"customerId": "CUST-1", "firstName": "Ava", "lastName": order},
+        }
+        file = source / f"{number}.json"
+        file.write_text(json.dumps({"arrival": number, "value": json.dumps(event)}))
+        os.utime(file, (1_700_000_000 + number,) * 2)
+    events = parse_order_events(stream(spark, str(source), fmt="json"))
+    totals = jobs.totals_stream(events, "arrival")
+    table = totals_table(spark, str(tmp_path / "t"), totals)
+    jobs.run_available(jobs.merge_totals(totals, table), str(tmp_path / "cp"))
+    got = table.read().first()
+    assert (got.orderCount, str(got.totalSpent), got.lastOrderId, got.customerName) == (2, "15.00", "SO-2", "Ava SO-2")
 
 
-def test_files_per_batch_bound_the_batch(spark, event_files, tmp_path):
+def test_microbatch_bounds(spark, event_files, tmp_path):
     seen = []
     writer = stream(spark, event_files).writeStream.foreachBatch(lambda df, i: seen.append(df.count()))
     jobs.run_available(writer, str(tmp_path / "cp"))
@@ -64,7 +102,7 @@ def totals_table(spark, path, frame):
     return KeyedTable(spark, path, ["customerId"], buckets=4).create(spark.createDataFrame([], frame.schema))
 
 
-def test_totals_with_late_events_and_restart(spark, event_files, tmp_path):
+def test_stream_restart(spark, event_files, tmp_path):
     """The stream stops after some files, goes on from its checkpoint, and ends where a batch would."""
     incoming = tmp_path / "incoming"
     incoming.mkdir()
@@ -80,7 +118,7 @@ def test_totals_with_late_events_and_restart(spark, event_files, tmp_path):
     assert rows(table.read()) == rows(whole)
 
 
-def test_changelog_equals_running_totals(spark, event_files, tmp_path, monkeypatch):
+def test_stream_running_total(spark, event_files, tmp_path, monkeypatch):
     """Four batches, hot customers sliced, every batch delivered twice: still the batch result."""
     monkeypatch.setattr(hotkeys, "MAX_ROWS", 3)
     contributions = projections.customer_contributions(parse_order_events(stream(spark, event_files)), "arrival")
@@ -138,7 +176,7 @@ def order_table(spark, path):
 
 
 @pytest.mark.parametrize("guard,total", [(None, "3.00"), ("order_timestamp", "5.00")])
-def test_topic_merge_across_batches(spark, tmp_path, guard, total):
+def test_merge_across_batches(spark, tmp_path, guard, total):
     """Arrival order wins without a guard; with it the older record of a later batch is ignored."""
     source = tmp_path / "topic"
     source.mkdir()
@@ -157,7 +195,23 @@ def test_topic_merge_across_batches(spark, tmp_path, guard, total):
     assert [(r.order_id, str(r.order_total)) for r in got] == [("SO-1", total)]
 
 
-def test_replayed_topic_batch_is_a_no_op(spark, tmp_path):
+def test_merge_last_wins(spark, tmp_path):
+    """In one batch the record with the highest position wins, whatever its own time says."""
+    table = order_table(spark, str(tmp_path / "t"))
+    stamp = datetime.datetime(2026, 1, 1)
+    batch = spark.createDataFrame(
+        [
+            ("sales_order", 0, 2, None, order_message("SO-1", "2.00", 1), stamp),
+            ("sales_order", 0, 1, None, order_message("SO-1", "1.00", 9), stamp),
+            ("customer_sales", 0, 3, None, '{"customerId": "SO-1"}', stamp),
+        ],
+        connectors.MESSAGE,
+    )
+    sinks.merge_topic(table, "sales_order")(batch, 0)
+    assert [str(r.order_total) for r in table.read().collect()] == ["2.00"]
+
+
+def test_merge_replay(spark, tmp_path):
     table = order_table(spark, str(tmp_path / "t"))
     write = sinks.merge_topic(table, "sales_order")
     batch = spark.createDataFrame(
@@ -169,7 +223,7 @@ def test_replayed_topic_batch_is_a_no_op(spark, tmp_path):
     assert rows(table.read()) == once and len(once) == 1
 
 
-def test_quarantine_stream(spark, tmp_path):
+def test_stream_quarantine(spark, tmp_path):
     source = tmp_path / "raw"
     source.mkdir()
     (source / "a.json").write_text('{"id": 1, "amount": "1.50"}\n{"id": 2, "amount": "abc"}\n')
@@ -181,7 +235,7 @@ def test_quarantine_stream(spark, tmp_path):
     assert [(r.id, r.reason) for r in spark.read.parquet(bad).collect()] == [(2, "bad amount in amount")]
 
 
-def test_change_chain_to_current_state(spark, landing, tmp_path):
+def test_cdc_chain(spark, landing, tmp_path):
     """Messages to an immutable log, the log to current state: the same rows as one batch."""
     source, bronze = str(tmp_path / "topic"), str(tmp_path / "bronze")
     change_messages(landing).repartition(3).write.parquet(source)
@@ -199,7 +253,7 @@ def test_change_chain_to_current_state(spark, landing, tmp_path):
     assert rows(table.read().select("entity_id", "ts_ms", "value")) == rows(want)
 
 
-def test_redelivered_changes_are_dropped_in_a_stream(spark, landing, tmp_path):
+def test_cdc_dedupe(spark, landing, tmp_path):
     source = str(tmp_path / "topic")
     once = change_messages(landing)
     once.coalesce(1).write.mode("append").parquet(source)
