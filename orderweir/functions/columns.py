@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
@@ -66,3 +66,12 @@ def has_key(column: Column) -> Column:
 def array_size(column: Column) -> Column:
     """Number of elements; a missing array counts as empty."""
     return F.coalesce(F.array_size(column), F.lit(0))
+
+
+def parsed_once(df: DataFrame, parsed: Column, name: str, keep: list[str]) -> DataFrame:
+    """Kept columns and one expensive column that later filters must not compute again.
+
+    Filters on the fields of a parsed record would be moved below the projection
+    and parse every record a second time. They are not moved below an explode.
+    """
+    return df.select(*keep, F.explode(F.array(parsed)).alias(name))

@@ -96,7 +96,7 @@ def to_wire(records: DataFrame, topic: str, *keep: str) -> DataFrame:
 
 def to_lakehouse(messages: DataFrame, topic: str, *keep: str) -> DataFrame:
     """Messages of one topic to typed lakehouse rows; missing amounts stay null."""
-    rows = messages.select(*keep, unwrap(F.col("value"), topic).alias("record"))
+    rows = c.parsed_once(messages, unwrap(F.col("value"), topic), "record", list(keep))
     columns = []
     for field, wire, column, kind in schemas.PAYLOADS[topic]:
         value = F.col("record")[field]

@@ -64,9 +64,8 @@ def parse_changes(messages: DataFrame, row: str = ROW) -> DataFrame:
     """
     others = [name for name in messages.columns if name != "value"]
     envelope = schemas.cdc_envelope(row)
-    parsed = messages.filter(F.col("value").isNotNull()).select(
-        *others, F.from_json("value", f"payload struct<{envelope}>, {envelope}").alias("message")
-    )
+    message = F.from_json("value", f"payload struct<{envelope}>, {envelope}")
+    parsed = c.parsed_once(messages.filter(F.col("value").isNotNull()), message, "message", others)
     bare = F.struct(*[F.col(f"message.{name}") for name in ("before", "after", "op", "ts_ms", "source")])
     return parsed.select(*others, F.coalesce("message.payload", bare).alias("change")).select(*others, "change.*")
 
