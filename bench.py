@@ -14,13 +14,12 @@ from orderweir import build_session
 from orderweir.plans.registry import QUERIES
 
 HEADLINE = [
-    "stg_sales_order", "stg_line_item", "stg_customer_sales", "dim_customer", "dim_product", "dim_date",
-    "fact_sales_order", "fact_rollup", "gold_summary", "gold_summary_changelog", "gold_summary_chart",
-    "src_raw_orders", "proj_sales_order", "proj_line_item", "envelope_line_item", "unwrap_payload",
+    "fact_sales_order", "fact_rollup", "gold_summary", "gold_summary_chart", "line_item_rollup",
+    "src_raw_orders", "proj_line_item", "unwrap_payload",
     "customer_sales_running", "customer_sales_latest", "latest_per_key", "dup_keys",
-    "merge_sales_order", "merge_line_item", "merge_customer_sales", "sync_line_item", "upsert_customer360",
+    "merge_sales_order", "merge_line_item", "upsert_customer360",
     "cdc_curated", "cdc_dedupe", "cdc_current_state", "cdc_scd2", "stream_customer_totals",
-    "dq_not_null", "dq_rel_product", "order_total_reconcile", "layer_parity", "layer_row_counts",
+    "dq_not_null", "dq_rel_product", "order_total_reconcile", "layer_parity",
     "metric_gross_revenue", "freshness_p95", "alert_max_over_time", "alert_increase", "probe_health",
 ]
 
