@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderweir.llm import decontaminate, mixing, near_dup, sharding, toxicity
+from orderweir.llm import decontaminate, lattice_lm, license_scan, mixing, near_dup, sharding, toxicity
 from orderweir.llm.common import table
 from orderweir.session import configure, stored
 
@@ -62,3 +62,26 @@ def op9_stratified_shards(spark: SparkSession, folder: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence phrases and passages of every document."""
+    found = license_scan.find_licences(table(spark, folder, "documents"))
+    joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min("base.start").alias("first_word"),
+        F.array_max("base.start").alias("last_word"),
+        joined(F.col("base.label")).alias("base_labels"),
+        joined(F.concat("base.label", "found.label")).alias("labels"),
+        F.when(F.size("base") > 0, 1.0).otherwise(F.coalesce(F.array_max("found.score"), F.lit(0.0))).alias("score"),
+    )
+
+
+@query
+def op5_lattice_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Probability of every document under the subword lattice, and its word-count baseline."""
+    return lattice_lm.score(table(spark, folder, "documents"))
