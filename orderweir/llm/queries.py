@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderweir.llm import decontaminate, lattice_lm, license_scan, mixing, near_dup, sharding, toxicity
+from orderweir.llm import decontaminate, lattice_lm, license_scan, line_crf, mixing, near_dup, nn_descent, sharding, toxicity
 from orderweir.llm.common import table
 from orderweir.session import configure, stored
 
@@ -85,3 +85,16 @@ def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 def op5_lattice_score(spark: SparkSession, folder: str) -> DataFrame:
     """Probability of every document under the subword lattice, and its word-count baseline."""
     return lattice_lm.score(table(spark, folder, "documents"))
+
+
+@query
+def op7_line_field_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document by a conditional random field over its lines."""
+    return line_crf.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op6_nn_descent_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 rows of largest inner product for every twentieth vector."""
+    vectors = table(spark, folder, "embeddings")
+    return nn_descent.neighbours(vectors, vectors.where("vec_id % 20 = 0"))
