@@ -289,11 +289,11 @@ def score(docs: DataFrame, vocabulary: str = VOCABULARY, head_words: int = HEAD_
     sums = counts.agg(F.count("*").alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
     train_tokens, distinct = sums["n"] + ends, sums["v"] + (ends > 0)
     pieces = fit(counts, ends, vocabulary) if ends else read_pieces(vocabulary)
-    top = counts.orderBy(F.desc("n"), "hash").limit(head_words).toPandas()  # head_words rows at most
-    words = [bytes(w) for w in top["word"]]
+    top = counts.orderBy(F.desc("n"), "hash").limit(head_words).toArrow()  # head_words rows at most
+    words = top["word"].to_pylist()
     head_p = log_probabilities(pieces.prepare(), *joined(words)) if words else np.empty(0)
     del pieces.lookup
-    head = top["hash"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
+    head = top["hash"].to_numpy().astype(np.int64).view(np.uint64), top["n"].to_numpy().astype(np.int64)
     told = stored(rows.select("doc_id", "text").mapInArrow(_told(pieces, *head, head_p), TOLD), "lm-told")
     tail = (
         told.select("row", F.explode("tail").alias("t"))

@@ -184,13 +184,14 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> Field
                     names=["doc_id", "quality", "own"],
                 )
 
-    rows = texts.mapInArrow(run, "doc_id long, quality int, own binary").where("own is not null").toPandas()
-    rows = rows.drop_duplicates("doc_id").sort_values("doc_id")
-    k = len(STEPS)
-    own = [np.frombuffer(b, np.uint8).reshape(-1, k).astype(np.int64) for b in rows["own"]]
+    rows = texts.mapInArrow(run, "doc_id long, quality int, own binary").where("own is not null").toArrow()
+    where = np.unique(rows["doc_id"].to_numpy(), return_index=True)[1]
+    own = [np.frombuffer(rows["own"][i].as_py(), np.uint8).reshape(-1, len(STEPS)).astype(np.int64) for i in where.tolist()]
     bounds = np.concatenate(([0], np.cumsum([len(o) for o in own]))).astype(np.int64)
-    lines = Lines(bounds, np.zeros(bounds[-1]), np.concatenate(own) if own else np.zeros((0, k), np.int64))
-    return fit_field(with_neighbours(lines) if own else lines.own, bounds, rows["quality"].to_numpy(np.int64))
+    if not own:
+        return fit_field(np.zeros((0, 0), np.int64), bounds, np.zeros(0, np.int64))
+    lines = Lines(bounds, np.zeros(bounds[-1]), np.concatenate(own))
+    return fit_field(with_neighbours(lines), bounds, rows["quality"].to_numpy()[where].astype(np.int64))
 
 
 def score(docs: DataFrame, field: Field, least: float = 0.3) -> DataFrame:
