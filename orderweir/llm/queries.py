@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderweir.llm import decontaminate, lattice_lm, license_scan, line_crf, mixing, near_dup, nn_descent, sharding, toxicity
+from orderweir.llm import decontaminate, lattice_lm, license_scan, line_crf, line_edit, mixing, near_dup, nn_descent, sharding, toxicity
 from orderweir.llm.common import table
 from orderweir.session import configure, stored
 
@@ -98,3 +98,9 @@ def op6_nn_descent_search(spark: SparkSession, folder: str) -> DataFrame:
     """The 20 rows of largest inner product for every twentieth vector."""
     vectors = table(spark, folder, "embeddings")
     return nn_descent.neighbours(vectors, vectors.where("vec_id % 20 = 0"))
+
+
+@query
+def op10_line_edit_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Class of every line of 20 characters or more among all lines, equal or one edit apart."""
+    return line_edit.link_lines(table(spark, folder, "documents"))
