@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from orderweir.llm import decontaminate, mixing, near_dup, sharding, toxicity
-from orderweir.llm.common import table
+from orderweir.llm.common import neutral, table
 from orderweir.session import configure, stored
 
 
@@ -32,16 +32,16 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """All documents, in the order of the mixture: the result is sorted by it from file to file."""
     configure(spark)
-    mixed = mixing.mix(sharding.measured(docs))
+    flat, names, restored = neutral(docs)
+    mixed = mixing.mix(flat, id_col=names["doc_id"], stratum=names["source"], tie=names["text"])
     ordered = mixed.repartitionByRange("mix_block", "mix_row").sortWithinPartitions("mix_block", "mix_row")
-    return ordered.select(*docs.columns)
+    return ordered.select(*restored)
 
 
 def cut_shards(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Every document with its shard and its slot in it."""
     configure(spark)
-    placed = sharding.interleave(sharding.measured(docs))
-    return placed.select(*[c for c in docs.columns if c not in ("shard", "slot")], "shard", "slot")
+    return sharding.interleave(docs)
 
 
 STAGES = [

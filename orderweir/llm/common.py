@@ -25,6 +25,22 @@ def utf8(text: str | Column = "text") -> Column:
     return F.coalesce(column.cast("binary"), F.lit(b""))
 
 
+def neutral(docs: DataFrame) -> tuple[DataFrame, dict[str, str], list[Column]]:
+    """The frame with columns in0_, in1_, ..., the new name of each column, and the columns that restore it.
+
+    Columns that an operator adds meanwhile cannot clash with the frame's own.
+    """
+    names = {name: f"in{i}_" for i, name in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names, [F.col(new).alias(old) for old, new in names.items()]
+
+
+def tie_break(docs: DataFrame, name: str) -> Column:
+    """Orders rows of equal id: a number as it is, a text by its CRC-32, where null counts as empty."""
+    if dict(docs.dtypes)[name] != "string":
+        return F.col(name)
+    return F.crc32(F.coalesce(name, F.lit("")).cast("binary"))
+
+
 def seeded(seed: str, key: Column) -> Column:
     """A number of 60 bits that depends on the seed and the key only."""
     digest = F.md5(F.concat(F.lit(seed + "|"), F.coalesce(key.cast("string"), F.lit(""))))

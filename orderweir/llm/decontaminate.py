@@ -189,5 +189,5 @@ def find_leaks(
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents in which no benchmark item is found; rows without id stay."""
-    leaks = stored(find_leaks(docs, benchmark, **options).select("doc_id").distinct(), "leaks")
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    leaks = stored(find_leaks(docs, benchmark, **options).select(F.col("doc_id").alias("_leak")).distinct(), "leaks")
+    return docs.join(leaks, docs["doc_id"] == leaks["_leak"], "left_anti")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderweir.llm.common import ranked, stratum_key
+from orderweir.llm.common import neutral, ranked, stratum_key, tie_break
 from orderweir.session import stored
 
 #: One earliest-deadline-first pass over a round: at each slot the released block with the
@@ -99,7 +99,7 @@ def mix(
     seed: str = "mix",
     id_col: str = "doc_id",
     stratum: str = "source",
-    tie: str = "text_crc32",
+    tie: str = "text",
 ) -> DataFrame:
     """Adds `mix_block` and `mix_row`: all rows in one order whose sources follow the weights.
 
@@ -116,14 +116,17 @@ def mix(
     of up to some hundred sources.
 
     * null id: seeded like an empty one; null source: a source of its own; texts do not matter;
-      repeated rows: each is placed, equal ones in any order (ties go by id, then `tie`).
+      repeated rows: each is placed, equal ones in any order (ties go by id, then by the CRC-32 of `tie`,
+      or by `tie` itself if it is a number).
     * empty table: empty result. Existing columns `mix_block` and `mix_row` are replaced.
     """
+    docs, names, restored = neutral(docs)
+    restored = [c for c, name in zip(restored, names) if name not in ("mix_block", "mix_row")]
+    id_col, stratum, tie = names[id_col], names[stratum], tie_break(docs, names[tie])
     strata = stored(strata_of(docs, stratum, weights, block_rows, resolution), "mix")
     schedule = stored(schedule_of(strata), "mix")
-    kept = [c for c in docs.columns if c not in ("mix_block", "mix_row")]
     return (
-        ranked(docs, docs.count(), seed, id_col, stratum, [F.col(tie)])
+        ranked(docs, docs.count(), seed, id_col, stratum, [tie])
         .join(strata.select(*[F.col(c).alias(f"_{c}") for c in ("s", "k", "bounds")]), "_s")
         .withColumn("_block", F.expr(f"(_rank - 1) div {block_rows}"))
         .withColumn("mix_row", F.expr(f"cast((_rank - 1) % {block_rows} as int)"))
@@ -132,5 +135,5 @@ def mix(
         .withColumn("_phase", F.expr("size(filter(_bounds, x -> x <= _round)) - 1"))
         .join(schedule.toDF(*[f"_{c}" for c in schedule.columns]), ["_s", "_phase", "_j"])
         .withColumn("mix_block", F.expr("_base + (_round - _first) * _d + _slot"))
-        .select(*kept, "mix_block", "mix_row")
+        .select(*restored, "mix_block", "mix_row")
     )

@@ -247,10 +247,6 @@ def drop_near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
 
     Rows of a null id stay; rows repeated with the same id and text become one.
     """
-    keep = link(docs, percent).where("kept and doc_id is not null").select("doc_id", "content").distinct()
-    named = docs.where("doc_id is not null").join(keep.select("doc_id"), "doc_id", "left_semi")
-    return (
-        named.select(*docs.columns)
-        .dropDuplicates(["doc_id", "text"])
-        .unionByName(docs.where("doc_id is null"))
-    )
+    keep = link(docs, percent).where("kept and doc_id is not null").select(F.col("doc_id").alias("_keep")).distinct()
+    named = docs.join(keep, docs["doc_id"] == keep["_keep"], "left_semi")
+    return named.dropDuplicates(["doc_id", "text"]).union(docs.where("doc_id is null"))

@@ -28,7 +28,7 @@ def query(function: Query) -> Query:
 def op1_pfair_mix(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in the order of a mixture in which sources weigh the square root of their rows."""
     docs = sharding.measured(table(spark, folder, "documents")).select("doc_id", "source", "text_crc32")
-    return mixing.mix(stored(docs, "mix-rows")).select("doc_id", "source", "mix_block", "mix_row")
+    return mixing.mix(stored(docs, "mix-rows"), tie="text_crc32").select("doc_id", "source", "mix_block", "mix_row")
 
 
 @query
@@ -53,7 +53,7 @@ def op8_odd_sketch_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op9_stratified_shards(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in 24 shards of the same mixture, counts at most one apart."""
     docs = sharding.measured(table(spark, folder, "documents")).select("doc_id", "source", "size", "text_crc32")
-    return sharding.interleave(stored(docs, "shard-rows")).select(
+    return sharding.interleave(stored(docs, "shard-rows"), tie="text_crc32").select(
         "doc_id",
         "size",
         "text_crc32",

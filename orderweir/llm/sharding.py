@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderweir.llm.common import cell_bits, ranked, running_starts, stratum_key
+from orderweir.llm.common import cell_bits, neutral, ranked, running_starts, stratum_key, tie_break
 
 
 def interleave(
@@ -14,7 +14,7 @@ def interleave(
     seed: str = "shards",
     id_col: str = "doc_id",
     stratum: str = "source",
-    tie: str = "text_crc32",
+    tie: str = "text",
 ) -> DataFrame:
     """Adds `shard` and `slot`: every shard has the mixture of all rows.
 
@@ -27,16 +27,20 @@ def interleave(
     a shard of any size is the work of many tasks.
 
     * null id: seeded like an empty one; null source: a source of its own; null or empty text: no
-      matter; repeated rows: each is placed, equal ones in any order (ties go by id, then `tie`).
+      matter; repeated rows: each is placed, equal ones in any order (ties go by id, then by the CRC-32 of
+      `tie`, or by `tie` itself if it is a number).
     * empty table: empty result. Existing columns `shard` and `slot` are replaced.
     """
+    docs, names, restored = neutral(docs)
+    restored = [c for c, name in zip(restored, names) if name not in ("shard", "slot")]
+    id_col, stratum, tie = names[id_col], names[stratum], tie_break(docs, names[tie])
     rows = docs.count()
     bits = cell_bits(rows)
     sizes = docs.groupBy(stratum_key(F.col(stratum)).alias("_s")).agg(F.count("*").alias("_total"))
     draw = F.conv(F.substring(F.md5(F.concat(F.lit(seed + "|"), F.col("_s"))), 1, 13), 16, 10).cast("long")
     sizes = sizes.withColumn("_u", (draw + 0.5) / float(2**52))
     spread = (
-        ranked(docs, rows, seed, id_col, stratum, [F.col(tie)])
+        ranked(docs, rows, seed, id_col, stratum, [tie])
         .join(sizes, "_s")
         .withColumn("_f", (F.col("_rank") - F.col("_u")) / F.col("_total"))
         .withColumn("_cell", F.floor(F.col("_f") * float(2**bits)))
@@ -50,7 +54,7 @@ def interleave(
         .withColumn("_at", F.col("_start") + F.row_number().over(order) - 1)
         .withColumn("shard", F.expr(f"cast((_at * {shards}) div {max(rows, 1)} as int)"))
         .withColumn("slot", F.expr(f"_at - (shard * {rows}L + {shards - 1}) div {shards}"))
-        .drop("_s", "_h", "_f", "_cell", "_start", "_at")
+        .select(*restored, "shard", "slot")
     )
 
 
