@@ -20,7 +20,7 @@ LOOKS = 1 << 18
 FEATURES = LOOKS + 30
 MASK = np.uint64(LOOKS - 1)
 #: Labelled rows the chain is fitted on, at most (those of the smallest seeded hash of their id).
-MAX_LABELLED = 12_000
+MAX_LABELLED = 8_000
 FOLDS = 3
 #: Longer words also count by their first bytes.
 PREFIX = 6
@@ -74,24 +74,52 @@ class Linear:
         return 1 / (1 + np.exp(-min(max(margin, -30.0), 30.0)))
 
 
-def fit_linear(rows: list[np.ndarray], labels: np.ndarray, earlier: np.ndarray) -> Linear:
-    """Logistic regression with L2 on the words that differ from chance; a constant if one label is missing."""
-    n = len(rows)
+@dataclass
+class Sample:
+    """Labelled documents: document i has the features column[bounds[i] : bounds[i + 1]], sorted."""
+
+    column: np.ndarray
+    bounds: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.bounds) - 1
+
+    def row(self, i: int) -> np.ndarray:
+        return self.column[self.bounds[i] : self.bounds[i + 1]]
+
+
+def sample_of(rows: list[np.ndarray]) -> Sample:
+    """Without the features that are too rare to enter any model, which are most of them."""
+    seen = np.zeros(FEATURES, np.int32)
+    for row in rows:
+        seen[row] += 1
+    rows = [row[seen[row] >= LEAST_Z] for row in rows]
+    bounds = np.concatenate(([0], np.cumsum([len(row) for row in rows]))).astype(np.int64)
+    return Sample(np.concatenate(rows) if rows else np.empty(0, np.uint32), bounds)
+
+
+def fit_linear(sample: Sample, own: np.ndarray, labels: np.ndarray, earlier: np.ndarray) -> Linear:
+    """Logistic regression with L2 on the words that differ from chance; a constant if one label is missing.
+
+    own: which documents of the sample; labels and earlier probabilities are theirs.
+    """
+    n = len(own)
     positive = labels.mean() if n else 0.0
     constant = float(np.log((labels.sum() + 0.5) / (n - labels.sum() + 0.5))) if n else 0.0
     if n == 0 or positive in (0.0, 1.0):
         return Linear(np.empty(0, np.uint32), np.empty(0), np.zeros(earlier.shape[1]), constant)
-    sizes = np.array([len(r) for r in rows])
-    column = np.concatenate(rows)
-    row = np.repeat(np.arange(n), sizes)
-    seen = np.bincount(column, minlength=FEATURES)
-    with_label = np.bincount(column, weights=labels[row], minlength=FEATURES)
+    seen, with_label = np.zeros(FEATURES), np.zeros(FEATURES)
+    for i, label in zip(own, labels):
+        seen[sample.row(i)] += 1
+        with_label[sample.row(i)] += label
     z = np.abs(with_label - seen * positive) / np.sqrt(seen * positive * (1 - positive) + 1)
     numbers = np.flatnonzero(z >= LEAST_Z).astype(np.uint32)
-    place = np.full(FEATURES, -1)
+    place = np.full(FEATURES, -1, np.int32)
     place[numbers] = np.arange(len(numbers))
-    used = place[column] >= 0
-    column, row = place[column[used]], row[used]
+    used = [place[sample.row(i)] for i in own]
+    used = [p[p >= 0] for p in used]
+    row = np.repeat(np.arange(n), [len(p) for p in used])
+    column = np.concatenate(used)
     weights, chain, intercept = np.zeros(len(numbers)), np.zeros(earlier.shape[1]), constant
     size = len(numbers) + earlier.shape[1] + 1
     first, second = np.zeros(size), np.zeros(size)
@@ -123,23 +151,23 @@ class Chain:
         return out
 
 
-def fit_chain(names: list[str], rows: list[np.ndarray], labels: np.ndarray, folds: np.ndarray) -> Chain:
-    """labels: one column per category, NaN where unknown; folds: the fold of each row.
+def fit_chain(names: list[str], sample: Sample, labels: np.ndarray, folds: np.ndarray) -> Chain:
+    """labels: one column per category, NaN where unknown; folds: the fold of each document.
 
     A later model is trained on out-of-fold probabilities of the earlier categories, since those
     of a model's own training rows are too good. The threshold of a category is the one of
     best F1 on out-of-fold probabilities, 0.5 at least.
     """
-    held = np.zeros((len(rows), 0))
+    held = np.zeros((len(sample), 0))
     models, thresholds = [], []
     for k in range(len(names)):
         known = ~np.isnan(labels[:, k])
-        fit = lambda own: fit_linear([rows[i] for i in own], labels[own, k], held[own])  # noqa: B023, E731
-        out = np.zeros(len(rows))
+        fit = lambda own: fit_linear(sample, own, labels[own, k], held[own])  # noqa: B023, E731
+        out = np.zeros(len(sample))
         for fold in range(FOLDS):
             model = fit(np.flatnonzero(known & (folds != fold)))
             for i in np.flatnonzero(folds == fold):
-                out[i] = model.score(rows[i], held[i])
+                out[i] = model.score(sample.row(i), held[i])
         models.append(fit(np.flatnonzero(known)))
         thresholds.append(best_threshold(out[known], labels[known, k]))
         held = np.column_stack((held, out))
@@ -172,11 +200,12 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str] = CATEG
                 names=["doc_id", "found", *(f"y_{c}" for c in names)],
             )
 
-    rows = texts.mapInArrow(found, kind).toPandas().drop_duplicates("doc_id").sort_values("doc_id")
-    ids = rows["doc_id"].to_numpy(np.int64)
+    rows = texts.mapInArrow(found, kind).toArrow()
+    ids, where = np.unique(rows["doc_id"].to_numpy(), return_index=True)
     folds = np.array([zlib.crc32(b"%d" % i) % FOLDS for i in ids], int)
-    columns = rows[[f"y_{c}" for c in names]].to_numpy(float).reshape(len(rows), len(names))
-    return fit_chain(names, [np.frombuffer(b, np.uint32) for b in rows["found"]], columns, folds)
+    columns = [rows[f"y_{c}"].to_numpy().astype(float)[where] for c in names]
+    sample = sample_of([np.frombuffer(rows["found"][i].as_py(), np.uint32) for i in where.tolist()])
+    return fit_chain(names, sample, np.stack(columns, axis=1), folds)
 
 
 def score(docs: DataFrame, chain: Chain) -> DataFrame:
@@ -214,5 +243,6 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the chain does not call toxic; rows without id stay."""
-    verdicts = classify(docs, labels).where("toxic and doc_id is not null").select("doc_id").distinct()
-    return docs.join(stored(verdicts, "toxic"), "doc_id", "left_anti").select(*docs.columns)
+    verdicts = classify(docs, labels).where("toxic and doc_id is not null").select(F.col("doc_id").alias("_toxic"))
+    verdicts = stored(verdicts.distinct(), "toxic")
+    return docs.join(verdicts, docs["doc_id"] == verdicts["_toxic"], "left_anti")
