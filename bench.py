@@ -8,6 +8,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from orderweir import build_session
@@ -42,6 +43,7 @@ def main() -> None:
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": "12g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="orderweir-bench-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

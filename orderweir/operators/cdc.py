@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from orderweir import schemas
-from orderweir.operators.hotkeys import SLICE, slice_hot_keys
+from orderweir.operators.hotkeys import SLICE, in_several, slice_by_rows
 from orderweir.operators.latest import latest_per_key
 
 EVERY_OPERATION = ("c", "r", "u", "d")
@@ -66,25 +66,21 @@ def history(changes: DataFrame, key: str, max_rows: int | None = None) -> DataFr
     """Versions of each key with the time range they were valid in.
 
     A version ends where the next change of its key begins, a delete ends the
-    last version without starting one. Order is the log position. Keys with very
-    many changes are cut into slices; a slice takes the first change of the next
-    slice as the end of its last version.
+    last version without starting one. Order is (time, log position), as for the current state.
+    The log is cut into slices of rows; a slice takes the first change of the next
+    slice of its key as the end of its last version.
     """
-    rows = slice_hot_keys(
-        changes.select(key, "position", "ts_ms", "op", "after"), key, "position", max_rows
+    rows = slice_by_rows(
+        changes.select(key, "position", "ts_ms", "op", "after"), key, ["ts_ms", "position"], max_rows
     )
-    in_slice = W.partitionBy(key, SLICE).orderBy("position")
+    in_slice = W.partitionBy(key, SLICE).orderBy("ts_ms", "position")
     local = rows.withColumn("_next", F.lead("ts_ms").over(in_slice))
-    first = (
-        rows.filter(F.col(SLICE).isNotNull())
-        .groupBy(F.col(key).alias("_key"), F.col(SLICE).alias("_from"))
-        .agg(F.min(F.struct("position", "ts_ms"))["ts_ms"].alias("_starts"))
-    )
-    follows = first.select(
+    first = rows.groupBy(F.col(key).alias("_key"), F.col(SLICE).alias("_from")).agg(F.min("ts_ms").alias("_starts"))
+    follows = in_several(first, "_key").select(
         "_key", "_from", F.lead("_starts").over(W.partitionBy("_key").orderBy("_from")).alias("_after_slice")
     )
     joined = local.join(
-        F.broadcast(follows), local[key].eqNullSafe(follows["_key"]) & (local[SLICE] == follows["_from"]), "left"
+        follows, local[key].eqNullSafe(follows["_key"]) & (local[SLICE] == follows["_from"]), "left"
     )
     return (
         joined.filter("op <> 'd'")

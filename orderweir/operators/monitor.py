@@ -47,32 +47,34 @@ def max_over_time(
 
 
 def increase(
-    samples: DataFrame, series: list[str], time: str, value: str, seconds: int, block: int | None = None
+    samples: DataFrame, series: list[str], time: str, value: str, seconds: int, tie: str, block: int | None = None
 ) -> DataFrame:
     """Growth of a counter over the last `seconds` before each sample, as `increase`.
 
     Only steps between samples inside the range count. A drop is a restart: the
     counter grew from zero to its new value. There is no extrapolation to the
-    edges of the range.
+    edges of the range. Samples of one time go by `tie`, a unique column; all of them see the
+    growth up to the last.
     """
-    in_order = W.partitionBy(*series, "_block").orderBy("_ms")
-    back = in_order.rangeBetween(-seconds * 1000, 0)
+    in_order = W.partitionBy(*series, "_block").orderBy(time, tie)
+    back = W.partitionBy(*series, "_block").orderBy("_ms").rangeBetween(-seconds * 1000, 0)
     step = F.when(F.col(value) >= F.col("_previous"), F.col(value) - F.col("_previous")).otherwise(F.col(value))
     return (
         _blocks(samples, time, seconds, block)
         .withColumn("_previous", F.lag(value).over(in_order))
         .withColumn("_step", F.when(F.col("_previous").isNotNull(), step))
         # The first sample in range has its step from outside the range.
-        .withColumn("_outside", F.coalesce(F.first("_step").over(back), F.lit(0)))
+        .withColumn("_first", F.min(F.struct(F.col(time), F.col(tie), F.col("_step"))).over(back))
+        .withColumn("_outside", F.coalesce(F.col("_first._step"), F.lit(0)))
         .withColumn("increase", F.coalesce(F.sum("_step").over(back), F.lit(0)) - F.col("_outside"))
         .filter("_home")
-        .drop("_home", "_block", "_ms", "_previous", "_step", "_outside")
+        .drop("_home", "_block", "_ms", "_previous", "_step", "_first", "_outside")
     )
 
 
-def probe_health(probes: DataFrame, series: list[str], time: str, value: str) -> DataFrame:
-    """Instances up and down at their latest sample."""
-    last = probes.groupBy(*series).agg(F.max_by(value, time).alias("up"))
+def probe_health(probes: DataFrame, series: list[str], time: str, value: str, tie: str) -> DataFrame:
+    """Instances up and down at their latest sample; samples of one time go by `tie`, a unique column."""
+    last = probes.groupBy(*series).agg(F.max_by(value, F.struct(time, tie)).alias("up"))
     return last.agg(F.count_if(F.col("up") == 1).alias("healthy"), F.count_if(F.col("up") == 0).alias("unhealthy"))
 
 
@@ -97,17 +99,28 @@ def freshness(tables: dict[str, tuple[DataFrame, str]], now: Column) -> DataFram
     return reduce(DataFrame.unionByName, ages).select("table_name", "newest", age.alias("age_seconds"))
 
 
-def delay_quantile(df: DataFrame, group: list[str], delay: str, quantile: float) -> DataFrame:
+def delay_quantile(df: DataFrame, group: list[str], delay: str, quantile: float, cell: int = 4096) -> DataFrame:
     """The exact discrete quantile of a whole-number delay per group, as `delay_quantile`.
 
-    Rows are first counted per delay value, so the ordered pass sees each value
-    once. Use a coarse unit (seconds) to keep the number of values small.
+    Rows are counted per cell of `cell` neighbouring values first; only the one cell of a group that
+    holds the quantile is then counted by value, so neither pass orders many rows in one task.
     """
-    counted = df.groupBy(*group, delay).agg(F.count("*").alias("n"))
-    upto = W.partitionBy(*group).orderBy(delay).rowsBetween(W.unboundedPreceding, W.currentRow)
-    ranked = counted.withColumn("upto", F.sum("n").over(upto)).withColumn("all", F.sum("n").over(W.partitionBy(*group)))
+    share = F.lit(Decimal(str(quantile)))
+    placed = df.filter(F.col(delay).isNotNull()).withColumn("_cell", F.floor(F.col(delay) / cell))
+    cells = placed.groupBy(*group, "_cell").agg(F.count("*").alias("n"))
+    upto = W.partitionBy(*group).orderBy("_cell").rowsBetween(W.unboundedPreceding, W.currentRow)
+    cells = (
+        cells.withColumn("upto", F.sum("n").over(upto))
+        .withColumn("events", F.sum("n").over(W.partitionBy(*group)))
+        .filter((F.col("upto") >= F.col("events") * share) & (F.col("upto") - F.col("n") < F.col("events") * share))
+        .select(*[F.col(g).alias(f"_{g}") for g in group], F.col("_cell").alias("_in"), "events", (F.col("upto") - F.col("n")).alias("before"))
+    )
+    same = reduce(Column.__and__, [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group], F.col("_cell") == F.col("_in"))
+    values = placed.join(cells, same).groupBy(*group, delay, "events", "before").agg(F.count("*").alias("n"))
+    within = W.partitionBy(*group).orderBy(delay).rowsBetween(W.unboundedPreceding, W.currentRow)
     return (
-        ranked.filter(F.col("upto") >= F.col("all") * F.lit(Decimal(str(quantile))))
+        values.withColumn("upto", F.col("before") + F.sum("n").over(within))
+        .filter(F.col("upto") >= F.col("events") * share)
         .groupBy(*group)
-        .agg(F.min(delay).alias("delay_quantile"), F.max("all").alias("events"))
+        .agg(F.min(delay).alias("delay_quantile"), F.max("events").alias("events"))
     )

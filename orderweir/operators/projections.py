@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from orderweir import schemas
 from orderweir.functions import columns as c
 from orderweir.functions.envelope import unwrap
-from orderweir.sources.order_events import event_time
+from orderweir.sources.order_events import event_time, is_header
 
 
 def sales_orders(events: DataFrame) -> DataFrame:
-    """One header row per event; a missing total is 0 and missing lines count as none."""
-    return events.select(
+    """One header row per order; a missing total is 0 and missing lines count as none."""
+    return events.filter(is_header()).select(
         "orderId",
         event_time().alias("orderTimestamp"),
         F.col("customer.customerId").alias("customerId"),
@@ -22,23 +22,7 @@ def sales_orders(events: DataFrame) -> DataFrame:
         F.col("customer.segment").alias("customerSegment"),
         "currency",
         c.money_or_zero(F.col("orderTotal")).alias("orderTotal"),
-        c.array_size(F.col("lineItems")).alias("lineItemCount"),
-    )
-
-
-def join_parts(headers: DataFrame) -> DataFrame:
-    """One header per order when large orders came in several messages.
-
-    Only one of the messages carries the total, each counts its own lines.
-    """
-    same = [name for name in headers.columns if name not in ("orderTotal", "lineItemCount")]
-    return (
-        headers.groupBy(*same)
-        .agg(
-            F.sum("orderTotal").cast(c.MONEY).alias("orderTotal"),
-            F.sum("lineItemCount").cast("int").alias("lineItemCount"),
-        )
-        .select(headers.columns)
+        F.coalesce("lineCount", c.array_size(F.col("lineItems"))).alias("lineItemCount"),
     )
 
 
@@ -60,8 +44,8 @@ def line_items(events: DataFrame) -> DataFrame:
 
 
 def customer_contributions(events: DataFrame, *keep: str) -> DataFrame:
-    """What one event adds to its customer's totals."""
-    return events.select(
+    """What one order adds to its customer's totals."""
+    return events.filter(is_header()).select(
         F.col("customer.customerId").alias("customerId"),
         c.full_name(F.col("customer.firstName"), F.col("customer.lastName")).alias("customerName"),
         F.col("customer.email").alias("customerEmail"),
@@ -109,14 +93,15 @@ def to_lakehouse(messages: DataFrame, topic: str, *keep: str) -> DataFrame:
 
 
 def message_key(topic: Column, value: Column) -> Column:
-    """The merge key of a message, by topic; null for unknown topics."""
-    wrapped = F.get_json_object(value, "$.payload").startswith("{")
-
-    def key_in(field: str) -> Column:
-        inner = F.get_json_object(value, f"$.payload.{field}")
-        return F.when(wrapped, inner).otherwise(F.get_json_object(value, f"$.{field}"))
-
-    return F.coalesce(*[F.when(topic == name, key_in(field)) for name, field in schemas.TOPIC_KEYS.items()])
+    """The merge key of a message, by topic; null for unknown topics. The text is parsed once."""
+    fields = ", ".join(f"{name} string" for name in dict.fromkeys(schemas.TOPIC_KEYS.values()))
+    record = F.from_json(value, f"{fields}, payload struct<{fields.replace(' string', ': string')}>")
+
+    key = lambda r: F.coalesce(*[
+        F.when(topic == name, F.when(r["payload"].isNotNull(), r["payload"][field]).otherwise(r[field]))
+        for name, field in schemas.TOPIC_KEYS.items()
+    ])
+    return F.transform(F.array(record), key)[0]
 
 
 def drop_keyless(messages: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from orderweir.operators.hotkeys import SLICE, slice_hot_keys
+from orderweir.operators.hotkeys import SLICE, in_several, slice_by_rows
 
 
 def newest(event_time: str, arrival: str, latest: list[str]) -> Column:
@@ -32,9 +32,7 @@ def running_totals(
     times the later arrival wins. `arrival` is a unique whole number per key.
     Columns that are neither summed nor latest keep the event's own value.
     """
-    rows = slice_hot_keys(
-        events.withColumn("_newest", newest(event_time, arrival, latest)), key, arrival, max_rows
-    )
+    rows = slice_by_rows(events, key, [arrival], max_rows).withColumn("_newest", newest(event_time, arrival, latest))
     so_far = W.partitionBy(key, SLICE).orderBy(arrival).rowsBetween(W.unboundedPreceding, W.currentRow)
     local = rows.select(
         *[F.col(name) for name in events.columns if name not in {*sums, *latest, event_time}],
@@ -44,7 +42,7 @@ def running_totals(
     )
     carried = _carry(rows, key, sums)
     joined = local.join(
-        F.broadcast(carried),  # one row per slice of a hot key, see slice_hot_keys
+        carried,
         local[key].eqNullSafe(carried["_key"]) & (local[SLICE] == carried["_from"]),
         "left",
     )
@@ -66,14 +64,12 @@ def running_totals(
 
 
 def _carry(rows: DataFrame, key: str, sums: list[str]) -> DataFrame:
-    """What each slice of a hot key inherits from the slices before it."""
-    per_slice = (
-        rows.filter(F.col(SLICE).isNotNull())
-        .groupBy(F.col(key).alias("_key"), F.col(SLICE).alias("_from"))
-        .agg(*[F.sum(name).alias(name) for name in sums], F.max("_newest").alias("_newest"))
+    """What each slice of a key inherits from the slices before it; keys of one slice inherit nothing."""
+    per_slice = rows.groupBy(F.col(key).alias("_key"), F.col(SLICE).alias("_from")).agg(
+        *[F.sum(name).alias(name) for name in sums], F.max("_newest").alias("_newest")
     )
     before = W.partitionBy("_key").orderBy("_from").rowsBetween(W.unboundedPreceding, -1)
-    return per_slice.select(
+    return in_several(per_slice, "_key").select(
         "_key",
         "_from",
         *[F.sum(name).over(before).alias(f"_before_{name}") for name in sums],

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, IntegerType, StructType
+from pyspark.sql.types import BooleanType, StructType
 
 from orderweir.operators.latest import duplicate_keys, first_per_key, latest_per_key
 
@@ -31,7 +31,7 @@ def merged(
     update: Sequence[str] | None = None,
     insert: Sequence[str] | None = None,
     defaults: dict[str, Column] | None = None,
-    newer_by: str | None = None,
+    newer_by: str | Sequence[str] | None = None,
     touch: dict[str, Column] | None = None,
     delete_when: Column | None = None,
 ) -> DataFrame:
@@ -40,7 +40,7 @@ def merged(
     update / insert  columns set on a match / on a new key (default: all the source has);
                      columns left out keep their value, or start as default or null
     defaults         values for inserted columns that come without one
-    newer_by         a match is applied only if the source is not older in this column
+    newer_by         a match is applied only if the source is not older in this column, or in these in turn
     touch            columns set on insert and whenever an updated column really changes
     delete_when      condition on the source: a match is removed, a new key is not inserted
     """
@@ -68,7 +68,10 @@ def merged(
     is_new, is_kept = F.col("old").isNull(), F.col("new").isNull()
     applies = F.lit(True)
     if newer_by:
-        applies = F.col(f"old.{newer_by}").isNull() | (F.col(f"new.{newer_by}") >= F.col(f"old.{newer_by}"))
+        guard = [newer_by] if isinstance(newer_by, str) else list(newer_by)
+        offered_at, stored_at = (F.struct(*[F.col(f"{side}.{name}") for name in guard]) for side in ("new", "old"))
+        first = guard[0]
+        applies = F.col(f"old.{first}").isNull() | (F.col(f"new.{first}").isNotNull() & (offered_at >= stored_at))
         applies = F.coalesce(applies, F.lit(False))
     if delete_when is not None:
         removed = F.coalesce(F.col("new._remove"), F.lit(False)) & (is_new | applies)
@@ -110,87 +113,99 @@ def insert_if_absent(
 
 
 class KeyedTable:
-    """A Parquet table with one row per key, kept in hash buckets.
+    """A Parquet table with one row per key; every merge writes a new version of it.
 
-    A merge reads and rewrites only the buckets its source touches, with dynamic
-    partition overwrite. One writer per table. Running the same batch again gives
-    the same rows, so a failed or repeated batch is repaired by its retry.
-    Removed keys stay as marked rows for as long as a time guard may need them.
+    A version is a folder that counts once its write is complete, so a merge that fails leaves the old
+    rows readable and may simply be run again. The version before the current one stays for
+    readers that are still at work, older ones are removed. One writer per table. With a batch id,
+    which the version records, a batch that is not newer than the last one is skipped. Rows without
+    a whole key are not merged. Removed keys stay as marked rows where a time guard may need them.
 
-    Choose `buckets` so that one bucket is a few hundred megabytes. Small batches
-    against a very large table belong in an append-only log with `compact_latest`,
-    or in a table format with its own MERGE (`merge_into`).
+    A merge costs a pass over the table: it is for batches that touch much of it. Small batches belong
+    in an append-only log that is read by `latest_per_key` and compacted now and then, or in a table
+    format with its own MERGE (`merge_into`).
     """
 
     def __init__(
         self, spark: SparkSession, path: str, keys: list[str], schema: StructType | str | None = None, buckets: int = 8
     ):
+        """buckets: files of a version; it may differ from one writer to the next."""
         self.spark, self.path, self.keys, self.buckets = spark, path, keys, buckets
         self.schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
-    def _bucketed(self, df: DataFrame) -> DataFrame:
-        """Add the bucket number: the number Spark's hash partitioning on the key gives as well."""
-        return df.withColumn("_bucket", F.pmod(F.hash(*self.keys), F.lit(self.buckets)))
-
-    def _write(self, df: DataFrame) -> None:
-        """Write rows that are hash partitioned by key: every task holds whole buckets."""
-        (
-            self._bucketed(df)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("_bucket")
-            .parquet(self.path)
-        )
+    def _folder(self):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _versions(self) -> list[str]:
+        """Names of complete versions, oldest first: v<number>-<last batch id>."""
+        files, path = self._folder()
+        if not files.exists(path):
+            return []
+        child = self.spark._jvm.org.apache.hadoop.fs.Path
+        names = [status.getPath().getName() for status in files.listStatus(path)]
+        return sorted(n for n in names if n.startswith("v") and files.exists(child(f"{self.path}/{n}/_SUCCESS")))
+
+    def last_batch(self) -> int | None:
+        """Id of the last batch that was merged, if batches have ids."""
+        versions = self._versions()
+        batch = versions[-1].partition("-")[2] if versions else ""
+        return int(batch) if batch else None
+
+    def _write(self, df: DataFrame, batch_id: int | None) -> None:
+        versions = self._versions()
+        number = int(versions[-1][1:].partition("-")[0]) + 1 if versions else 0
+        df.write.mode("overwrite").parquet(f"{self.path}/v{number:09d}-{'' if batch_id is None else batch_id}")
+        files, _ = self._folder()
+        for old in versions[:-1]:
+            files.delete(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{old}"), True)
 
     def create(self, rows: DataFrame) -> KeyedTable:
         """Write the first version; `rows` must be unique per key."""
         self.schema = rows.schema
-        self._write(rows.withColumn("_removed", F.lit(False)).repartition(self.buckets, *self.keys))
+        self._write(rows.withColumn("_removed", F.lit(False)).repartition(self.buckets, *self.keys), None)
         return self
 
     def _stored(self) -> DataFrame:
-        fields = StructType([*self.schema.fields]).add("_removed", BooleanType()).add("_bucket", IntegerType())
-        return self.spark.read.schema(fields).parquet(self.path)
+        fields = StructType([*self.schema.fields]).add("_removed", BooleanType())
+        return self.spark.read.schema(fields).parquet(f"{self.path}/{self._versions()[-1]}")
 
     def read(self) -> DataFrame:
-        return self._stored().filter("not _removed").drop("_removed", "_bucket")
+        return self._stored().filter("not _removed").drop("_removed")
 
-    def upsert(self, source: DataFrame, order: list[str] | None = None, strict: bool = False, **rules) -> KeyedTable:
+    def upsert(
+        self, source: DataFrame, order: list[str] | None = None, strict: bool = False, batch_id: int | None = None, **rules
+    ) -> KeyedTable:
         """Merge a batch; see `merged` for the rules.
 
         The latest row per key by `order` is merged. With `strict`, repeated keys
-        are an error instead.
+        are an error instead. A batch id that is not above the last one is skipped.
         """
+        last = self.last_batch()
+        if batch_id is not None and last is not None and batch_id <= last:
+            return self
+        source = source.dropna(subset=self.keys)
         if strict:
             require_unique(source, self.keys)
         elif order:
             source = latest_per_key(source, self.keys, order)
         delete_when = rules.pop("delete_when", None)
         removed = F.lit(False) if delete_when is None else F.coalesce(delete_when, F.lit(False))
-        batch = self._bucketed(source.withColumn("_removed", removed)).persist()
-        try:
-            # At most one small number per bucket reaches the driver.
-            touched = [row[0] for row in batch.select("_bucket").distinct().collect()]
-            if not touched:
-                return self
-            stored = self._stored().filter(F.col("_bucket").isin(touched)).drop("_bucket")
-            if not rules.get("newer_by"):
-                # Every touched bucket keeps a row of the batch, so old marks can go.
-                stored = stored.filter("not _removed")
-            for rule in ("update", "insert"):
-                if rules.get(rule) is not None:
-                    rules[rule] = [*rules[rule], "_removed"]
-            # Partitioned alike, the two sides join and are written without another shuffle.
-            old = stored.repartition(self.buckets, *self.keys)
-            new = batch.drop("_bucket").repartition(self.buckets, *self.keys)
-            self._write(merged(old, new, self.keys, **rules))
-        finally:
-            batch.unpersist()
+        old = self._stored()
+        if not rules.get("newer_by"):
+            old = old.filter("not _removed")
+        for rule in ("update", "insert"):
+            if rules.get(rule) is not None:
+                rules[rule] = [*rules[rule], "_removed"]
+        # Partitioned alike, the two sides join and are written without another shuffle.
+        old = old.repartition(self.buckets, *self.keys)
+        new = source.withColumn("_removed", removed).repartition(self.buckets, *self.keys)
+        self._write(merged(old, new, self.keys, **rules), last if batch_id is None else batch_id)
         return self
 
     def append_absent(self, source: DataFrame, order: list[str], defaults: dict[str, Column] | None = None) -> KeyedTable:
         """Add the first row of every key that is not there yet; existing rows stay as they are."""
-        return self.upsert(insert_if_absent(self.read(), source, self.keys, order, defaults))
+        return self.upsert(first_per_key(source, self.keys, order), update=[], defaults=defaults)
 
 
 def merge_into(source: DataFrame, table: str, keys: list[str], update: list[str], insert: list[str]) -> None:

@@ -14,14 +14,12 @@ def fact_rollup(fact: DataFrame) -> DataFrame:
 
     For the two distinct counts Spark first groups by (customer, order) and
     (customer, product), so a customer with very many lines is spread over all
-    tasks until the last, already combined step. The largest month name is found
-    apart: a text maximum would turn the whole aggregate into a sorting one.
+    tasks until the last, already combined step. The largest month name comes from a bit per
+    month: a text maximum would turn the whole aggregate into a sorting one.
     """
-    names = (
-        fact.groupBy(F.col("customer_id").alias("n_customer"), "month_name")
-        .agg(F.count("*").alias("lines"))
-        .groupBy("n_customer")
-        .agg(F.max("month_name").alias("last_order_month_name"))
+    month_names = [F.date_format(F.make_date(F.lit(2000), F.lit(m), F.lit(1)), "MMMM") for m in range(1, 13)]
+    largest = F.greatest(
+        *[F.when(F.col("months").bitwiseAND(1 << m) != 0, name) for m, name in enumerate(month_names, 1)]
     )
     figures = fact.groupBy("customer_id").agg(
         F.sum("line_total").cast(MONEY).alias("recomputed_total_from_line_items"),
@@ -35,8 +33,9 @@ def fact_rollup(fact: DataFrame) -> DataFrame:
         F.max("month").alias("last_order_month"),
         F.bool_or(F.coalesce("is_weekend", F.lit(False))).alias("has_weekend_orders"),
         F.max("order_timestamp").alias("last_line_item_timestamp"),
+        F.bit_or(F.expr("shiftleft(1, month)")).alias("months"),
     )
-    return figures.join(names, F.col("customer_id").eqNullSafe(F.col("n_customer"))).drop("n_customer")
+    return figures.withColumn("last_order_month_name", largest).drop("months")
 
 
 def customer_sales_summary(snapshots: DataFrame, customers: DataFrame, rollup: DataFrame) -> DataFrame:

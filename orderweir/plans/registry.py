@@ -59,13 +59,13 @@ def src_raw_orders(landing: Landing) -> DataFrame:
         F.col("customer.customerId").alias("customer_id"),
         F.col("customer.segment").alias("segment"),
         c.money(F.col("orderTotal")).alias("order_total"),
-        c.array_size(F.col("lineItems")).alias("line_count"),
+        F.col("lineCount").alias("line_count"),
         F.coalesce(lines_total, zero).alias("lines_total"),
     )
-    # Orders too large for one message arrive in parts.
+    # An order's lines may come in several events.
     return decoded.groupBy("order_id", "customer_id", "segment").agg(
         F.max("order_total").alias("order_total"),
-        F.sum("line_count").cast("int").alias("line_count"),
+        F.max("line_count").alias("line_count"),
         F.sum("lines_total").cast(c.MONEY).alias("lines_total"),
     )
 
@@ -142,7 +142,7 @@ def federated_customer_compare(landing: Landing) -> DataFrame:
 # ---- projections and envelopes ---------------------------------------------------
 @query
 def proj_sales_order(landing: Landing) -> DataFrame:
-    return projections.join_parts(projections.sales_orders(order_events(landing)))
+    return projections.sales_orders(order_events(landing))
 
 
 @query
@@ -448,6 +448,7 @@ def merge_customer_sales(landing: Landing) -> DataFrame:
     return table.upsert(late, order=["updated_at", "arrival"], newer_by="updated_at").read()
 
 
+# The columns that a sync copies.
 SYNC_COLUMNS = {
     "sales_order": [
         "orderid", "ordertimestamp", "customerid", "customername", "customeremail", "customersegment",
@@ -729,6 +730,42 @@ def stream_change_chain(landing: Landing) -> DataFrame:
     return change_chain(landing, shared_dir(landing.spark, "chain"))
 
 
+@query
+def contributions_from_events(landing: Landing) -> DataFrame:
+    """Totals per customer from nested order events, each order counted once however many parts it has."""
+    totals = latest_totals(
+        projections.customer_contributions(order_events(landing), "arrival"),
+        "customerId", "arrival", "updatedAt", projections.CUSTOMER_SUMS, projections.CUSTOMER_LATEST,
+    )
+    return _event_totals(totals)
+
+
+def _event_totals(totals: DataFrame) -> DataFrame:
+    return totals.select(
+        F.col("customerId").alias("customer_id"),
+        F.col("orderCount").alias("order_count"),
+        F.col("totalSpent").cast(c.MONEY).alias("total_spent"),
+        F.col("lastOrderId").alias("last_order_id"),
+        F.col("customerSegment").alias("customer_segment"),
+    )
+
+
+@query
+def stream_order_fanout_totals(landing: Landing) -> DataFrame:
+    """The same from a stream of the events."""
+    from orderweir.streaming.jobs import event_totals
+
+    return _event_totals(event_totals(landing, shared_dir(landing.spark, "event-totals")))
+
+
+@query
+def stream_dedupe_redelivered(landing: Landing) -> DataFrame:
+    """The whole change log delivered twice to a stream: every distinct change once, however late."""
+    from orderweir.streaming.jobs import redelivered_changes
+
+    return redelivered_changes(landing, shared_dir(landing.spark, "redelivered"))
+
+
 # ---- data quality -------------------------------------------------------------------------
 @query
 def dq_not_null(landing: Landing) -> DataFrame:
@@ -833,7 +870,7 @@ def schema_drift(landing: Landing) -> DataFrame:
 def layer_parity(landing: Landing) -> DataFrame:
     """Orders and lines in landing against the fact: every line must be there, orders without lines are not."""
     models = Models(landing)
-    fact = models.fact_sales_order
+    fact = stored(models.fact_sales_order, "fact")
     lines = quality.parity(
         "line_items", models.stage("stg_sales_order_line_item"), fact.select("line_item_id"), "line_item_id"
     )
@@ -938,11 +975,12 @@ def alert_increase(landing: Landing) -> DataFrame:
     samples = landing.source("events").select(
         "event_id", "event_type", "ts", F.get_json_object("props", "$.k").cast("bigint").alias("counter")
     )
-    return monitor.increase(samples, ["event_type"], "ts", "counter", 300).filter("increase > 0")
+    return monitor.increase(samples, ["event_type"], "ts", "counter", 300, "event_id").filter("increase > 0")
 
 
 def _probes(landing: Landing) -> DataFrame:
     return landing.source("events").select(
+        "event_id",
         c.prefixed("instance-", F.col("user_id")).alias("instance"),
         "ts",
         F.when(F.col("event_type") == "error", 0).otherwise(1).alias("success"),
@@ -952,7 +990,7 @@ def _probes(landing: Landing) -> DataFrame:
 
 @query
 def probe_health(landing: Landing) -> DataFrame:
-    return monitor.probe_health(_probes(landing), ["instance"], "ts", "success")
+    return monitor.probe_health(_probes(landing), ["instance"], "ts", "success", "event_id")
 
 
 @query

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 # ---- raw order event: money and time are text on the wire -------------------
 RAW_ORDER = """
-orderId string, orderTimestamp string, currency string, orderTotal string,
+orderId string, part int, lineCount int, orderTimestamp string, currency string, orderTotal string,
 customer struct<customerId:string, firstName:string, lastName:string, email:string, segment:string>,
 lineItems array<struct<lineItemId:string, sku:string, productName:string,
                        quantity:int, unitPrice:string, lineTotal:string>>

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,9 +23,6 @@ RUNTIME_SETTINGS = {
     ),
 }
 
-_local_base: str | None = None
-
-
 def build_session(app: str = "orderweir", master: str | None = None, **settings) -> SparkSession:
     """A session with the library's settings; the master comes from spark-submit when not given."""
     builder = SparkSession.builder.appName(app)
@@ -45,19 +41,10 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh path below the cluster's shared folder (`spark.checkpoint.dir`).
-
-    Only a local session may fall back to a temporary folder: on a cluster the
-    executors would each write to their own disk.
-    """
-    global _local_base
+    """A fresh path below the folder that all executors share: `spark.checkpoint.dir`, else the warehouse's."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        if _local_base is None:
-            _local_base = tempfile.mkdtemp(prefix="orderweir-")
-        base = _local_base
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

@@ -18,7 +18,15 @@ from pyspark.sql import functions as F
 
 from orderweir.functions import columns as c
 from orderweir.functions.calendar import calendar_between
-from orderweir.operators.running import running_totals
+from orderweir.operators.running import latest_totals, running_totals
+
+_TOTALS = {
+    "key": "customerid",
+    "arrival": "arrival",
+    "event_time": "updatedat",
+    "sums": ["ordercount", "totalspent"],
+    "latest": ["customername", "customeremail", "customersegment", "lastorderid", "currency"],
+}
 
 
 class Landing:
@@ -103,9 +111,9 @@ class Landing:
         return self.line_arrivals().drop("shipped_at", "position", "status")
 
     # ---- customer changelog ---------------------------------------------
-    def customer_sales_arrivals(self) -> DataFrame:
-        """One running snapshot per order event, in arrival order, plus arrival and status."""
-        contribution = self.orders_with_customer().select(
+    def _contributions(self) -> DataFrame:
+        """What each order adds to its customer."""
+        return self.orders_with_customer().select(
             "customerid", "customername", "customeremail", "customersegment", "currency",
             F.col("orderid").alias("lastorderid"),
             F.col("ordertimestamp").alias("updatedat"),
@@ -114,14 +122,18 @@ class Landing:
             "arrival",
             "status",
         )
-        running = running_totals(
-            contribution,
-            key="customerid",
-            arrival="arrival",
-            event_time="updatedat",
-            sums=["ordercount", "totalspent"],
-            latest=["customername", "customeremail", "customersegment", "lastorderid", "currency"],
-        )
+
+    def customer_sales_latest(self) -> DataFrame:
+        """The last snapshot of each customer, without building the others."""
+        last = latest_totals(self._contributions(), **_TOTALS)
+        return last.withColumn("totalspent", F.col("totalspent").cast(c.MONEY)).select(
+            "customerid", "customername", "customeremail", "customersegment", "ordercount", "totalspent",
+            "lastorderid", "updatedat", "currency",
+        )
+
+    def customer_sales_arrivals(self) -> DataFrame:
+        """One running snapshot per order event, in arrival order, plus arrival and status."""
+        running = running_totals(self._contributions(), **_TOTALS)
         return running.select(
             "customerid", "customername", "customeremail", "customersegment",
             F.col("ordercount").cast("bigint").alias("ordercount"),

@@ -14,28 +14,24 @@ LINES_PER_MESSAGE = 1000
 
 
 def order_event_json(landing: Landing, lines_per_message: int | None = None) -> DataFrame:
-    """One JSON order event per order: `(arrival, value)`.
+    """JSON order events: `(arrival, value)`.
 
-    An order with more lines than fit a message is spread over several messages
-    by a hash of the line, so no array and no task ever holds a huge order. Its
-    total travels in a message of its own, without lines.
+    Every event names its `part` of the order and the order's `lineCount`. An order has a part
+    per `lines_per_message` lines, which a hash of the line spreads over them; part 0 always
+    exists. Whoever counts orders takes part 0, whoever reads lines takes all parts.
     """
-    lines_per_message = lines_per_message or LINES_PER_MESSAGE
+    limit = lines_per_message or LINES_PER_MESSAGE
     line = landing.source("lineitem")
     part = landing.source("part")
-    oversized = (
-        line.groupBy(F.col("l_orderkey").alias("big_order"))
-        .agg(F.count("*").alias("n"))
-        .filter(F.col("n") > lines_per_message)
-        .select("big_order", F.expr(f"n div {lines_per_message // 2}").alias("parts"))
-    )
-    spread = F.pmod(F.xxhash64("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"), F.col("parts"))
+    counts = line.groupBy(F.col("l_orderkey").alias("key")).agg(F.count("*").alias("line_count"))
+    parts = F.expr(f"1 + (line_count - 1) div {limit}")
+    spread = F.pmod(F.xxhash64("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"), parts)
     packed = (
         line.join(part, line.l_partkey == part.p_partkey)
-        .join(oversized, line.l_orderkey == oversized.big_order, "left")
+        .join(counts, line.l_orderkey == counts.key)
         .select(
             "l_orderkey",
-            F.coalesce(spread + 1, F.lit(0)).alias("part"),
+            spread.alias("part"),
             F.struct(
                 line_item_id().alias("lineItemId"),
                 c.prefixed("SKU-", F.col("l_partkey")).alias("sku"),
@@ -45,28 +41,27 @@ def order_event_json(landing: Landing, lines_per_message: int | None = None) ->
                 c.plain_text(c.money(F.col("l_extendedprice"))).alias("lineTotal"),
             ).alias("line"),
         )
-        .groupBy("l_orderkey", "part")
+        .groupBy(F.col("l_orderkey").alias("key"), "part")
         .agg(F.collect_list("line").alias("lineItems"))
     )
-    no_lines = F.array().cast(packed.schema["lineItems"].dataType).alias("lineItems")
-    packed = packed.unionByName(
-        oversized.select(F.col("big_order").alias("l_orderkey"), F.lit(0).cast("bigint").alias("part"), no_lines)
-    )
+    every_part = counts.select("key", "line_count", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)).alias("part"))
+    pieces = every_part.join(packed, ["key", "part"], "left")
     orders = landing.source("orders")
     customer = landing.source("customer")
     name = F.split(F.col("c_name"), "#")
-    first_part = F.coalesce(F.col("part"), F.lit(0)) == 0
     return (
         orders.join(customer, orders.o_custkey == customer.c_custkey)
-        .join(packed, orders.o_orderkey == packed.l_orderkey, "left")
+        .join(pieces, orders.o_orderkey == pieces.key, "left")
         .select(
             F.col("o_orderkey").alias("arrival"),
             F.to_json(
                 F.struct(
                     c.prefixed("SO-", F.col("o_orderkey")).alias("orderId"),
+                    F.coalesce("part", F.lit(0)).cast("int").alias("part"),
+                    F.coalesce("line_count", F.lit(0)).cast("int").alias("lineCount"),
                     c.iso_text(F.col("o_orderdate")).alias("orderTimestamp"),
                     F.lit("USD").alias("currency"),
-                    F.when(first_part, c.plain_text(c.money(F.col("o_totalprice")))).alias("orderTotal"),
+                    c.plain_text(c.money(F.col("o_totalprice"))).alias("orderTotal"),
                     F.struct(
                         c.prefixed("CUST-", F.col("o_custkey")).alias("customerId"),
                         name[0].alias("firstName"),
@@ -81,6 +76,11 @@ def order_event_json(landing: Landing, lines_per_message: int | None = None) ->
     )
 
 
+def is_header() -> Column:
+    """True for the one event of an order that stands for it; events without parts are whole orders."""
+    return F.coalesce(F.col("part"), F.lit(0)) == 0
+
+
 def parse_order_events(messages: DataFrame, value: str = "value") -> DataFrame:
     """JSON text to typed event columns; works on a batch and on a stream.
 

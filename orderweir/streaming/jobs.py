@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from orderweir.functions import columns as c
 from orderweir.operators import cdc, projections
+from orderweir.operators.latest import latest_per_key
 from orderweir.operators.running import latest_totals
-from orderweir.operators.upsert import KeyedTable
+from orderweir.sources.changes import changes
 from orderweir.sources.landing import Landing
-from orderweir.sources.order_events import parse_order_events
+from orderweir.sources.order_events import order_event_json, parse_order_events
 from orderweir.streaming.changelog import Changelog
 from orderweir.streaming.sinks import append_batch
 
@@ -64,9 +65,22 @@ def totals_stream(events: DataFrame, arrival: str) -> DataFrame:
     )
 
 
-def merge_totals(totals: DataFrame, table: KeyedTable):
-    """Write updated totals to a keyed table. Rows are whole totals, so a repeated batch changes nothing."""
-    return totals.writeStream.outputMode("update").foreachBatch(lambda batch, _: table.upsert(batch))
+def log_totals(totals: DataFrame, path: str):
+    """Append updated totals to a log. A batch writes its own rows only, and a repeated batch replaces itself.
+
+    Rows are whole totals: the last one of each key is its state, see `last_logged`.
+    """
+    return totals.writeStream.outputMode("update").foreachBatch(lambda batch, i: append_batch(batch, i, path))
+
+
+def last_logged(spark: SparkSession, path: str, keys: list[str], order: list[str]) -> DataFrame:
+    """The state that a log of updates describes: the last row of every key."""
+    return latest_per_key(spark.read.parquet(path), keys, [*order, "_batch_id"]).drop("_ingest_ts", "_batch_id")
+
+
+def compact_log(spark: SparkSession, path: str, target: str, keys: list[str], order: list[str]) -> None:
+    """Write the state of a log to a new folder; run it now and then, and start a new log beside it."""
+    last_logged(spark, path, keys, order).write.mode("errorifexists").parquet(target)
 
 
 def source_stream(landing: Landing, name: str, files_per_batch: int = 64) -> DataFrame:
@@ -93,15 +107,31 @@ def customer_totals(landing: Landing, path: str) -> DataFrame:
     )
     totals = latest_totals(stream, "customer_id", "arrival", "updated_at", ["order_count", "total_spent"], ["last_order_id"])
     totals = totals.withColumn("total_spent", F.col("total_spent").cast(c.MONEY))
-    table = KeyedTable(
-        spark,
-        f"{path}/table",
-        ["customer_id"],
-        buckets=int(spark.conf.get("spark.sql.shuffle.partitions")),
+    run_available(log_totals(totals, f"{path}/log"), f"{path}/checkpoint")
+    return last_logged(spark, f"{path}/log", ["customer_id"], [])
+
+
+def event_totals(landing: Landing, path: str) -> DataFrame:
+    """Nested order events read as a stream, parsed, and summed per customer."""
+    spark = landing.spark
+    order_event_json(landing).write.parquet(f"{path}/topic")
+    messages = spark.readStream.schema("arrival bigint, value string").option("maxFilesPerTrigger", 64).parquet(f"{path}/topic")
+    totals = totals_stream(parse_order_events(messages), "arrival")
+    run_available(log_totals(totals, f"{path}/log"), f"{path}/checkpoint")
+    return last_logged(spark, f"{path}/log", ["customerId"], [])
+
+
+def redelivered_changes(landing: Landing, path: str) -> DataFrame:
+    """The change log delivered twice as a stream, reduced to one copy of each change."""
+    spark = landing.spark
+    sent = changes(landing).select("entity_id", "op", "ts_ms", "position")
+    sent.unionByName(sent).write.parquet(f"{path}/topic")
+    stream = spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", 64).parquet(f"{path}/topic")
+    once = dedupe_stream(stream, ["entity_id"])
+    run_available(
+        once.writeStream.foreachBatch(lambda batch, i: append_batch(batch, i, f"{path}/log")), f"{path}/checkpoint"
     )
-    table.create(spark.createDataFrame([], totals.schema))
-    run_available(merge_totals(totals, table), f"{path}/checkpoint")
-    return table.read()
+    return spark.read.parquet(f"{path}/log").drop("_ingest_ts", "_batch_id")
 
 
 def enrich_events(landing: Landing, path: str) -> DataFrame:
@@ -156,41 +186,46 @@ def change_chain(landing: Landing, path: str) -> DataFrame:
         F.when(~deleted, row).alias("after"),
     )
     run_available(changes_to_bronze(decoded, f"{path}/log"), f"{path}/checkpoint-log")
-    fields = "entity_id bigint, ts_ms bigint, position bigint, op string, user_id bigint, value decimal(18,2)"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = KeyedTable(spark, f"{path}/table", ["entity_id"], buckets=buckets)
-    table.create(spark.createDataFrame([], fields))
     log = spark.readStream.schema(spark.read.parquet(f"{path}/log").schema).parquet(f"{path}/log")
-    run_available(bronze_to_current(log, table), f"{path}/checkpoint-table")
-    return table.read().select("entity_id", "ts_ms", "value")
+    run_available(bronze_to_current(log, ["entity_id"], f"{path}/last"), f"{path}/checkpoint-last")
+    return current_of(spark, ["entity_id"], f"{path}/last").select("entity_id", "ts_ms", "value")
 
 
-def changes_to_bronze(changes: DataFrame, path: str):
+def changes_to_bronze(decoded: DataFrame, path: str):
     """First half of the change chain: an immutable log of decoded changes."""
-    return changes.writeStream.foreachBatch(lambda batch, batch_id: append_batch(batch, batch_id, path))
+    return decoded.writeStream.foreachBatch(lambda batch, batch_id: append_batch(batch, batch_id, path))
 
 
-def bronze_to_current(bronze: DataFrame, table: KeyedTable, row: str = "after"):
-    """Second half: the log merged into current state.
+def bronze_to_current(bronze: DataFrame, keys: list[str], path: str, row: str = "after"):
+    """Second half: the last change of each key in a batch, appended to a log of much fewer rows.
 
-    Per batch the last change of a key by (time, position) is applied, never over
-    a newer one; a delete removes the key.
+    `current_of` reads the state from it; no batch touches what earlier ones wrote.
     """
 
-    def write(batch: DataFrame, _: int) -> None:
-        changes = batch.filter(F.col("op").isin(*cdc.EVERY_OPERATION)).select(
-            *table.keys, "ts_ms", "position", "op", f"{row}.*"
-        )
-        table.upsert(changes, order=["ts_ms", "position"], newer_by="ts_ms", delete_when=F.col("op") == "d")
+    def write(batch: DataFrame, batch_id: int) -> None:
+        known = batch.filter(F.col("op").isin(*cdc.EVERY_OPERATION))
+        last = latest_per_key(known, keys, ["ts_ms", "position"])
+        append_batch(last.select(*keys, "ts_ms", "position", "op", f"{row}.*"), batch_id, path)
 
     return bronze.writeStream.foreachBatch(write)
 
 
-def dedupe_stream(changes: DataFrame, keys: list[str], keep_for: str = "1 hour") -> DataFrame:
-    """Drop repeated deliveries; state is kept for `keep_for` of event time."""
-    timed = changes.withColumn("_event_time", F.timestamp_millis(F.col("ts_ms")))
+def current_of(spark: SparkSession, keys: list[str], path: str) -> DataFrame:
+    """The live row of every key: its last change by (time, position) over all batches, unless that was a delete."""
+    return last_logged(spark, path, keys, ["ts_ms", "position"]).filter("op <> 'd'")
+
+
+def dedupe_stream(
+    records: DataFrame, keys: list[str], arrival: str | None = None, keep_for: str = "1 hour"
+) -> DataFrame:
+    """Drop repeated deliveries that arrive within `keep_for` of the first one.
+
+    State is kept by arrival, not by the time of the change: a change that is new but old by its own
+    time, as in a replay, is never dropped. Without an `arrival` column it is the time of the batch.
+    """
+    timed = records.withColumn("_arrival", F.col(arrival).cast("timestamp") if arrival else F.current_timestamp())
     return (
-        timed.withWatermark("_event_time", keep_for)
+        timed.withWatermark("_arrival", keep_for)
         .dropDuplicatesWithinWatermark([*keys, "position", "ts_ms"])
-        .drop("_event_time")
+        .drop("_arrival")
     )

@@ -27,13 +27,14 @@ def append_batch(df: DataFrame, batch_id: int, path: str, ingested_at: datetime.
     )
 
 
-def append_json(df: DataFrame, batch_id: int, path: str, files: int = 1) -> None:
-    """Raw records as JSON objects, `files` files per batch and not one per record."""
+def append_json(df: DataFrame, batch_id: int, path: str, rows_per_file: int = 1_000_000) -> None:
+    """Raw records as JSON objects, `rows_per_file` to a file and not one; small pieces are put together first."""
     (
-        df.coalesce(files)
+        df.hint("rebalance")
         .withColumn("_batch_id", F.lit(batch_id).cast("bigint"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", rows_per_file)
         .partitionBy("_batch_id")
         .json(path)
     )
@@ -43,7 +44,7 @@ def full_refresh(spark: SparkSession, tables: dict[str, DataFrame], path: str) -
     """Replace whole tables; returns rows written, observed during the write.
 
     The only partition of a table is overwritten dynamically: new files are
-    staged and swapped in at the end, so a failed run leaves the old rows.
+    staged and swapped in when the write is done. Readers may meet the moment of the swap.
     """
     counts = {}
     for name, df in tables.items():
@@ -89,7 +90,7 @@ def merge_topic(table: KeyedTable, topic: str, order: list[str] | None = None, g
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = to_lakehouse(batch.filter((F.col("topic") == topic) & F.col("value").isNotNull()), topic, *order)
         keyed = rows.filter(has_key(F.col(lakehouse_key(topic))))
-        table.upsert(keyed, order=order, newer_by=guard)
+        table.upsert(keyed, order=order, newer_by=guard, batch_id=batch_id)
 
     return write
 

@@ -1,5 +1,6 @@
 import pathlib
 import sys
+import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -18,6 +19,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "6g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="orderweir-tests-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

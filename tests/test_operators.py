@@ -160,14 +160,27 @@ def test_range_windows_across_blocks(spark, block):
     df = spark.createDataFrame(samples, "series string, t timestamp_ntz, v bigint")
     want = brute_force(samples, 90)
     highest = monitor.max_over_time(df, ["series"], "t", "v", 90, block)
-    grown = monitor.increase(df, ["series"], "t", "v", 90, block)
+    grown = monitor.increase(df.withColumn("id", F.monotonically_increasing_id()), ["series"], "t", "v", 90, "id", block)
     assert {(r.series, r.t): r.max_value for r in highest.collect()} == {k: v[0] for k, v in want.items()}
     assert {(r.series, r.t): r["increase"] for r in grown.collect()} == {k: v[1] for k, v in want.items()}
 
 
-def test_quantile_is_exact(spark):
+@pytest.mark.parametrize("cell", [1, 7, 4096])
+def test_quantile_is_exact(spark, cell):
     df = spark.range(1, 101).select(F.lit("g").alias("g"), F.col("id").alias("d"))
-    assert monitor.delay_quantile(df, ["g"], "d", 0.95).first().delay_quantile == 95
+    got = monitor.delay_quantile(df.unionByName(df), ["g"], "d", 0.95, cell).first()
+    assert (got.delay_quantile, got.events) == (95, 200)
+
+
+def test_tied_samples_do_not_depend_on_the_order_of_rows(spark):
+    at = datetime.datetime(2026, 1, 1)
+    data = [("s", at, i, v) for i, v in enumerate([1, 5, 2])]
+    for rows_in in (data, data[::-1]):
+        df = spark.createDataFrame(rows_in, "series string, t timestamp_ntz, id bigint, v bigint").coalesce(1)
+        grown = monitor.increase(df, ["series"], "t", "v", 60, "id")
+        assert {r["increase"] for r in grown.collect()} == {6}
+        up = df.withColumn("up", (F.col("v") > 2).cast("int"))
+        assert tuple(monitor.probe_health(up, ["series"], "t", "up", "id").first()) == (0, 1)
 
 
 def test_metric_definition(spark):
@@ -228,10 +241,10 @@ def test_catalog_statements(spark, folder):
 
 def test_json_objects_are_few_files(spark, tmp_path):
     path = str(tmp_path / "raw")
-    append_json(spark.range(1000).repartition(8), 0, path)
-    append_json(spark.range(1000).repartition(8), 0, path)
+    append_json(spark.range(1000).repartition(8), 0, path, 600)
+    append_json(spark.range(1000).repartition(8), 0, path, 600)
     assert spark.read.json(path).count() == 1000
-    assert len(list((tmp_path / "raw").rglob("part-*.json"))) == 1
+    assert len(list((tmp_path / "raw").rglob("part-*.json"))) == 2
 
 
 def test_connector_options():

@@ -48,18 +48,9 @@ def test_top_k_does_not_sort_everything(spark, folder):
 
 def test_merge_shuffles_each_side_once(spark):
     table = KeyedTable(spark, shared_dir(spark, "plan"), ["id"], buckets=4).create(spark.range(100))
-    old = table._stored().drop("_bucket").repartition(4, "id")
+    old = table._stored().repartition(4, "id")
     new = spark.range(50, 150).withColumn("_removed", F.lit(False)).repartition(4, "id")
-    text = plan(table._bucketed(merged(old, new, ["id"])))
-    assert text.count("Exchange ") == 2
-
-
-def test_a_bucket_is_a_hash_partition(spark):
-    """What lets a merge write its buckets without a shuffle."""
-    table = KeyedTable(spark, "unused", ["k"], buckets=7)
-    df = spark.range(1000).select(F.concat(F.lit("key-"), "id").alias("k")).repartition(7, "k")
-    wrong = table._bucketed(df).filter(F.col("_bucket") != F.spark_partition_id())
-    assert wrong.count() == 0
+    assert plan(merged(old, new, ["id"])).count("Exchange ") == 2
 
 
 def test_bucketed_landing_joins_without_a_shuffle(spark, folder):

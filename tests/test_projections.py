@@ -141,3 +141,8 @@ def test_large_orders_travel_in_parts(landing):
     assert lines(split) == lines(whole)
     total = lambda df: projections.sales_orders(df).agg(F.sum("orderTotal")).first()[0]
     assert total(split) == total(whole)
+    headers = lambda df: rows(projections.sales_orders(df))
+    assert headers(split) == headers(whole) and len(headers(split)) == landing.source("orders").join(
+        landing.source("customer"), F.col("o_custkey") == F.col("c_custkey")).count()
+    counted = lambda df: projections.customer_contributions(df).agg(F.sum("orderCount")).first()[0]
+    assert counted(split) == counted(whole) == len(headers(whole))

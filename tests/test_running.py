@@ -55,14 +55,24 @@ def test_slices_change_nothing(spark, max_rows):
     plain = running_totals(df, **ARGS).select(order)
     sliced = running_totals(df, **ARGS, max_rows=max_rows).select(order)
     assert rows(sliced) == rows(plain)
-    slices = hotkeys.slice_hot_keys(df, "k", "a", max_rows).filter("k = 'hot'").select(hotkeys.SLICE).distinct().count()
+    slices = hotkeys.slice_by_rows(df, "k", ["a"], max_rows).filter("k = 'hot'").select(hotkeys.SLICE).distinct().count()
     assert slices > 1
 
 
 def test_slices_bound_the_rows_of_a_task(spark):
-    df = spark.range(10_000).select(F.lit("hot").alias("k"), F.col("id").alias("a"))
-    biggest = hotkeys.slice_hot_keys(df, "k", "a", 100).groupBy(hotkeys.SLICE).count().agg(F.max("count")).first()[0]
-    assert biggest <= 100
+    """Also with an outlier far from all others."""
+    df = spark.range(10_001).select(F.lit("hot").alias("k"), F.expr("if(id = 10000, 1000000000000000, id)").alias("a"))
+    biggest = hotkeys.slice_by_rows(df, "k", ["a"], 500).groupBy(hotkeys.SLICE).count().agg(F.max("count")).first()[0]
+    assert biggest <= 1000
+
+
+@pytest.mark.parametrize("max_rows", [2, 3, 1000])
+def test_events_without_a_sequence_come_first_for_any_slices(spark, max_rows):
+    data = [("hot", a, 1, None, "x") for a in [None, *range(10)]]
+    df = spark.createDataFrame(data, "k string, a bigint, n bigint, t timestamp_ntz, name string")
+    df = df.withColumn("s", F.lit(1).cast("decimal(18,2)"))
+    got = running_totals(df, **ARGS, max_rows=max_rows).select("a", "n")
+    assert sorted((r.a if r.a is not None else -1, r.n) for r in got.collect()) == [(i - 1, i + 1) for i in range(11)]
 
 
 def test_history_with_slices(landing):

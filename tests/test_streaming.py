@@ -85,9 +85,8 @@ def test_stream_late_event(spark, tmp_path):
         os.utime(file, (1_700_000_000 + number,) * 2)
     events = parse_order_events(stream(spark, str(source), fmt="json"))
     totals = jobs.totals_stream(events, "arrival")
-    table = totals_table(spark, str(tmp_path / "t"), totals)
-    jobs.run_available(jobs.merge_totals(totals, table), str(tmp_path / "cp"))
-    got = table.read().first()
+    jobs.run_available(jobs.log_totals(totals, str(tmp_path / "t")), str(tmp_path / "cp"))
+    got = jobs.last_logged(spark, str(tmp_path / "t"), ["customerId"], []).first()
     assert (got.orderCount, str(got.totalSpent), got.lastOrderId, got.customerName) == (2, "15.00", "SO-2", "Ava SO-2")
 
 
@@ -98,10 +97,6 @@ def test_microbatch_bounds(spark, event_files, tmp_path):
     assert len(seen) == 4 and max(seen) < sum(seen)
 
 
-def totals_table(spark, path, frame):
-    return KeyedTable(spark, path, ["customerId"], buckets=4).create(spark.createDataFrame([], frame.schema))
-
-
 def test_stream_restart(spark, event_files, tmp_path):
     """The stream stops after some files, goes on from its checkpoint, and ends where a batch would."""
     incoming = tmp_path / "incoming"
@@ -110,12 +105,19 @@ def test_stream_restart(spark, event_files, tmp_path):
     events = parse_order_events(stream(spark, str(incoming)))
     totals = jobs.totals_stream(events, "arrival")
     whole = jobs.totals_stream(parse_order_events(spark.read.parquet(event_files)), "arrival")
-    table = totals_table(spark, str(tmp_path / "t"), whole)
+    log = tmp_path / "t"
+    earlier = set()
     for part in (files[:2], files[2:]):
         for file in part:
             (incoming / file.name).write_bytes(file.read_bytes())
-        jobs.run_available(jobs.merge_totals(totals, table), str(tmp_path / "cp"))
-    assert rows(table.read()) == rows(whole)
+        jobs.run_available(jobs.log_totals(totals, str(log)), str(tmp_path / "cp"))
+        written = {(f, f.stat().st_mtime_ns) for f in log.rglob("*.parquet")}
+        assert earlier < written  # a batch adds its own files and touches no other
+        earlier = written
+    state = jobs.last_logged(spark, str(log), ["customerId"], []).select(whole.columns)
+    assert rows(state) == rows(whole)
+    jobs.compact_log(spark, str(log), str(tmp_path / "compact"), ["customerId"], [])
+    assert rows(spark.read.parquet(str(tmp_path / "compact")).select(whole.columns)) == rows(whole)
 
 
 def test_stream_running_total(spark, event_files, tmp_path, monkeypatch):
@@ -244,13 +246,38 @@ def test_cdc_chain(spark, landing, tmp_path):
         "entity_id", F.coalesce("after.user_id", "before.user_id")
     )
     jobs.run_available(jobs.changes_to_bronze(decoded, bronze), str(tmp_path / "cp1"))
-    row = "entity_id bigint, ts_ms bigint, position bigint, op string, user_id bigint, value string, k int"
-    table = KeyedTable(spark, str(tmp_path / "t"), ["entity_id"], buckets=3).create(spark.createDataFrame([], row))
     log_schema = spark.read.parquet(bronze).schema
     log_stream = spark.readStream.schema(log_schema).option("maxFilesPerTrigger", 1).parquet(bronze)
-    jobs.run_available(jobs.bronze_to_current(log_stream, table), str(tmp_path / "cp2"))
+    last = str(tmp_path / "last")
+    jobs.run_available(jobs.bronze_to_current(log_stream, ["entity_id"], last), str(tmp_path / "cp2"))
     want = cdc.current_state(changes(landing), ["entity_id"]).select("entity_id", "ts_ms", "after.value")
-    assert rows(table.read().select("entity_id", "ts_ms", "value")) == rows(want)
+    assert rows(jobs.current_of(spark, ["entity_id"], last).select("entity_id", "ts_ms", "value")) == rows(want)
+
+
+def test_state_does_not_depend_on_the_batches_of_tied_changes(spark, tmp_path):
+    kind = "entity_id bigint, ts_ms bigint, position bigint, op string, after struct<value: string>"
+    source = tmp_path / "log"
+    for number, (position, value) in enumerate([(10, "b"), (9, "a")]):
+        one = spark.createDataFrame([(1, 5, position, "u", (value,))], kind)
+        one.coalesce(1).write.parquet(str(source / f"n={number}"))
+    last = str(tmp_path / "last")
+    log = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(str(source))
+    jobs.run_available(jobs.bronze_to_current(log, ["entity_id"], last), str(tmp_path / "cp"))
+    assert [r.value for r in jobs.current_of(spark, ["entity_id"], last).collect()] == ["b"]
+
+
+def test_no_distinct_change_is_lost_however_late(spark, tmp_path):
+    kind = "key string, position bigint, ts_ms bigint"
+    hour = 3_600_000
+    batches = [[("a", 4, 100 * hour), ("a", 3, 99 * hour)], [("a", 1, hour), ("a", 4, 100 * hour)], [("a", 2, 2 * hour), ("a", 1, hour)]]
+    source = tmp_path / "in"
+    for number, batch in enumerate(batches):
+        spark.createDataFrame(batch, kind).coalesce(1).write.parquet(str(source / f"n={number}"))
+    stream_in = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(str(source))
+    out = str(tmp_path / "out")
+    writer = jobs.dedupe_stream(stream_in, ["key"]).writeStream.foreachBatch(lambda df, i: sinks.append_batch(df, i, out))
+    jobs.run_available(writer, str(tmp_path / "cp"))
+    assert sorted(r.position for r in spark.read.parquet(out).collect()) == [1, 2, 3, 4]
 
 
 def test_cdc_dedupe(spark, landing, tmp_path):
@@ -262,8 +289,7 @@ def test_cdc_dedupe(spark, landing, tmp_path):
         "position", F.col("source.lsn")
     )
     out = str(tmp_path / "out")
-    # Both deliveries span the whole time range, so state is kept for all of it.
-    kept = jobs.dedupe_stream(decoded, ["key"], "400 days")
+    kept = jobs.dedupe_stream(decoded, ["key"])
     writer = kept.writeStream.foreachBatch(lambda df, i: sinks.append_batch(df, i, out))
     jobs.run_available(writer, str(tmp_path / "cp"))
     assert spark.read.parquet(out).count() == once.count()

@@ -101,15 +101,51 @@ def test_insert_if_absent_keeps_the_first(spark):
     assert rows(t.read()) == [("a", 1, "old", 0), ("b", 1, "first", 5)]
 
 
-def test_only_touched_buckets_are_rewritten(spark, tmp_path):
-    t = KeyedTable(spark, str(tmp_path / "t"), ["k"], buckets=4)
-    t.create(spark.range(40).select(F.col("id").cast("string").alias("k"), F.lit(0).alias("v")))
-    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")}
-    t.upsert(frame(spark, ("3", 1), schema="k string, v int"))
-    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")}
-    kept = [p for p in before if p in after]
-    assert len({p.parent for p in kept}) == 3
-    assert t.read().filter("v = 1").count() == 1 and t.read().count() == 40
+def test_another_number_of_buckets_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    made = KeyedTable(spark, path, ["k"], buckets=4).create(
+        spark.range(100).select(F.col("id").cast("string").alias("k"), F.lit(0).alias("v"))
+    )
+    again = KeyedTable(spark, path, ["k"], made.schema, buckets=7)
+    again.upsert(frame(spark, ("3", 1), schema="k string, v int"))
+    assert made.read().count() == 100 and made.read().filter("v = 1").count() == 1
+
+
+def test_rows_without_a_key_are_not_merged(spark):
+    t = table(spark, ("a", 1, "old", 0))
+    for _ in range(2):
+        t.upsert(frame(spark, (None, 2, "new", 1), ("b", 2, "new", 1)))
+    assert rows(t.read()) == [("a", 1, "old", 0), ("b", 2, "new", 1)]
+
+
+def test_an_older_batch_after_a_newer_one_is_skipped(spark):
+    t = table(spark, ("a", 1, "old", 0))
+    t.upsert(frame(spark, ("a", 2, "five", 0)), batch_id=5)
+    t.upsert(frame(spark, ("a", 1, "four", 0)), batch_id=4)
+    t.upsert(frame(spark, ("a", 1, "again", 0)), batch_id=5)
+    assert rows(t.read()) == [("a", 2, "five", 0)] and t.last_batch() == 5
+
+
+def test_a_guard_of_two_columns_decides_ties(spark):
+    t = table(spark, ("a", 5, "x", 10))
+    t.upsert(frame(spark, ("a", 5, "stale", 9)), newer_by=["t", "money"])
+    assert rows(t.read()) == [("a", 5, "x", 10)]
+    t.upsert(frame(spark, ("a", 5, "later", 11)), newer_by=["t", "money"])
+    assert rows(t.read()) == [("a", 5, "later", 11)]
+
+
+def test_a_failed_merge_leaves_the_old_rows(spark):
+    t = table(spark, ("a", 1, "old", 0))
+    broken = frame(spark, ("a", 2, "new", 0)).withColumn("money", F.raise_error(F.lit("lost")).cast("int"))
+    with pytest.raises(Exception, match="lost"):
+        t.upsert(broken)
+    # What an interrupted write leaves: files without the mark of a complete version.
+    frame(spark, ("z", 9, "half", 9)).withColumn("_removed", F.lit(False)).write.option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
+    ).parquet(f"{t.path}/v000000009-")
+    assert rows(t.read()) == [("a", 1, "old", 0)]
+    t.upsert(frame(spark, ("a", 2, "new", 0)))
+    assert rows(t.read()) == [("a", 2, "new", 0)]
 
 
 def test_empty_table_and_empty_batch(spark):
