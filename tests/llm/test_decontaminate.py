@@ -1,5 +1,5 @@
 from orderweir.llm import decontaminate
-from tests_llm_help import prose
+from tests_llm_help import none, odd, prose  # noqa: F401
 
 QUESTION = (
     "In a small town Alice Brown bought 12 kg of red apples for 30 dollars and gave 12 kg away. "

@@ -1,6 +1,7 @@
 from collections import Counter, defaultdict
 
 from orderweir.llm import mixing, sharding
+from tests_llm_help import none, odd  # noqa: F401
 
 
 def order(docs, **options):

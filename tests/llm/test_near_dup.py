@@ -4,7 +4,7 @@ import re
 import numpy as np
 
 from orderweir.llm import near_dup
-from tests_llm_help import prose
+from tests_llm_help import none, odd, prose  # noqa: F401
 
 
 def sets(text):
