@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +32,13 @@ class Pieces:
     log_byte: np.ndarray
     log_end: float
 
+    lookup: Lookup | None = None
+    lengths: tuple[int, ...] = ()
+
     def prepare(self) -> Pieces:
+        """The same with an index of the pieces, which is not sent to tasks but built there."""
         found = scan(self.bodies, np.arange(256) != 10)
-        self.lookup = Lookup(found.hashes())
-        self.lengths = sorted({len(b) for b in self.bodies})
-        return self
+        return replace(self, lookup=Lookup(found.hashes()), lengths=tuple(sorted({len(b) for b in self.bodies})))
 
 
 def read_pieces(path: str = VOCABULARY) -> Pieces:
@@ -292,7 +294,6 @@ def score(docs: DataFrame, vocabulary: str = VOCABULARY, head_words: int = HEAD_
     top = counts.orderBy(F.desc("n"), "hash").limit(head_words).toArrow()  # head_words rows at most
     words = top["word"].to_pylist()
     head_p = log_probabilities(pieces.prepare(), *joined(words)) if words else np.empty(0)
-    del pieces.lookup
     head = top["hash"].to_numpy().astype(np.int64).view(np.uint64), top["n"].to_numpy().astype(np.int64)
     told = stored(rows.select("doc_id", "text").mapInArrow(_told(pieces, *head, head_p), TOLD), "lm-told")
     tail = (

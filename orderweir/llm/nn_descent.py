@@ -288,7 +288,10 @@ def neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame
     if sizes["n"] > 1:
         name = f"ann_graph_{uuid.uuid4().hex}"
         graph_table(nodes, build(nodes, sizes["n"]), sizes["n"], name)
-        found = search(spark.table(name), starts.join(nodes.select(F.col("node").alias("query"), "body"), "query"))
+        # The added component is part of the graph's distances, not of the product that is asked for.
+        plain = F.concat(F.substring("body", F.lit(1), F.length("body") - 4), F.lit(b"\x00\x00\x00\x00")).alias("body")
+        asks = nodes.select(F.col("node").alias("query"), plain)
+        found = search(spark.table(name), starts.join(asks, "query"))
         found = stored(found.select("query", F.explode(F.array_union("nodes", F.array("query"))).alias("node")), "ann-found")
         spark.sql(f"drop table {name}")
     else:
