@@ -26,6 +26,8 @@ FOLDS = 3
 PREFIX = 6
 #: A word enters a model if its documents' labels differ this many standard deviations from chance.
 LEAST_Z = 4.0
+#: No category is called on a lower probability.
+LEAST_THRESHOLD = 0.25
 #: The chain of the documents' labels: later categories see the probabilities of earlier ones.
 CATEGORIES = {"low_quality": "quality = 0", "toxic": "toxic = 1"}
 
@@ -156,7 +158,7 @@ def fit_chain(names: list[str], sample: Sample, labels: np.ndarray, folds: np.nd
 
     A later model is trained on out-of-fold probabilities of the earlier categories, since those
     of a model's own training rows are too good. The threshold of a category is the one of
-    best F1 on out-of-fold probabilities, 0.5 at least.
+    best F1 on out-of-fold probabilities, LEAST_THRESHOLD at least.
     """
     held = np.zeros((len(sample), 0))
     models, thresholds = [], []
@@ -180,7 +182,7 @@ def best_threshold(scores: np.ndarray, labels: np.ndarray) -> float:
     if not len(order) or hits[-1] == 0:
         return 1.0
     f1 = 2 * hits / (np.arange(1, len(order) + 1) + hits[-1])
-    return float(min(max(scores[order][np.argmax(f1)], 0.5), 0.95))
+    return float(min(max(scores[order][np.argmax(f1)], LEAST_THRESHOLD), 0.95))
 
 
 def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str] = CATEGORIES, most: int = MAX_LABELLED) -> Chain:
