@@ -20,8 +20,12 @@ BANDS, BAND_ROWS = 32, 4
 SAMPLES = BANDS * BAND_ROWS
 SKETCH_BITS = 512
 #: Pairs whose estimate is this far below the wanted similarity are dropped unseen. The estimate
-#: at 0.75 has a standard deviation of about 0.045 (samples) and 0.03 (bits that cancel).
-MARGIN = 0.25
+#: at 0.75 has a standard deviation of about 0.04 (samples and bits that cancel).
+MARGIN = 0.2
+#: Members of a bucket that one task call compares with as many others.
+BLOCK = 1_024
+#: Documents are first sifted by this many low values of their id, so that the broadcast list is bounded.
+SIEVE = 1 << 20
 
 SIGNATURE = "doc_id long, n_shingles long, content binary, bands array<long>, sketch array<long>"
 
@@ -97,11 +101,48 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The whole set, and the upper halves of its hashes, sorted."""
     for batch in batches:
         for first, texts in groups(batch):
-            sets = pa.array([values.view(np.int64) for values in shingle_sets(texts)], pa.list_(pa.int64()))
+            sets = shingle_sets(texts)
+            whole = pa.array([values.view(np.int64) for values in sets], pa.list_(pa.int64()))
+            half = pa.array([np.unique((values >> np.uint64(32)).astype(np.uint32)).tobytes() for values in sets], pa.binary())
             ids = batch.column(0).slice(first, len(texts))
-            yield pa.RecordBatch.from_arrays([ids, sets], names=["doc_id", "shingles"])
+            yield pa.RecordBatch.from_arrays([ids, whole, half], names=["doc_id", "shingles", "half"])
+
+
+def near_in_bucket(rows: pa.Table, percent: int) -> pa.Table:
+    """Pairs of one bucket, between two blocks of it, whose halved sets are similar and whose components differ.
+
+    Odd sketches rule most pairs out; common hashes of the others are counted for one row against
+    all at a time. A halved hash may collide, so two more common ones are allowed here; whole sets decide later.
+    """
+    ids, comp, n, block = (rows[c].to_numpy() for c in ("doc_id", "comp", "n_shingles", "block"))
+    one, two = rows["i"][0].as_py(), rows["j"][0].as_py()
+    sketch = np.stack([np.array(s, np.int64) for s in rows["sketch"].to_pylist()]).view(np.uint64)
+    halves = [np.frombuffer(b, np.uint32) for b in rows["half"].to_pylist()]
+    starts = np.concatenate(([0], np.cumsum([len(h) for h in halves])))
+    numbers = np.unique(np.concatenate(halves), return_inverse=True)[1]
+    flags = np.zeros(len(numbers) + 1, bool)
+    least = percent / 100 - MARGIN
+    differ = SKETCH_BITS / 2 * (1 - np.exp(-4 * SAMPLES * (1 - least) / SKETCH_BITS))
+    found = []
+    for r in np.flatnonzero(block == one):
+        may = (block == two) & (comp != comp[r]) & (100 * np.minimum(n, n[r]) >= percent * np.maximum(n, n[r]))
+        if one == two:
+            may &= ids > ids[r]
+        at = np.flatnonzero(may)
+        at = at[np.bitwise_count(sketch[at] ^ sketch[r]).sum(axis=1) <= differ] if len(at) else at
+        if not len(at):
+            continue
+        own = numbers[starts[r] : starts[r + 1]]
+        flags[own] = True
+        common = np.add.reduceat(flags[numbers].astype(np.int64), starts[:-1])[at] + 2
+        flags[own] = False
+        near = at[100 * common >= percent * (n[r] + n[at] - common)]
+        found += [(min(ids[r], ids[x]), max(ids[r], ids[x])) for x in near]
+    pairs = np.array(found, np.int64).reshape(-1, 2)
+    return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
 def similarity_estimate(a: Column, b: Column) -> Column:
@@ -138,9 +179,9 @@ def link(docs: DataFrame, percent: int = 75) -> DataFrame:
        Documents of equal words count as one from here on.
     2. In every bucket of a band each member is paired with the smallest one, so a bucket of m
        members makes m - 1 pairs. Sizes and sketches sift the pairs, full sets decide.
-    3. Buckets that still hold several components pair their members with two hubs drawn anew per
-       bucket, and last with every member of another component: links between members of one
-       component change nothing, so all others are looked at and none is lost.
+    3. Where a bucket still holds several components, its members are paired with a hub drawn anew,
+       and last all pairs across components are compared within tasks, by blocks of a bucket: sketches, then
+       halved sets, so that only near pairs leave a task. Links inside a component change nothing, so no link that matters is lost.
 
     * null id: takes no part, component null and kept; null, empty or blank text: no shingles, a
       component of its own; repeated rows and equal texts: one component; very long texts: whole.
@@ -160,10 +201,16 @@ def link(docs: DataFrame, percent: int = 75) -> DataFrame:
         _shared(roots.select("doc_id", F.explode("bands").alias("bucket"))), "near-buckets"
     )
     members = stored(roots.drop("bands").join(buckets.select("doc_id").distinct(), "doc_id", "left_semi"), "near-members")
-    texts = docs.select(F.col("doc_id").cast("long"), utf8().alias("text")).join(
-        members.select("doc_id"), "doc_id", "left_semi"
+    sieve = F.broadcast(members.select(F.pmod("doc_id", F.lit(SIEVE)).alias("sieve")).distinct())  # SIEVE rows at most
+    texts = (
+        docs.select(F.col("doc_id").cast("long"), utf8().alias("text"))
+        .withColumn("sieve", F.pmod("doc_id", F.lit(SIEVE)))
+        .join(sieve, "sieve", "left_semi")
+        .join(members.select("doc_id"), "doc_id", "left_semi")
+        .select("doc_id", "text")
     )
-    sets = stored(texts.mapInArrow(_sets, "doc_id long, shingles array<long>").dropDuplicates(["doc_id"]), "near-sets")
+    sets = texts.mapInArrow(_sets, "doc_id long, shingles array<long>, half binary")
+    sets = stored(sets.dropDuplicates(["doc_id"]), "near-sets")
 
     def sifted(pairs: DataFrame) -> DataFrame:
         both = pairs.join(_side(members, "a"), "a").join(_side(members, "b"), "b")
@@ -184,33 +231,36 @@ def link(docs: DataFrame, percent: int = 75) -> DataFrame:
     comps = stored(components(edges, "near-stars"), "near-comps")
 
     mixed = stored(_mixed(buckets, comps), "near-mixed")
-    drawn = [F.xxhash64("bucket", F.lit(i)) for i in range(2)]
-    hubs = mixed.groupBy("bucket").agg(
-        F.array_distinct(F.array(*[F.min(F.col("doc_id").bitwiseXOR(d)).bitwiseXOR(d) for d in drawn])).alias("hubs")
-    )
+    drawn = F.xxhash64("bucket", F.lit(1))
+    hubs = mixed.groupBy("bucket").agg(F.min_by(F.struct("doc_id", "comp"), F.col("doc_id").bitwiseXOR(drawn)).alias("hub"))
     again = (
-        mixed.join(hubs.select("bucket", F.explode("hubs").alias("hub")), "bucket")
-        .where("doc_id <> hub")
-        .select(*_pair("doc_id", "hub"))
+        mixed.join(hubs, "bucket")
+        .where(F.col("comp") != F.col("hub.comp"))
+        .select(F.col("doc_id").alias("x"), F.col("hub.doc_id").alias("y"))
+        .select(*_pair("x", "y"))
         .distinct()
         .join(tested, ["a", "b"], "left_anti")
     )
-    again = stored(again, "near-tested")
-    edges = stored(edges.unionByName(linked(sifted(again))), "near-links")
+    edges = stored(edges.unionByName(linked(sifted(stored(again, "near-again")))), "near-links")
     comps = stored(components(edges, "near-stars"), "near-comps")
 
-    mixed = _mixed(mixed.select("bucket", "doc_id"), comps).join(members, "doc_id")
-    mixed = stored(mixed, "near-mixed")
-    names = ("doc_id", "n_shingles", "sketch", "comp")
-    one = mixed.select("bucket", *[F.col(c).alias(x) for c, x in zip(names, ("a", "n_a", "sketch_a", "comp_a"))])
-    two = mixed.select("bucket", *[F.col(c).alias(x) for c, x in zip(names, ("b", "n_b", "sketch_b", "comp_b"))])
-    across = [one["bucket"] == two["bucket"], F.col("comp_a") < F.col("comp_b"), _plausible(percent)]
-    rest = one.join(two, across).select("a", "b", "n_a", "n_b").distinct()
-    done = tested.unionByName(again)
-    done = done.unionByName(done.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    rest = stored(rest.join(done, ["a", "b"], "left_anti"), "near-rest")
-    more = linked(rest)
-    edges = stored(edges.unionByName(more.select(*_pair("a", "b"))), "near-links")
+    mixed = _mixed(mixed.select("bucket", "doc_id"), comps)
+    sizes = mixed.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    rest = (
+        mixed.join(sizes, "bucket")
+        .withColumn("block", F.pmod(F.xxhash64("doc_id", "bucket"), F.col("blocks")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .join(members, "doc_id")
+        .join(sets.select("doc_id", "half"), "doc_id")
+        .select("bucket", "doc_id", "comp", "n_shingles", "sketch", "half", "block",
+                F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+        .groupBy("bucket", "i", "j")
+        .applyInArrow(lambda rows: near_in_bucket(rows, percent), "a long, b long")
+        .distinct()
+    )
+    size = lambda side: members.select(F.col("doc_id").alias(side), F.col("n_shingles").alias(f"n_{side}"))
+    rest = stored(rest, "near-rest").join(size("a"), "a").join(size("b"), "b")
+    edges = stored(edges.unionByName(linked(rest)), "near-links")
     comps = components(edges, "near-stars").withColumnRenamed("id", "root")
     return (
         signs.select("doc_id", "n_shingles", "content")
