@@ -16,7 +16,7 @@ from orderweir.functions import columns as c
 from orderweir.functions.envelope import to_messages, unwrap
 from orderweir.operators import cdc, evolve, latest, metrics, monitor, projections, quality
 from orderweir.operators.running import latest_totals
-from orderweir.operators.upsert import KeyedTable, merged
+from orderweir.operators.upsert import KeyedTable
 from orderweir.plans import bronze, gold
 from orderweir.plans.models import Models
 from orderweir.plans.warehouse import Warehouse, column_inventory, row_counts
@@ -106,6 +106,14 @@ def values_seed_orders(landing: Landing) -> DataFrame:
     )
 
 
+@query
+def lake_peek_sorted(landing: Landing) -> DataFrame:
+    """The first ten orders by time and id: a look at a table, found without a sort of all rows."""
+    return landing.orders_with_customer().select("orderid", "customerid", "ordertotal", "ordertimestamp").orderBy(
+        "ordertimestamp", "orderid"
+    ).limit(10)
+
+
 @query
 def recent_changes_topk(landing: Landing) -> DataFrame:
     """The 100 newest changes since a bound ten days before the last one."""
@@ -425,6 +433,11 @@ def merge_sales_order(landing: Landing) -> DataFrame:
     return table.upsert(batch).read()
 
 
+def _through_topic(records: DataFrame, topic: str, *keep: str) -> DataFrame:
+    """Records written as messages of a topic and read back as lakehouse rows."""
+    return projections.to_lakehouse(to_messages(projections.to_wire(records, topic, *keep), topic, *keep), topic, *keep)
+
+
 @query
 def merge_line_item(landing: Landing) -> DataFrame:
     """Two batches with repeated line ids: the later batch wins, and in a batch the later arrival."""
@@ -434,7 +447,8 @@ def merge_line_item(landing: Landing) -> DataFrame:
     table = _table(landing, "merge-line-item", ["line_item_id"])
     first = latest.latest_per_key(lines.filter("status = 'F'"), ["line_item_id"], ["shipped_at", "position"])
     table.create(first.select(columns))
-    return table.upsert(lines.filter("status <> 'F'"), order=["shipped_at", "position"]).read()
+    return table.upsert(_through_topic(line_records(landing).filter("status <> 'F'"), "sales_order_line_item",
+                                       "shipped_at", "position"), order=["shipped_at", "position"]).read()
 
 
 @query
@@ -444,7 +458,7 @@ def merge_customer_sales(landing: Landing) -> DataFrame:
     table = _table(landing, "merge-customer-sales", ["customer_id"])
     first = latest.latest_per_key(snapshots.filter("status <> 'F'"), ["customer_id"], ["updated_at", "arrival"])
     table.create(first.select(lakehouse_columns("customer_sales")))
-    late = snapshots.filter("status = 'F'")
+    late = _through_topic(snapshot_records(landing).filter("status = 'F'"), "customer_sales", "arrival")
     return table.upsert(late, order=["updated_at", "arrival"], newer_by="updated_at").read()
 
 
@@ -521,9 +535,9 @@ def ctas_customer_sales(landing: Landing) -> DataFrame:
 
 @query
 def empty_clone(landing: Landing) -> DataFrame:
-    """An empty copy of the order table, filled by a first merge of all orders."""
+    """An empty copy of the order table is created, then filled by a first merge of all orders."""
     orders = landing.sales_order()
-    return merged(evolve.empty_clone(orders), orders, ["orderid"])
+    return _table(landing, "empty-clone", ["orderid"]).create(evolve.empty_clone(orders)).upsert(orders).read()
 
 
 @query
@@ -543,6 +557,17 @@ def mdm_full_refresh(landing: Landing) -> DataFrame:
     return landing.spark.createDataFrame(list(written.items()), "table_name string, row_count bigint")
 
 
+@query
+def mdm_full_refresh_rows(landing: Landing) -> DataFrame:
+    """The customer master as it stands after it was replaced twice, first by a part of it."""
+    from orderweir.streaming.sinks import full_refresh
+
+    path, rows = shared_dir(landing.spark, "mdm"), landing.mdm_customer360()
+    full_refresh(landing.spark, {"customer360": rows.filter("customer_segment = 'BUILDING'")}, path)
+    full_refresh(landing.spark, {"customer360": rows}, path)
+    return landing.spark.read.parquet(f"{path}/customer360").drop("_part")
+
+
 @query
 def insert_ignore_customer(landing: Landing) -> DataFrame:
     """All customers offered to the master table: known ones are ignored, new ones get defaults."""

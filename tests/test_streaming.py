@@ -335,3 +335,16 @@ def test_full_refresh_replaces_and_empties(spark, tmp_path):
     assert spark.read.parquet(f"{path}/t").count() == 3
     assert sinks.full_refresh(spark, {"t": spark.range(0)}, path) == {"t": 0}
     assert spark.read.schema("id bigint").parquet(f"{path}/t").count() == 0
+
+
+def test_every_batch_is_logged(spark, event_files, tmp_path):
+    log = progress.ProgressLog(spark, str(tmp_path / "progress"))
+    spark.streams.addListener(log)
+    try:
+        writer = stream(spark, event_files).writeStream.foreachBatch(lambda df, i: df.count())
+        jobs.run_available(writer, str(tmp_path / "cp"))
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+    finally:
+        spark.streams.removeListener(log)
+    done = {r.batch_id: r.input_rows for r in log.read().collect()}
+    assert set(range(4)) <= set(done) and sum(done.values()) == spark.read.parquet(event_files).count()
