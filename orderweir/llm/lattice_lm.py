@@ -215,6 +215,21 @@ def fit(counts: DataFrame, ends: int, vocabulary: str = VOCABULARY) -> Pieces:
     return Pieces(start.bodies, log_p[:k], log_p[k:], float(np.log((ends + PRIOR) / total)))
 
 
+def _probable(pieces: Pieces):
+    """Log probability of counted words, computed in tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ready = pieces.prepare()
+        for batch in batches:
+            for i in range(0, batch.num_rows, 20_000):
+                part = batch.slice(i, 20_000)
+                words = part.column(part.schema.get_field_index("word")).to_pylist()
+                p = pa.array(log_probabilities(ready, *joined(words)))
+                yield pa.RecordBatch.from_arrays([part.column("hash"), part.column("n"), p], names=["hash", "n", "p"])
+
+    return run
+
+
 TOLD = (
     "row long, doc_id long, n_tokens long, known long, head_sum double, score double,"
     " tail array<struct<hash: long, n: int>>"
@@ -291,10 +306,10 @@ def score(docs: DataFrame, vocabulary: str = VOCABULARY, head_words: int = HEAD_
     sums = counts.agg(F.count("*").alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
     train_tokens, distinct = sums["n"] + ends, sums["v"] + (ends > 0)
     pieces = fit(counts, ends, vocabulary) if ends else read_pieces(vocabulary)
-    top = counts.orderBy(F.desc("n"), "hash").limit(head_words).toArrow()  # head_words rows at most
-    words = top["word"].to_pylist()
-    head_p = log_probabilities(pieces.prepare(), *joined(words)) if words else np.empty(0)
+    top = counts.orderBy(F.desc("n"), "hash").limit(head_words)
+    top = stored(top, "lm-head").mapInArrow(_probable(pieces), "hash long, n long, p double").toArrow()  # head_words rows at most
     head = top["hash"].to_numpy().astype(np.int64).view(np.uint64), top["n"].to_numpy().astype(np.int64)
+    head_p = top["p"].to_numpy().astype(float)
     told = stored(rows.select("doc_id", "text").mapInArrow(_told(pieces, *head, head_p), TOLD), "lm-told")
     tail = (
         told.select("row", F.explode("tail").alias("t"))
