@@ -15,25 +15,27 @@ MAX_EDITS = 1
 HOT_PAIRS = 100_000
 #: Candidate lines are first sifted by this many low bits of their id, so that the broadcast list is bounded.
 SIEVE = 1 << 20
-#: Letters whose counts, modulo 4, are the low 16 bits of a line's id.
-COUNTED = "etaoinsr"
+#: Letters that are counted, modulo 16, to sift candidates.
+COUNTED = "etaoinsrhldcumfp"
 
 
-def line_id(line: Column) -> Column:
-    """48 bits of hash, and below them the counts of eight letters modulo 4."""
+def letter_counts(line: Column) -> Column:
+    """Counts of sixteen letters modulo 16 in one number."""
     size = F.octet_length(line)
-    counts = [(size - F.octet_length(F.replace(line, F.lit(c)))).bitwiseAND(F.lit(3)) for c in COUNTED]
-    packed = sum((F.shiftleft(c.cast("long"), 2 * i) for i, c in enumerate(counts)), F.lit(0).cast("long"))
-    return F.shiftleft(F.shiftright(F.xxhash64(line), 16), 16).bitwiseOR(packed)
+    counts = [(size - F.octet_length(F.replace(line, F.lit(c)))).bitwiseAND(F.lit(15)) for c in COUNTED]
+    out = F.lit(0).cast("long")
+    for i, count in enumerate(counts):
+        out = out.bitwiseOR(F.shiftleft(count.cast("long"), 4 * i))
+    return out
 
 
 def letters_apart(a: Column, b: Column) -> Column:
-    """At most this many letters are more or fewer in one of the lines: an edit changes two counts at most."""
+    """At least this many letters are more or fewer in one of the lines: an edit changes two counts at most."""
     apart = F.lit(0)
     for i in range(len(COUNTED)):
-        low = lambda x: F.shiftright(x, 2 * i).bitwiseAND(F.lit(3).cast("long"))  # noqa: B023, E731
-        d = (low(a) - low(b)).bitwiseAND(F.lit(3).cast("long"))
-        apart = apart + F.least(d, 4 - d)
+        low = lambda x: F.shiftright(x, 4 * i).bitwiseAND(F.lit(15).cast("long"))  # noqa: B023, E731
+        d = (low(a) - low(b)).bitwiseAND(F.lit(15).cast("long"))
+        apart = apart + F.least(d, 16 - d)
     return apart
 
 
@@ -78,15 +80,15 @@ def signed(lines: DataFrame, edits: int, least: int) -> DataFrame:
         size = F.col("n_chars") - fewer
         start, length = segments(size, edits)[i]
         keys.append(F.xxhash64(F.lit(i), size, F.substring("line", start + (shift + 1), length)).alias(f"p{number}"))
-    return long_lines.select("doc_id", "line_no", "n_chars", line_id(F.col("line")).alias("id"), *keys)
+    return long_lines.select("doc_id", "line_no", "n_chars", F.xxhash64("line").alias("id"), *keys)
 
 
 def with_distance(pairs: DataFrame, a: str, b: str, edits: int) -> DataFrame:
     """Adds `distance`: the edit distance of two columns if it is at most `edits`, else -1.
 
-    Bit k of row d, after j characters of b, says that the first j + k - edits characters of a become
-    them with d edits; the rows are words of 2 x edits + 1 bits, one per number of edits. A step
-    keeps matching bits, and takes from the row above a replaced character (same bit), one more of b
+    What the texts have in common at both ends is left off first. Bit k of row d, after j characters
+    of b, says that the first j + k - edits characters of a become them with d edits; the rows are
+    words of 2 x edits + 1 bits, one per number of edits. A step keeps matching bits, and takes from the row above a replaced character (same bit), one more of b
     (one bit down) and one more of a (one bit up).
     """
     band = range(2 * edits + 1)
@@ -101,12 +103,31 @@ def with_distance(pairs: DataFrame, a: str, b: str, edits: int) -> DataFrame:
     last = f"x.na - x.nb + {edits}"
     told = (
         f"if(abs(x.na - x.nb) > {edits}, -1, "
-        f"aggregate(if(x.nb = 0, array(), sequence(0, x.nb - 1)), array({rows}), (r, j) -> {step}, "
+        f"aggregate(if(x.nb = 0, array(), sequence(0, x.nb - 1)), array({rows}), "
+        f"(r, j) -> if(exists(r, y -> y <> 0), {step}, r), "
         f"r -> cast(array_position(transform(r, y -> shiftright(y, {last}) & 1), 1) - 1 as int)))"
-    ).replace("x.", "_pair.")
-    chars = lambda c: F.when(F.char_length(c) > 0, F.split(c, "")).otherwise(F.array().cast("array<string>"))
-    pair = F.struct(chars(a).alias("ca"), chars(b).alias("cb"), F.char_length(a).alias("na"), F.char_length(b).alias("nb"))
-    return pairs.withColumn("_pair", pair).withColumn("distance", F.expr(told)).drop("_pair")
+    )
+    # Each `_let` computes a value once for all its uses, wherever the optimiser moves the whole.
+    core = lambda c: f"substring({c}, h + 1, char_length({c}) - h - t)"
+    chars = lambda c: f"if(char_length({c}) > 0, split({c}, ''), cast(array() as array<string>))"
+    told = _let("x", f"struct({chars('q.a')} as ca, {chars('q.b')} as cb, char_length(q.a) as na, char_length(q.b) as nb)", told)
+    told = _let("q", f"struct({core(a)} as a, {core(b)} as b)", told)
+    told = _let("t", _shared("e.a", "e.b", "least(char_length(e.a), char_length(e.b))"), told)
+    told = _let("e", f"struct(reverse(substring({a}, h + 1)) as a, reverse(substring({b}, h + 1)) as b)", told)
+    told = _let("h", _shared(a, b, f"least(char_length({a}), char_length({b}))"), told)
+    return pairs.withColumn("distance", F.expr(told))
+
+
+def _let(name: str, value: str, body: str) -> str:
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def _shared(a: str, b: str, most: str) -> str:
+    """SQL for the number of characters at the start in which two texts agree, by halving steps."""
+    return (
+        f"aggregate(filter(transform(sequence(0, 30), i -> shiftleft(1, 30 - i)), k -> k <= {most}), 0, (p, k) -> "
+        f"if(p + k <= {most} and substring({a}, p + 1, k) = substring({b}, p + 1, k), p + k, p))"
+    )
 
 
 def link_lines(docs: DataFrame, edits: int = MAX_EDITS, least: int = LEAST_CHARS) -> DataFrame:
@@ -146,28 +167,26 @@ def link_lines(docs: DataFrame, edits: int = MAX_EDITS, least: int = LEAST_CHARS
         .select("key", (F.col("n_own") * (F.col("n_own") + F.col("n_rest")) > HOT_PAIRS).alias("hot"))
     )
     members = stored(roles.join(sizes, "key"), "line-members")
-    usual = members if edits != 1 else members.where("not hot")
-    found = usual.where("role = 0").select("key", F.col("id").alias("a"))
-    by = usual.select(F.col("key").alias("other"), "role", F.col("id").alias("b"))
-    near = [F.col("key") == F.col("other"), F.col("a") != F.col("b"), letters_apart(F.col("a"), F.col("b")) <= 2 * edits]
-    pairs = found.join(by, near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    hot = members.where("hot") if edits == 1 else members.where("false")
-    needed = stored(
-        pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
-        .unionByName(hot.select("id")).distinct(),
-        "line-needed",
-    )
+    needed = stored(members.select("id").distinct(), "line-needed")
     sieve = F.broadcast(needed.select(F.pmod("id", F.lit(SIEVE)).alias("sieve")).distinct())  # SIEVE rows at most
     texts = (
         split_lines(docs)
-        .select(line_id(F.col("line")).alias("id"), "line")
+        .select(F.xxhash64("line").alias("id"), "line")
         .withColumn("sieve", F.pmod("id", F.lit(SIEVE)))
         .join(sieve, "sieve", "left_semi")
         .join(needed, "id", "left_semi")
         .dropDuplicates(["id"])
-        .select("id", "line")
+        .select("id", "line", letter_counts(F.col("line")).alias("letters"))
     )
     texts = stored(texts, "line-texts")
+    usual = (members if edits != 1 else members.where("not hot")).join(texts.select("id", "letters"), "id")
+    found = usual.where("role = 0").select("key", F.col("id").alias("a"), F.col("letters").alias("letters_a"))
+    by = usual.select(F.col("key").alias("other"), F.col("id").alias("b"), F.col("letters").alias("letters_b"))
+    few = letters_apart(F.col("letters_a"), F.col("letters_b")) <= 2 * edits
+    near = [F.col("key") == F.col("other"), F.col("a") != F.col("b"), few]
+    pairs = found.join(by, near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    hot = members.where("hot") if edits == 1 else members.where("false")
+    texts = texts.select("id", "line")
     pairs = pairs.unionByName(_variant_pairs(hot.select("id").distinct().join(texts, "id"))).distinct()
     both = pairs.join(texts.toDF("a", "line_a"), "a").join(texts.toDF("b", "line_b"), "b")
     links = stored(with_distance(both, "line_a", "line_b", edits).where("distance >= 0").select("a", "b"), "line-links")
