@@ -100,6 +100,7 @@ def mix(
     id_col: str = "doc_id",
     stratum: str = "source",
     tie: str = "text",
+    rank: str | None = None,
 ) -> DataFrame:
     """Adds `mix_block` and `mix_row`: all rows in one order whose sources follow the weights.
 
@@ -110,6 +111,7 @@ def mix(
     give or take less than one block. Nothing is dropped or repeated: when a source has ended the
     others share its slots by their weights. Without `weights` a source weighs the square root of
     its rows; a source that `weights` does not name weighs 1.
+    `rank` names a column for the row's place within its source (from 1), for steps that go on with the order.
 
     The schedule has one row per block of a distinct round: at most (2 x sources + 1) x
     (resolution + sources); the number of rows does not matter. Its computation is for mixtures
@@ -121,7 +123,8 @@ def mix(
     * empty table: empty result. Existing columns `mix_block` and `mix_row` are replaced.
     """
     docs, names, restored = neutral(docs)
-    restored = [c for c, name in zip(restored, names) if name not in ("mix_block", "mix_row")]
+    restored = [c for c, name in zip(restored, names) if name not in ("mix_block", "mix_row", rank)]
+    extra = [F.col("_rank").alias(rank)] if rank else []
     id_col, stratum, tie = names[id_col], names[stratum], tie_break(docs, names[tie])
     strata = stored(strata_of(docs, stratum, weights, block_rows, resolution), "mix")
     schedule = stored(schedule_of(strata), "mix")
@@ -135,5 +138,5 @@ def mix(
         .withColumn("_phase", F.expr("size(filter(_bounds, x -> x <= _round)) - 1"))
         .join(schedule.toDF(*[f"_{c}" for c in schedule.columns]), ["_s", "_phase", "_j"])
         .withColumn("mix_block", F.expr("_base + (_round - _first) * _d + _slot"))
-        .select(*restored, "mix_block", "mix_row")
+        .select(*restored, "mix_block", "mix_row", *extra)
     )

@@ -1,3 +1,5 @@
+from collections import defaultdict
+
 import check
 import corpus_pipeline
 import pytest
@@ -44,3 +46,24 @@ def test_whole_pipeline(spark):
     assert rows.columns == ["doc_id", "text", "lang", "source", "n_chars", "shard", "slot"]
     ids = [r["doc_id"] for r in rows.collect()]
     assert len(ids) == len(set(ids)) and len(ids) > 100
+
+
+def test_the_mixture_reaches_the_shards(spark):
+    """Without the mixing stage the result is another; with it every shard follows the weights, 133 to 67 blocks."""
+    rows = [(i, f"t{i}", "en", "small" if i % 5 == 0 else "big", 2) for i in range(5 * 67 * 64)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
+    stages = dict(corpus_pipeline.STAGES)
+    mixed = corpus_pipeline.stored(stages["mixing"](spark, docs, FOLDER), "test-stage").repartition(7)
+    place = lambda frame: {r["doc_id"]: (r["shard"], r["slot"], r["source"]) for r in stages["sharding"](spark, frame, FOLDER).collect()}
+    got, without = place(mixed), place(docs)
+    assert len(got) == len(rows) and got != without
+    shards = defaultdict(list)
+    for shard, slot, source in sorted(got.values()):
+        assert slot == len(shards[shard])
+        shards[shard].append(source)
+    assert sorted(shards) == list(range(24)) and {len(s) for s in shards.values()} == {893, 894}
+    for own in shards.values():
+        assert abs(own.count("small") - 67 * 64 / 24) <= 2
+        # No source has ended yet: off by a block, by the part of one that t cuts, and by rows at the ends of the dealing.
+        for t in range(1, 520):
+            assert abs(own[:t].count("small") - t * 67 / 200) < 2 * 64 / 24 + 3, t
