@@ -28,10 +28,10 @@ NUMBER, UNKNOWN, UNIT, NAME, FIRST_WORD = 0, 1, 2, 3, 4
 POINTS = np.array([chr(b) in ".," for b in range(256)])
 MARKS = np.array([chr(b) in ".!?\n" for b in range(256)])
 
-WINDOWS = "id long, n_tokens int, form int, key long, at int, slots array<string>"
+WINDOWS = "id long, n_tokens int, form int, key long, at int, slots array<struct<p: int, v: string>>"
 ARROW = pa.schema(
-    [("id", pa.int64()), ("n_tokens", pa.int32()), ("form", pa.int32()),
-     ("key", pa.int64()), ("at", pa.int32()), ("slots", pa.list_(pa.string()))]
+    [("id", pa.int64()), ("n_tokens", pa.int32()), ("form", pa.int32()), ("key", pa.int64()), ("at", pa.int32()),
+     ("slots", pa.list_(pa.struct([("p", pa.int32()), ("v", pa.string())])))]
 )
 
 
@@ -106,8 +106,12 @@ def matches(templates: Templates, texts: list[bytes], keys: np.ndarray | None) -
             spot = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
             wanted &= keys[spot] == key
         for i, k in zip(at[wanted].tolist(), key[wanted].tolist()):
-            slots = [found.word(j).decode("utf-8", "replace") for j in range(i, i + WINDOW) if ids[j] < FIRST_WORD]
-            yield text[i], sizes[text[i]], form, k, i - found.bounds[text[i]], slots
+            first = int(found.bounds[text[i]])
+            slots = [
+                {"p": j - first, "v": found.word(j).decode("utf-8", "replace")}
+                for j in range(i, i + WINDOW) if ids[j] < FIRST_WORD
+            ]
+            yield text[i], sizes[text[i]], form, k, i - first, slots
 
 
 def windowed(vocabulary: np.ndarray, keys: np.ndarray | None):
@@ -125,6 +129,16 @@ def windowed(vocabulary: np.ndarray, keys: np.ndarray | None):
     return run
 
 
+#: Pairs (value of the item, value of the document) that stand: those of at least half of the value's places, and
+#: the most frequent one, the value itself first. Without values that have several there is nothing to count.
+USUAL = """
+if(size(pairs) = size(array_distinct(pairs.i)), pairs, concat(
+  filter(pairs, x -> 2 * size(filter(slots, s -> s.i = x.i and s.d = x.d)) >= size(filter(slots, s -> s.i = x.i))),
+  transform(array_distinct(pairs.i), v -> array_max(transform(filter(pairs, x -> x.i = v), x -> struct(
+    size(filter(slots, s -> s.i = x.i and s.d = x.d)) as n, x.d = x.i as own, x as pair))).pair)))
+"""
+
+
 def find_leaks(
     docs: DataFrame, benchmark: DataFrame, coverage: float = 0.5, least_tokens: int = 8
 ) -> DataFrame:
@@ -132,9 +146,10 @@ def find_leaks(
 
     Case does not count (ASCII and Latin-1 letters). Numbers become a placeholder; in a second template units after numbers and names do, too. All
     windows of five template tokens of an item are joined by hash with those of the documents.
-    Matches on one alignment of a document with an item must agree about the slots: each value of
-    the item stands for one value of the document and the other way round; alignments that do not
-    agree are dropped. An item is found if its matched windows cover the share `coverage` of its
+    On one alignment a value of the item stands for the values that half of its places have in the document,
+    and for the most frequent one (itself, if that is as frequent). A changed slot that disagrees takes the
+    windows that it lies in with it, and counts as one token against the item; different values may become equal.
+    An item is found if its matched windows, less the slots that disagree, cover the share `coverage` of its
     tokens and `least_tokens` of them, or all of a shorter item. `changed` tells that a slot has
     other values than in the benchmark (a re-parameterised question).
 
@@ -163,7 +178,7 @@ def find_leaks(
         pairs = of_docs.alias("d").join(of_items.alias("i"), ["form", "key"]).select(
             F.col("d.id").alias("doc_id"), F.col("i.id").alias("item_id"), F.col("i.n_tokens").alias("n_tokens"),
             (F.col("d.at") - F.col("i.at")).alias("shift"), F.col("i.at").alias("at"),
-            F.arrays_zip(F.col("i.slots").alias("i"), F.col("d.slots").alias("d")).alias("slots"),
+            F.expr("zip_with(i.slots, d.slots, (x, y) -> struct(x.p as p, x.v as i, y.v as d))").alias("slots"),
         )
         found = pairs if found is None else found.unionByName(pairs)
     if found is None:
@@ -171,18 +186,33 @@ def find_leaks(
         return spark.createDataFrame([], kind)
     aligned = (
         found.groupBy("doc_id", "item_id", "n_tokens", "shift")
-        .agg(F.collect_set("at").alias("ats"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
-        .where("size(slots) = size(array_distinct(slots.i)) and size(slots) = size(array_distinct(slots.d))")
-    )
-    spots = F.flatten(F.transform(F.flatten(F.collect_set("ats")), lambda at: F.sequence(at, at + (WINDOW - 1))))
+        .agg(F.collect_set(F.struct("at", "slots")).alias("wins"))
+        .withColumn("slots", F.expr("array_distinct(flatten(wins.slots))"))
+        .withColumn("pairs", F.expr("array_distinct(transform(slots, x -> struct(x.i as i, x.d as d)))"))
+        .withColumn("usual", F.expr(USUAL))
+        .withColumn("off", F.expr(
+            "transform(filter(slots, x -> x.i <> x.d and not array_contains(usual, struct(x.i as i, x.d as d))), x -> x.p)"
+        ))
+        .withColumn("wins", F.expr("filter(wins, w -> not arrays_overlap(w.slots.p, off))"))
+        .select(
+            "doc_id", "item_id", "n_tokens", "off",
+            F.expr(f"array_distinct(flatten(transform(wins, w -> sequence(w.at, w.at + {WINDOW - 1}))))").alias("spots"),
+            F.expr("exists(wins, w -> exists(w.slots, x -> x.i <> x.d))").alias("changed"),
+        )
+        .where("size(spots) > 0")
+    )
+    union = lambda name: F.array_distinct(F.flatten(F.collect_set(name)))
+    counted = F.col("covered") - F.col("n_off")
     return (
         aligned.groupBy("doc_id", "item_id", "n_tokens")
         .agg(
-            F.size(F.array_distinct(spots)).alias("covered"),
-            F.max(F.exists("slots", lambda x: x["i"] != x["d"])).alias("changed"),
+            F.size(union("spots")).alias("covered"),
+            # Tokens that another alignment covers do not count against the item.
+            F.size(F.array_except(union("off"), union("spots"))).alias("n_off"),
+            F.max("changed").alias("changed"),
         )
         .withColumn("coverage", F.col("covered") / F.col("n_tokens"))
-        .where((F.col("coverage") >= coverage) & (F.col("covered") >= F.least(F.lit(least_tokens), F.col("n_tokens"))))
+        .where((counted >= coverage * F.col("n_tokens")) & (counted >= F.least(F.lit(least_tokens), F.col("n_tokens"))))
         .select("doc_id", "item_id", "n_tokens", "covered", "coverage", "changed")
     )
 

@@ -40,6 +40,23 @@ def test_slots_must_agree(spark):
     assert (1, 1) in got and got[1, 1][2] and (2, 1) not in got
 
 
+def test_single_slots_may_disagree_merge_or_split(spark):
+    twice = "the train number 7 left the old station late and came back to the same place before number 7 could leave"
+    fruit = "anna has 3 apples and 5 pears in her basket and wants to know how many pieces of fruit there are"
+    pets = "how many legs do 2 cats and 2 dogs have together when none of them has lost any"
+    docs = [(1, "number 8".join(twice.rsplit("number 7", 1))), (2, fruit.replace("3", "4").replace("5", "4")),
+            (3, pets.replace("2 cats", "3 cats").replace("2 dogs", "4 dogs"))]
+    got = found(spark, docs, [(1, twice, ""), (2, fruit, ""), (3, pets, "")])
+    assert set(got) == {(1, 1), (2, 2), (3, 3)} and all(g[2] for g in got.values())
+
+
+def test_a_disagreeing_slot_takes_only_its_own_windows(spark):
+    """A copy of forty words in which one of three equal numbers was changed."""
+    item = f"{prose(80, 10)} 7 {prose(81, 10)} 7 {prose(82, 10)} 7 {prose(83, 10)}"
+    got = found(spark, [(1, " 9 ".join(item.rsplit(" 7 ", 1)))], [(1, item, "")])
+    assert got == {(1, 1): (42, 43, False)}
+
+
 def test_an_edited_copy_is_found_and_a_short_overlap_is_not(spark):
     item = prose(70, 60)
     words = item.split()
