@@ -14,6 +14,8 @@ from orderweir.llm.words import LETTERS, MIX, Lookup, Scan, groups, hash_of, mix
 from orderweir.session import stored
 
 WINDOW = 5
+#: So many matched tokens in a row are a leak whatever share of the item they are; of a shorter item, all.
+RUN = 13
 #: A benchmark is handled in blocks of items; a block's vocabulary and window keys are sent to all tasks.
 BLOCK_CHARS = 4_000_000
 #: Words that are a unit when they follow a number.
@@ -24,6 +26,8 @@ months year years percent dollar dollars euro euros cent cents usd eur gbp mph k
 fahrenheit watt watts kw kwh volt volts amp amps hz khz mhz ghz byte bytes kb mb gb tb
 """.split()
 NUMBER, UNKNOWN, UNIT, NAME, FIRST_WORD = 0, 1, 2, 3, 4
+#: Template forms: numbers typed; units and names, too; nothing typed.
+NUMBERS, NAMES, RAW = 0, 1, 2
 #: Bytes inside a number between two digits.
 POINTS = np.array([chr(b) in ".," for b in range(256)])
 MARKS = np.array([chr(b) in ".!?\n" for b in range(256)])
@@ -49,7 +53,7 @@ class Templates:
         self.units = Lookup(np.unique(np.array([hash_of(u.encode()) for u in UNITS], np.uint64)))
 
     def forms(self, found: Scan) -> list[np.ndarray]:
-        """Two templates of the words: numbers typed; numbers, units and names typed.
+        """Three templates of the words: numbers typed; numbers, units and names typed; nothing typed.
 
         A name is a word with an ASCII capital that does not open a sentence, line or text; a unit
         follows a number.
@@ -57,8 +61,8 @@ class Templates:
         hashes = found.hashes()
         digits = np.concatenate(([0], np.cumsum((found.low >= 48) & (found.low <= 57) | POINTS[found.low])))
         number = digits[found.ends] - digits[found.starts] == found.ends - found.starts
-        plain = self.number(hashes)
-        plain = np.where(plain < 0, UNKNOWN, plain + FIRST_WORD)
+        known = self.number(hashes)
+        plain = np.where(known < 0, UNKNOWN, known + FIRST_WORD)
         plain[number] = NUMBER
         first = found.raw[found.starts]
         capital = (first >= 65) & (first <= 90)
@@ -71,57 +75,73 @@ class Templates:
         typed[capital & ~opens & ~number] = NAME
         units = np.flatnonzero(after)
         typed[units[self.units(hashes[units]) >= 0]] = UNIT
-        return [plain, typed]
+        raw = np.where(known < 0, UNKNOWN, known + FIRST_WORD)
+        return [plain, typed, raw]
 
 
-def window_keys(ids: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts of windows in one text, without unknown words and with a word in at least every second
-    place; their keys. text: the text of each word.
+def window_keys(ids: np.ndarray, text: np.ndarray, size: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts of windows in one text without unknown words; their keys; whether a word is in at least
+    every second place. text: the text of each word.
     """
     unknown = np.concatenate(([0], np.cumsum(ids == UNKNOWN)))
-    good = np.flatnonzero((unknown[WINDOW:] == unknown[:-WINDOW]) & (text[WINDOW - 1 :] == text[: 1 - WINDOW]))
-    windows = np.lib.stride_tricks.sliding_window_view(ids, WINDOW)[good] if len(good) else ids[:0].reshape(0, WINDOW)
-    enough = 2 * (windows >= FIRST_WORD).sum(axis=1) >= WINDOW
-    good, windows = good[enough], windows[enough].astype(np.uint64)
-    key = np.full(len(good), WINDOW, np.uint64)
-    for i in range(WINDOW):
+    good = np.flatnonzero((unknown[size:] == unknown[:-size]) & (text[size - 1 :] == text[: max(len(text) - size + 1, 0)]))
+    windows = np.lib.stride_tricks.sliding_window_view(ids, size)[good] if len(good) else ids[:0].reshape(0, size)
+    enough = 2 * (windows >= FIRST_WORD).sum(axis=1) >= size
+    windows = windows.astype(np.uint64)
+    key = np.full(len(good), size, np.uint64)
+    for i in range(size):
         key = (key ^ (key >> np.uint64(29))) * MIX + windows[:, i]
-    return good, mixed(key).view(np.int64)
+    return good, mixed(key).view(np.int64), enough
 
 
-def matches(templates: Templates, texts: list[bytes], keys: np.ndarray | None) -> Iterator[tuple]:
+def matches(templates: Templates, texts: list[bytes], keys: np.ndarray | None, short: tuple = ()) -> Iterator[tuple]:
     """(text, words of the text, form, key, place, slots) of the template windows; with `keys` of those in it.
 
-    The second form counts only where typing units and names makes a difference.
+    The second form counts only where typing units and names makes a difference, the untyped one
+    where numbers leave too few words, and for whole texts of less than a window. short: sizes of
+    such benchmark items; without `keys` a text is an item and has its own size.
     """
     found = scan(texts, LETTERS, POINTS, latin=True)
     sizes = np.diff(found.bounds)
     text = np.repeat(np.arange(len(texts)), sizes)
     forms = templates.forms(found)
-    changed = np.concatenate(([0], np.cumsum(forms[0] != forms[1])))
+    changed = np.concatenate(([0], np.cumsum(forms[NUMBERS] != forms[NAMES])))
+    few = np.ones(len(text), bool)
     for form, ids in enumerate(forms):
-        at, key = window_keys(ids, text)
-        wanted = np.ones(len(at), bool) if form == 0 else changed[at + WINDOW] > changed[at]
-        if keys is not None:
-            spot = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-            wanted &= keys[spot] == key
-        for i, k in zip(at[wanted].tolist(), key[wanted].tolist()):
-            first = int(found.bounds[text[i]])
-            slots = [
-                {"p": j - first, "v": found.word(j).decode("utf-8", "replace")}
-                for j in range(i, i + WINDOW) if ids[j] < FIRST_WORD
-            ]
-            yield text[i], sizes[text[i]], form, k, i - first, slots
-
-
-def windowed(vocabulary: np.ndarray, keys: np.ndarray | None):
+        at, key, enough = window_keys(ids, text)
+        if form == RAW:
+            wanted = few[at]
+        else:
+            wanted = enough if form == NUMBERS else enough & (changed[at + WINDOW] > changed[at])
+            few[at[enough]] &= form == NAMES
+        yield from _windows(found, text, sizes, ids, form, at[wanted], key[wanted], WINDOW, keys)
+    for size in short if keys is not None else range(1, WINDOW):
+        at, key, _ = window_keys(forms[RAW], text, size)
+        if keys is None:
+            at, key = at[sizes[text[at]] == size], key[sizes[text[at]] == size]
+        yield from _windows(found, text, sizes, forms[RAW], RAW, at, key, size, keys)
+
+
+def _windows(found: Scan, text: np.ndarray, sizes: np.ndarray, ids: np.ndarray, form: int, at, key, size: int, keys) -> Iterator[tuple]:
+    if keys is not None:
+        spot = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        at, key = at[keys[spot] == key], key[keys[spot] == key]
+    for i, k in zip(at.tolist(), key.tolist()):
+        first = int(found.bounds[text[i]])
+        slots = [
+            {"p": j - first, "v": found.word(j).decode("utf-8", "replace")} for j in range(i, i + size) if ids[j] < FIRST_WORD
+        ]
+        yield text[i], sizes[text[i]], form, k, i - first, slots
+
+
+def windowed(vocabulary: np.ndarray, keys: np.ndarray | None, short: tuple = ()):
     """A function over (id, text) batches that returns the template windows of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         templates = Templates(vocabulary)
         for batch in batches:
             for first, texts in groups(batch):
-                rows = list(zip(*matches(templates, texts, keys))) or [()] * len(ARROW)
+                rows = list(zip(*matches(templates, texts, keys, short))) or [()] * len(ARROW)
                 ids = batch.column(0).take(pa.array([first + int(i) for i in rows[0]], pa.int64()))
                 rest = [pa.array(x, t) for x, t in zip(rows[1:], ARROW.types[1:])]
                 yield pa.RecordBatch.from_arrays([ids, *rest], schema=ARROW)
@@ -137,6 +157,14 @@ if(size(pairs) = size(array_distinct(pairs.i)), pairs, concat(
   transform(array_distinct(pairs.i), v -> array_max(transform(filter(pairs, x -> x.i = v), x -> struct(
     size(filter(slots, s -> s.i = x.i and s.d = x.d)) as n, x.d = x.i as own, x as pair))).pair)))
 """
+#: The longest row of tokens that windows of one alignment cover without a gap.
+LONGEST = """
+aggregate(array_sort(wins.at), struct(0 as first, 0 as next, 0 as most),
+  (a, at) -> if(at <= a.next and a.next > 0,
+    struct(a.first as first, at + size as next, greatest(a.most, at + size - a.first) as most),
+    struct(at as first, at + size as next, greatest(a.most, size) as most)),
+  a -> a.most)
+"""
 
 
 def find_leaks(
@@ -145,19 +173,23 @@ def find_leaks(
     """(doc_id, item_id, n_tokens, covered, coverage, changed): documents that hold a benchmark item.
 
     Case does not count (ASCII and Latin-1 letters). Numbers become a placeholder; in a second template units after numbers and names do, too. All
-    windows of five template tokens of an item are joined by hash with those of the documents.
+    windows of five template tokens of an item are joined by hash with those of the documents; a
+    window with fewer than three words left must be equal as it stands.
     On one alignment a value of the item stands for the values that half of its places have in the document,
     and for the most frequent one (itself, if that is as frequent). A changed slot that disagrees takes the
     windows that it lies in with it, and counts as one token against the item; different values may become equal.
-    An item is found if its matched windows, less the slots that disagree, cover the share `coverage` of its
-    tokens and `least_tokens` of them, or all of a shorter item. `changed` tells that a slot has
+    An item is found in a stretch of the document of one to two item lengths if its matched windows,
+    less the slots that disagree, cover the share `coverage` of its tokens and `least_tokens` of them, or all
+    of a shorter item; or if RUN matched tokens stand in a row, or all of a shorter item.
+    `covered` and `coverage` are those of the stretch that covers most; `changed` tells that a matched slot in it has
     other values than in the benchmark (a re-parameterised question).
 
     The benchmark is taken in blocks of about BLOCK_CHARS characters (a longer item is a block of its own);
     each block is one pass over the documents, and only its vocabulary and window keys are sent to the tasks.
 
-    * null ids, on either side: the row takes no part; null or empty texts and items of fewer than
-      five tokens match nothing; very long texts: whole; repeated rows: one result per pair of ids.
+    * null ids, on either side: the row takes no part; null or empty texts match nothing; items of fewer
+      than five tokens match where all their tokens stand unchanged; very long texts: whole; repeated
+      rows: one result per pair of ids.
     * empty documents or benchmark: empty result. Other columns are not read.
     """
     spark = docs.sparkSession
@@ -171,10 +203,12 @@ def find_leaks(
         bodies = [bytes(row["text"]) for row in own.select("text").collect()]
         vocabulary = vocabulary_of(bodies)
         of_items = stored(own.mapInArrow(windowed(vocabulary, None), WINDOWS), "leak-items")
-        keys = np.unique(np.array([m[3] for m in matches(Templates(vocabulary), bodies, None)], np.int64))
+        own_windows = [(m[3], m[1]) for m in matches(Templates(vocabulary), bodies, None)]
+        keys = np.unique(np.array([key for key, _ in own_windows], np.int64))
         if not len(keys):
             continue
-        of_docs = texts.mapInArrow(windowed(vocabulary, keys), WINDOWS)
+        short = tuple(sorted({int(n) for _, n in own_windows if n < WINDOW}))
+        of_docs = texts.mapInArrow(windowed(vocabulary, keys, short), WINDOWS)
         pairs = of_docs.alias("d").join(of_items.alias("i"), ["form", "key"]).select(
             F.col("d.id").alias("doc_id"), F.col("i.id").alias("item_id"), F.col("i.n_tokens").alias("n_tokens"),
             (F.col("d.at") - F.col("i.at")).alias("shift"), F.col("i.at").alias("at"),
@@ -194,27 +228,37 @@ def find_leaks(
             "transform(filter(slots, x -> x.i <> x.d and not array_contains(usual, struct(x.i as i, x.d as d))), x -> x.p)"
         ))
         .withColumn("wins", F.expr("filter(wins, w -> not arrays_overlap(w.slots.p, off))"))
+        .withColumn("size", F.least(F.col("n_tokens"), F.lit(WINDOW)))
         .select(
             "doc_id", "item_id", "n_tokens", "off",
-            F.expr(f"array_distinct(flatten(transform(wins, w -> sequence(w.at, w.at + {WINDOW - 1}))))").alias("spots"),
+            F.expr("array_distinct(flatten(transform(wins, w -> sequence(w.at, w.at + size - 1))))").alias("spots"),
+            F.expr(LONGEST).alias("run"),
             F.expr("exists(wins, w -> exists(w.slots, x -> x.i <> x.d))").alias("changed"),
+            # Stretches overlap by an item length, so alignments that are less apart share one.
+            F.expr("explode(array(floor(shift / n_tokens), floor(shift / n_tokens) - 1))").alias("stretch"),
         )
         .where("size(spots) > 0")
     )
     union = lambda name: F.array_distinct(F.flatten(F.collect_set(name)))
     counted = F.col("covered") - F.col("n_off")
+    full = (counted >= coverage * F.col("n_tokens")) & (counted >= F.least(F.lit(least_tokens), F.col("n_tokens")))
     return (
-        aligned.groupBy("doc_id", "item_id", "n_tokens")
+        aligned.groupBy("doc_id", "item_id", "n_tokens", "stretch")
         .agg(
             F.size(union("spots")).alias("covered"),
-            # Tokens that another alignment covers do not count against the item.
+            # Tokens that another alignment of the stretch covers do not count against the item.
             F.size(F.array_except(union("off"), union("spots"))).alias("n_off"),
+            F.max("run").alias("run"),
             F.max("changed").alias("changed"),
         )
-        .withColumn("coverage", F.col("covered") / F.col("n_tokens"))
-        .where((counted >= coverage * F.col("n_tokens")) & (counted >= F.least(F.lit(least_tokens), F.col("n_tokens"))))
-        .select("doc_id", "item_id", "n_tokens", "covered", "coverage", "changed")
-    )
+        .where(full | (F.col("run") >= F.least(F.lit(RUN), F.col("n_tokens"))))
+        .groupBy("doc_id", "item_id", "n_tokens")
+        .agg(F.max(F.struct("covered", "changed")).alias("most"))
+        .select(
+            "doc_id", "item_id", "n_tokens", F.col("most.covered").alias("covered"),
+            (F.col("most.covered") / F.col("n_tokens")).alias("coverage"), F.col("most.changed").alias("changed"),
+        )
+    )
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -57,6 +57,26 @@ def test_a_disagreeing_slot_takes_only_its_own_windows(spark):
     assert got == {(1, 1): (42, 43, False)}
 
 
+def test_short_items_and_items_of_numbers_are_found_as_they_stand(spark):
+    items = [(1, "find the next number 2 4 8 16 32", ""), (2, "what is 12 times 7 plus 3", ""), (3, "name three noble gases", ""), (4, "3 plus 4", "")]
+    docs = [(i, f"{prose(i)}. {text}. {prose(20 + i)}") for i, text, _ in items]
+    other = [(11, "find the next number 2 4 8 16 33"), (12, "what is 12 times 8 plus 3"), (13, "name three noble metals"), (14, "3 plus 5")]
+    got = found(spark, [*docs, *other], items)
+    assert {k for k in got if k[0] < 10} == {(1, 1), (2, 2), (3, 3), (4, 4)}
+    assert got[1, 1] == (9, 9, False) and got[2, 2] == (7, 7, False) and got[4, 4] == (3, 3, False)
+    assert not {(13, 3), (14, 4)} & set(got)
+
+
+def test_a_long_verbatim_run_is_found_and_scattered_windows_are_not(spark):
+    item = prose(90, 60)
+    words = item.split()
+    run = f"{prose(91, 30)} {' '.join(words[20:40])} {prose(92, 30)}"
+    far = " ".join(f"{' '.join(words[i : i + 6])} {prose(100 + i, 200)}" for i in range(0, 60, 7))
+    near = " ".join(f"{' '.join(words[i : i + 6])} zzz" for i in range(0, 60, 7))
+    got = found(spark, [(1, run), (2, far), (3, near)], [(5, item, "")])
+    assert set(got) == {(1, 5), (3, 5)} and got[1, 5] == (20, 60, False)
+
+
 def test_an_edited_copy_is_found_and_a_short_overlap_is_not(spark):
     item = prose(70, 60)
     words = item.split()
