@@ -55,3 +55,37 @@ def test_odd_rows(odd, none):  # noqa: F811
     rows = license_scan.find_licences(odd).collect()
     assert len(rows) == odd.count() and all(r["base"] == [] and r["found"] == [] for r in rows)
     assert license_scan.find_licences(none).count() == 0
+
+
+def test_canonical_texts_and_headers_get_their_label(spark):
+    two = (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met:\n{} Redistributions of source code must retain the above copyright notice, this list of "
+        "conditions and the following disclaimer.\n{} Redistributions in binary form must reproduce the above copyright notice, "
+        "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+        "distribution.\n"
+    )
+    three = (
+        "{} Neither the name of the {} nor the names of its contributors may be used to endorse or promote products derived "
+        "from this software without specific prior written permission.\n"
+    )
+    gnu = (
+        "This program is free software{} you can redistribute it and/or modify it under the terms of the GNU {} as published by "
+        "the Free Software Foundation{} either version {} of the License, or (at your option) any later version.\n"
+    )
+    cases = [
+        (two.format("1.", "2.") + three.format("3.", "copyright holder"), "bsd-3-clause"),
+        (two.format("*", "*") + three.format("*", "University of California, Berkeley"), "bsd-3-clause"),
+        (two.format("1.", "2."), "bsd-2-clause"),
+        (gnu.format(";", "General Public License", ";", 2), "gpl-2"),
+        (gnu.format(":", "General Public License", ",", 3), "gpl-3"),
+        (gnu.format(":", "Lesser General Public License", ",", 3), "lgpl-3"),
+        (gnu.format(":", "Affero General Public License", ",", 3), "agpl-3"),
+        (MIT, "mit"),
+    ]
+    rows = [(i, f"{prose(i)}\n{text}{prose(50 + i)}") for i, (text, _) in enumerate(cases)]
+    rows += [(100 + i, prose(200 + i)) for i in range(20)]
+    got = license_scan.find_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    labels = {r["doc_id"]: [s["label"] for s in r["found"]] for r in got}
+    assert [labels[i] for i in range(len(cases))] == [[label] for _, label in cases]
+    assert all(labels[100 + i] == [] for i in range(20))
