@@ -118,9 +118,90 @@ firsts as (select *, min({{'d': doc_id, 'l': line_no}}) over (partition by class
 select doc_id, line_no::INT as line_no, n::INT as n_chars, f.d as class_doc, f.l::INT as class_line, n_links,
   doc_id = f.d and line_no = f.l as kept from firsts"""
 
+#: Lloyd's rounds written out one after another; every distance is computed.
+ROUND = """
+near{i} as materialized (
+  select r, min({{'d': list_sum(list_transform(range(1, 65), lambda i: (kept.v[i] - c.v[i]) ** 2))::BIGINT, 'k': c.k}}) as best
+  from kept, centroids{i} c group by r),
+moved{i} as (
+  select k, list(x order by i) as v from (
+    select best.k as k, i, ((sum(x) - (sum(x) % count(*) + count(*)) % count(*)) // count(*))::BIGINT as x
+    from (select r, unnest(v) as x, generate_subscripts(v, 1) as i from kept) join near{i} using (r) group by 1, 2) group by k),
+centroids{j} as materialized (select c.k, coalesce(m.v, c.v) as v from centroids{i} c left join moved{i} m using (k)),"""
+
+CLUSTERS = (
+    """
+with kept as materialized (
+  select row_number() over () as r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) as v
+  from embeddings where len(embedding) = 64 and len(list_filter(embedding, lambda x: isfinite(x))) = 64),
+centroids0 as materialized (
+  select (row_number() over (order by h, v) - 1)::INT as k, v from (
+    select sha256('3:' || vec_id::VARCHAR) as h, v from kept where vec_id is not null order by h, v limit 8)),"""
+    + "".join(ROUND.format(i=i, j=i + 1) for i in range(11))
+    + """
+placed as (select vec_id, best.k as cluster, best.d as distance from kept join near10 using (r))
+select vec_id, cluster, distance, (sum(distance) over (partition by cluster))::BIGINT as cluster_inertia,
+  (sum(distance) over ())::BIGINT as inertia, sha256(array_to_string(v, ',')) as centroid_sha256
+from placed join centroids10 on k = cluster"""
+)
+
+MIDDLE = """
+with drawn as (
+  select doc_id, coalesce(text, '') as t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) as h,
+    list_transform(regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]'), lambda x: length(x)) as ends from documents),
+numbers as (
+  select *, len(ends)::BIGINT as n, list_transform([1, 9, 17, 25], lambda i: ('0x' || substr(h, i, 8))::BIGINT) as d from drawn),
+cuts as (
+  select *, least(d[1] % (n + 1), d[2] % (n + 1)) as one, greatest(d[1] % (n + 1), d[2] % (n + 1)) as two,
+    case when n = 0 or t like '%<P>%' or t like '%<S>%' or t like '%<M>%' or d[3] % 100 >= 90 then 'plain'
+      when d[4] % 100 < 20 then 'spm' else 'psm' end as form from numbers),
+parts as (
+  select *, coalesce(list_sum(ends[1:one]), 0)::BIGINT as low, coalesce(list_sum(ends[1:two]), 0)::BIGINT as high from cuts),
+texts as (
+  select *, substr(t, 1, low) as prefix, substr(t, low + 1, high - low) as middle, substr(t, high + 1) as suffix from parts)
+select doc_id, n, form, case when form <> 'plain' then low end as prefix_chars,
+  case when form <> 'plain' then high - low end as middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256, sha256(t) as restored_sha256
+from texts"""
+
+CHAT = r"""
+with recursive turns as (
+  select conv_id, turn, role, text from conversations
+  union all select -7, i, r, '</s>[INST] ok [/INST]' from (values (0, 'user'), (1, 'assistant')) as v(i, r)),
+written as (
+  select conv_id, coalesce('=' || conv_id::VARCHAR, '') as c, turn, coalesce(role, '') as role, coalesce(text, '') as t,
+    '<|im_start|>' || coalesce(role, '') || chr(10) || regexp_replace(coalesce(text, ''),
+      '([<\[])(\\*)((?:\|[A-Za-z0-9_]+\|>)|(?:/?s>)|(?:</?SYS>>)|(?:/?INST\]))', '\1\\\2\3', 'g') || '<|im_end|>' || chr(10) as piece,
+    len(regexp_extract_all(coalesce(text, ''), ' ?[A-Za-z]+| ?[0-9]+|[^A-Za-z0-9]')) + 8 as tokens from turns),
+placed as (
+  select *, length(piece) as chars, row_number() over w as i, sum(tokens) over w - tokens as p_before, sum(tokens) over w as p_end
+  from written window w as (partition by c order by turn nulls last, piece)),
+tops as (select c, (role = 'system' and tokens <= 128)::INT as s, if(role = 'system' and tokens <= 128, tokens, 0) as s_tokens, chars from placed where i = 1),
+walk as (
+  select p.c, i, i as f, p_before as base from placed p join tops on tops.c = p.c where i = s + 1
+  union all
+  select w.c, p.i, if(p.p_end - w.base > 384 - s_tokens, p.i, w.f), if(p.p_end - w.base > 384 - s_tokens, p.p_before, w.base)
+  from walk w join placed p on p.c = w.c and p.i = w.i + 1 join tops on tops.c = w.c),
+spans as (select c, f, min(base) as base from walk group by c, f),
+repeated as (
+  select sp.c, sum(coalesce(h.chars, 0)) as chars from spans sp join tops t on t.c = sp.c
+  join placed h on h.c = sp.c and h.i > t.s and h.i < sp.f and sp.base - h.p_before <= 128 group by sp.c),
+heads as (select sp.c, greatest(count(*) - 1, 0) * any_value(if(s = 1, t.chars, 0)) as chars from spans sp join tops t on t.c = sp.c group by sp.c),
+sums as (
+  select c, any_value(conv_id) as conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || t || chr(10), '' order by i)) as turns_sha256,
+    coalesce(sum(length(t)) filter (role = 'assistant'), 0)::BIGINT as loss_chars,
+    sha256(coalesce(string_agg(t, '' order by i) filter (role = 'assistant'), '')) as loss_sha256, sum(chars) as chars from placed group by c)
+select conv_id, n_turns, turns_sha256, loss_chars, loss_sha256,
+  (sums.chars + coalesce(repeated.chars, 0) + coalesce(heads.chars, 0))::BIGINT as formatted_chars
+from sums left join repeated using (c) left join heads using (c)"""
+
 ORACLES: dict[str, str] = {
     "op1_pfair_mix": MIX,
     "op8_odd_sketch_dedup": NEAR,
     "op9_stratified_shards": SHARDS,
     "op10_line_edit_dedup": LINES,
+    "op11_orchard_clusters": CLUSTERS,
+    "op12_fill_in_middle": MIDDLE,
+    "op13_budgeted_chat": CHAT,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderweir.llm import decontaminate, lattice_lm, license_scan, line_crf, line_edit, mixing, near_dup, nn_descent, sharding, toxicity
+from orderweir.llm import centroids, chat_windows, decontaminate, fill_middle, lattice_lm, license_scan, line_crf, line_edit, mixing, near_dup, nn_descent, sharding, toxicity
 from orderweir.llm.common import table
 from orderweir.session import configure, stored
 
@@ -104,3 +104,34 @@ def op6_nn_descent_search(spark: SparkSession, folder: str) -> DataFrame:
 def op10_line_edit_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Class of every line of 20 characters or more among all lines, equal or one edit apart."""
     return line_edit.link_lines(table(spark, folder, "documents"))
+
+
+@query
+def op11_orchard_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    """Cluster of every vector after ten rounds from eight drawn centroids."""
+    return centroids.described(*centroids.cluster(table(spark, folder, "embeddings")))
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document as fill-in-the-middle text, and the text restored from it."""
+    made = fill_middle.fill_in_middle(table(spark, folder, "documents"))
+    back = fill_middle.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(back, 256).alias("restored_sha256"),
+    )
+
+
+@query
+def op13_budgeted_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations as windows of 512 tokens, and what their turns and loss masks read back as."""
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return chat_windows.digests(chat_windows.windows(turns.unionByName(extra)))
