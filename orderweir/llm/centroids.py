@@ -40,7 +40,7 @@ def first_centroids(kept: DataFrame, k: int, seed: int) -> np.ndarray:
     named = kept.where("vec_id is not null")
     order = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("vec_id").cast("string")), 256)
     rows = named.select(order.alias("h"), "v").orderBy("h", "v").limit(k).collect()
-    return np.array([r["v"] for r in rows], np.int64).reshape(len(rows), -1)
+    return np.array([r["v"] for r in rows], np.int64) if rows else np.empty((0, 0), np.int64)
 
 
 class Orchard:
@@ -156,7 +156,7 @@ def cluster(
     * null, shorter, longer vectors and those with a null or non-finite component take no part; a null id does,
       but never starts a centroid; components beyond +-2^27 / 1024 count as that.
     * repeated rows: each counts, and each may start a centroid; ties go to the smaller centroid number.
-    * fewer than k vectors: as many centroids. Empty table: empty result, no centroids. Other columns are not read.
+    * fewer than k vectors: as many centroids. No row with an id: empty result, no centroids. Other columns are not read.
     """
     kept = stored(kept_vectors(vectors, id_col, vector_col, components), "centroid-vectors")
     centroids = first_centroids(kept, k, seed)
