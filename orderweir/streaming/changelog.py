@@ -1,21 +1,21 @@
-"""The customer changelog of a stream: one snapshot out per event in.
+"""The customer changelog of a stream: one snapshot out per event in, from keyed state.
 
-`totals_stream` keeps the latest totals with built-in state and is the one to
-prefer. This writer is for consumers that need every intermediate snapshot. Each
-micro-batch runs the batch operator, so a customer with very many events is cut
-into slices here as well, and adds the totals the customer had before.
+Every customer's totals are one value in the state store. A micro-batch reads and
+writes the values of its own customers and emits its own snapshots; nothing
+stored earlier is read or rewritten.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from orderweir.functions.columns import MONEY, has_key
-from orderweir.operators.latest import latest_per_key
 from orderweir.operators.projections import CUSTOMER_LATEST, CUSTOMER_SUMS
-from orderweir.operators.running import running_totals
-from orderweir.operators.upsert import KeyedTable
 from orderweir.streaming.sinks import append_batch
 
 SNAPSHOT = (
@@ -23,69 +23,75 @@ SNAPSHOT = (
     "orderCount bigint, totalSpent decimal(18,2), lastOrderId string, updatedAt timestamp_ntz, currency string"
 )
 FIELDS = [field.split()[0] for field in SNAPSHOT.split(", ")]
-_TOTALS = "struct<" + ", ".join(field.replace(" ", ":", 1) for field in SNAPSHOT.split(", ")[1:]) + ">"
-STATE = f"customerId string, batch bigint, before {_TOTALS}, after {_TOTALS}"
+# Times travel as microseconds: state and events then compare as whole numbers.
+EVENT = [name for name in FIELDS if name != "updatedAt"]
+STATE = SNAPSHOT.replace("updatedAt timestamp_ntz", "updatedAt bigint") + ", lastArrival bigint"
+
+
+class RunningTotals(StatefulProcessor):
+    """Totals so far and the attributes of the newest event so far, per customer.
+
+    Events of one micro-batch are taken by arrival. A late event adds to the totals and
+    leaves newer attributes alone; on equal times the later arrival wins, and an event
+    without a time never replaces one that has a time. With `keep_for` the totals of a customer without
+    events for so long are dropped by the store, and start anew.
+    """
 
+    def __init__(self, keep_for: datetime.timedelta | None = None):
+        self.keep_for = keep_for
 
-class Changelog:
-    """A log of snapshots and a keyed table with the last totals of every customer.
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        ttl = int(self.keep_for.total_seconds() * 1000) if self.keep_for else None
+        self.totals = handle.getValueState("totals", STATE, ttlDurationMs=ttl)
 
-    The table keeps the totals before and after the batch that wrote them last. A
-    batch that is run again starts from `before`, writes the same log partition
-    and the same totals: nothing is counted twice.
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        known = self.totals.get() if self.totals.exists() else None
+        now = dict(zip([*FIELDS, "lastArrival"], known)) if known else None
+        for row in sorted(rows, key=lambda row: row["arrival"]):
+            event = row.asDict()
+            arrival = event.pop("arrival")
+            if now is None:
+                now = {**event, **{name: event[name] or 0 for name in CUSTOMER_SUMS}}
+            else:
+                for name in CUSTOMER_SUMS:
+                    now[name] += event[name] or 0
+                rank = lambda at, arrived: (at is not None, at or 0, arrived)
+                if rank(event["updatedAt"], arrival) >= rank(now["updatedAt"], now["lastArrival"]):
+                    now.update({name: event[name] for name in ("updatedAt", *CUSTOMER_LATEST)})
+                else:
+                    arrival = now["lastArrival"]
+            now["lastArrival"] = arrival
+            yield Row(**{name: now[name] for name in FIELDS})
+        if now:
+            self.totals.update(tuple(now[name] for name in [*FIELDS, "lastArrival"]))
+
+    def close(self) -> None:
+        pass
+
+
+def snapshots(contributions: DataFrame, arrival: str, keep_for: datetime.timedelta | None = None) -> DataFrame:
+    """One snapshot per customer contribution of a stream, for append mode; contributions without a customer are left out.
+
+    `arrival` is a unique whole number per customer that rises with the order of delivery. All events of a customer in one
+    micro-batch are one task's work, so the source's bound on a micro-batch bounds it too. State is
+    one row per customer. With `keep_for` run the query on an interval: a clock drives its expiry, so
+    a query over what is available would not end.
     """
+    time = F.expr("unix_micros(cast(updatedAt as timestamp))").alias("updatedAt")
+    events = contributions.filter(has_key(F.col("customerId"))).select(
+        *[F.col(name).cast(MONEY) if name == "totalSpent" else F.col(name) for name in EVENT],
+        time,
+        F.col(arrival).cast("bigint").alias("arrival"),
+    )
+    emitted = events.groupBy("customerId").transformWithState(
+        RunningTotals(keep_for),
+        outputStructType=STATE.removesuffix(", lastArrival bigint"),
+        outputMode="Append",
+        timeMode="ProcessingTime" if keep_for else "None",
+    )
+    return emitted.withColumn("updatedAt", F.expr("cast(timestamp_micros(updatedAt) as timestamp_ntz)")).select(FIELDS)
+
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 8):
-        self.log_path = f"{path}/log"
-        self.totals = KeyedTable(spark, f"{path}/totals", ["customerId"], STATE, buckets)
-        self.spark = spark
-
-    def create(self) -> Changelog:
-        self.totals.create(self.spark.createDataFrame([], STATE))
-        return self
-
-    def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.log_path).select(FIELDS)
-
-    def write(self, contributions: DataFrame, batch_id: int, arrival: str) -> None:
-        """Take one micro-batch of customer contributions; usable as a `foreachBatch` body."""
-        running = running_totals(
-            contributions.filter(has_key(F.col("customerId"))),
-            key="customerId",
-            arrival=arrival,
-            event_time="updatedAt",
-            sums=CUSTOMER_SUMS,
-            latest=CUSTOMER_LATEST,
-        )
-        known = self.totals.read().select(
-            "customerId", F.when(F.col("batch") < batch_id, F.col("after")).otherwise(F.col("before")).alias("old")
-        )
-        both = running.join(known, "customerId", "left")
-        keep_old = F.col("old.updatedAt").isNotNull() & (
-            F.col("updatedAt").isNull() | (F.col("updatedAt") < F.col("old.updatedAt"))
-        )
-        added = {
-            "orderCount": (F.col("orderCount") + F.coalesce(F.col("old.orderCount"), F.lit(0))).cast("bigint"),
-            "totalSpent": (F.col("totalSpent") + F.coalesce(F.col("old.totalSpent"), F.lit(0))).cast(MONEY),
-        }
-        snapshots = both.select(
-            "customerId",
-            *[
-                added[name].alias(name)
-                if name in added
-                else F.when(keep_old, F.col(f"old.{name}")).otherwise(F.col(name)).alias(name)
-                for name in FIELDS[1:]
-            ],
-            F.col("old"),
-        )
-        append_batch(snapshots, batch_id, self.log_path)
-        written = self.spark.read.parquet(self.log_path).filter(F.col("_batch_id") == batch_id)
-        last = latest_per_key(written, ["customerId"], ["orderCount"])
-        self.totals.upsert(
-            last.select(
-                "customerId",
-                F.lit(batch_id).cast("bigint").alias("batch"),
-                F.col("old").alias("before"),
-                F.struct(*FIELDS[1:]).alias("after"),
-            )
-        )
+def log_snapshots(stream: DataFrame, path: str):
+    """A writer that appends the snapshots of each micro-batch to a log; a repeated batch replaces its own rows."""
+    return stream.writeStream.outputMode("append").foreachBatch(lambda batch, i: append_batch(batch, i, path))

@@ -13,7 +13,7 @@ from orderweir.operators.running import latest_totals
 from orderweir.sources.changes import changes
 from orderweir.sources.landing import Landing
 from orderweir.sources.order_events import order_event_json, parse_order_events
-from orderweir.streaming.changelog import Changelog
+from orderweir.streaming.changelog import FIELDS, log_snapshots, snapshots
 from orderweir.streaming.sinks import append_batch
 
 
@@ -166,10 +166,8 @@ def customer_changelog(landing: Landing, path: str) -> DataFrame:
         F.lit("USD").alias("currency"),
         F.col("o_orderkey").alias("arrival"),
     )
-    log = Changelog(landing.spark, path, int(landing.spark.conf.get("spark.sql.shuffle.partitions"))).create()
-    writer = contributions.writeStream.foreachBatch(lambda batch, batch_id: log.write(batch, batch_id, "arrival"))
-    run_available(writer, f"{path}/checkpoint")
-    return log.read()
+    run_available(log_snapshots(snapshots(contributions, "arrival"), f"{path}/log"), f"{path}/checkpoint")
+    return landing.spark.read.parquet(f"{path}/log").select(FIELDS)
 
 
 def change_chain(landing: Landing, path: str) -> DataFrame:

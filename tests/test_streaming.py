@@ -4,13 +4,15 @@ import datetime
 import json
 import os
 import pathlib
+import time
+from decimal import Decimal
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from orderweir.functions.envelope import to_messages
-from orderweir.operators import cdc, hotkeys, projections
+from orderweir.operators import cdc, projections
 from orderweir.operators.running import running_totals
 from orderweir.operators.upsert import KeyedTable
 from orderweir.sources import connectors
@@ -120,17 +122,29 @@ def test_stream_restart(spark, event_files, tmp_path):
     assert rows(spark.read.parquet(str(tmp_path / "compact")).select(whole.columns)) == rows(whole)
 
 
-def test_stream_running_total(spark, event_files, tmp_path, monkeypatch):
-    """Four batches, hot customers sliced, every batch delivered twice: still the batch result."""
-    monkeypatch.setattr(hotkeys, "MAX_ROWS", 3)
-    contributions = projections.customer_contributions(parse_order_events(stream(spark, event_files)), "arrival")
-    log = changelog.Changelog(spark, str(tmp_path / "out"), buckets=3).create()
+def test_stream_running_total(spark, event_files, tmp_path):
+    """Files one by one with a restart after each, then every batch delivered twice: still the batch result.
+
+    A batch adds its own rows to the log and touches no earlier file.
+    """
+    files = sorted(pathlib.Path(event_files).glob("*.parquet"))
+    assert len(files) >= 4
+    incoming, log = tmp_path / "in", tmp_path / "log"
+    incoming.mkdir()
+    contributions = projections.customer_contributions(parse_order_events(stream(spark, str(incoming))), "arrival")
+    made = changelog.snapshots(contributions, "arrival")
 
     def twice(batch, batch_id):
-        log.write(batch, batch_id, "arrival")
-        log.write(batch, batch_id, "arrival")
+        sinks.append_batch(batch, batch_id, str(log))
+        sinks.append_batch(batch, batch_id, str(log))
 
-    jobs.run_available(contributions.writeStream.foreachBatch(twice), str(tmp_path / "cp"))
+    earlier = set()
+    for file in files:
+        (incoming / file.name).write_bytes(file.read_bytes())
+        jobs.run_available(made.writeStream.outputMode("append").foreachBatch(twice), str(tmp_path / "cp"))
+        written = {(f, f.stat().st_mtime_ns) for f in log.rglob("*.parquet")}
+        assert earlier < written
+        earlier = written
     batch = running_totals(
         projections.customer_contributions(parse_order_events(spark.read.parquet(event_files)), "arrival"),
         key="customerId",
@@ -140,7 +154,51 @@ def test_stream_running_total(spark, event_files, tmp_path, monkeypatch):
         latest=projections.CUSTOMER_LATEST,
     )
     want = batch.withColumn("totalSpent", F.col("totalSpent").cast("decimal(18,2)")).select(changelog.FIELDS)
-    assert rows(log.read()) == rows(want)
+    assert rows(spark.read.parquet(str(log)).select(changelog.FIELDS)) == rows(want)
+
+
+CONTRIBUTION = (
+    "customerId string, customerName string, customerEmail string, customerSegment string, orderCount bigint, "
+    "totalSpent decimal(18,2), lastOrderId string, updatedAt timestamp_ntz, currency string, arrival bigint"
+)
+
+
+def contribution(arrival, order, day, total="1.00", customer="c"):
+    at = None if day is None else datetime.datetime(2026, 1, day)
+    return customer, f"name-{order}", None, None, 1, None if total is None else Decimal(total), order, at, "USD", arrival
+
+
+def test_changelog_keeps_newer_attributes(spark, tmp_path):
+    """Late, undated and equally dated events, missing amounts and events without a customer."""
+    batches = [
+        [contribution(3, "b", 5), contribution(1, "a", 3, "2.00"), contribution(2, "n", None, None)],
+        [contribution(4, "late", 1), contribution(5, "equal", 5), contribution(6, "undated", None), contribution(7, "x", 9, customer=None)],
+    ]
+    for number, batch in enumerate(batches):
+        spark.createDataFrame(batch, CONTRIBUTION).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        source = spark.readStream.schema(CONTRIBUTION).parquet(str(tmp_path / "in"))
+        made = changelog.snapshots(source, "arrival")
+        jobs.run_available(changelog.log_snapshots(made, str(tmp_path / "log")), str(tmp_path / "cp"))
+    got = spark.read.parquet(str(tmp_path / "log")).orderBy("orderCount").collect()
+    assert [(r["orderCount"], r["totalSpent"], r["lastOrderId"], r["updatedAt"] and r["updatedAt"].day) for r in got] == [
+        (1, Decimal("2.00"), "a", 3), (2, Decimal("2.00"), "a", 3), (3, Decimal("3.00"), "b", 5),
+        (4, Decimal("4.00"), "b", 5), (5, Decimal("5.00"), "equal", 5), (6, Decimal("6.00"), "equal", 5),
+    ]
+
+
+def test_changelog_expiry_restarts_totals(spark, tmp_path):
+    """A customer without events for longer than the given time starts anew."""
+    log = tmp_path / "log"
+    for number in range(2):
+        spark.createDataFrame([contribution(number, f"o{number}", 2)], CONTRIBUTION).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        source = spark.readStream.schema(CONTRIBUTION).parquet(str(tmp_path / "in"))
+        made = changelog.snapshots(source, "arrival", keep_for=datetime.timedelta(milliseconds=1))
+        query = jobs.run_every(changelog.log_snapshots(made, str(log)), str(tmp_path / "cp"), "1 second")
+        deadline = time.time() + 60
+        while time.time() < deadline and len(list(log.glob("_batch_id=*/*.parquet"))) <= number:
+            time.sleep(0.2)
+        query.stop()
+    assert [r["orderCount"] for r in spark.read.parquet(str(log)).collect()] == [1, 1]
 
 
 def topic_rows(spark, path, *values):
