@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderweir.functions import columns as c
+from orderweir.session import stored
 
 
 def _summary(name: str, failures: Column, severity: str = "error") -> list[Column]:
@@ -160,3 +161,68 @@ def parity(name: str, left: DataFrame, right: DataFrame, key: str) -> DataFrame:
         F.coalesce(F.sum(F.greatest(F.col("l") - F.col("r"), F.lit(0))), F.lit(0)).alias("only_left"),
         F.coalesce(F.sum(F.greatest(F.col("r") - F.col("l"), F.lit(0))), F.lit(0)).alias("only_right"),
     ).select(F.lit(name).alias("table_name"), "left_rows", "right_rows", "only_left", "only_right")
+
+
+def _checksums(rows: DataFrame, key: str, columns: list[str], buckets: int, side: str) -> DataFrame:
+    """Rows and order-free checksums per hash bucket of the key; a doubled row counts twice in both sums."""
+    hashes = [F.xxhash64(*columns), F.xxhash64(F.lit(1), *columns)]
+    return rows.groupBy(F.pmod(F.xxhash64(key), F.lit(buckets)).alias("_bucket")).agg(
+        F.count("*").alias(f"n_{side}"),
+        F.struct(F.count("*"), *[F.sum(h.cast("decimal(38,0)")) for h in hashes]).alias(f"sum_{side}"),
+    )
+
+
+def row_differences(left: DataFrame, right: DataFrame, key: str, columns: list[str] | None = None, buckets: int = 4096) -> DataFrame:
+    """Rows that one copy of a table has more often than the other: the columns and `surplus`, negative for the right.
+
+    Checksums of hash buckets of the key are compared first; rows are compared only in buckets whose
+    checksums differ, so two equal copies cost one aggregation each and no row is moved.
+    """
+    columns = columns or left.columns
+    left, right = left.select(columns), right.select(columns)
+    return _differences(left, right, key, columns, buckets, _compared(left, right, key, columns, buckets))
+
+
+def _compared(left: DataFrame, right: DataFrame, key: str, columns: list[str], buckets: int) -> DataFrame:
+    sums = _checksums(left, key, columns, buckets, "left").join(
+        _checksums(right, key, columns, buckets, "right"), "_bucket", "full"
+    )
+    return stored(sums, "parity-sums")
+
+
+def _differences(left: DataFrame, right: DataFrame, key: str, columns: list[str], buckets: int, sums: DataFrame) -> DataFrame:
+    differ = sums.where(~F.col("sum_left").eqNullSafe(F.col("sum_right"))).select("_bucket")
+    inside = lambda rows, sign: (
+        rows.withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
+        .join(differ, "_bucket", "left_semi")
+        .select(*columns, F.lit(sign).alias("_side"))
+    )
+    both = inside(left, 1).unionByName(inside(right, -1))
+    return both.groupBy(*columns).agg(F.sum("_side").alias("surplus")).where("surplus <> 0")
+
+
+def row_parity(
+    name: str, left: DataFrame, right: DataFrame, key: str, columns: list[str] | None = None, buckets: int = 4096
+) -> DataFrame:
+    """Whole rows of two copies of a table compared: row counts, buckets that differ, and rows by kind of difference.
+
+    changed: rows of one key that stand in both copies with other values; only_left, only_right: rows that
+    the other copy lacks, doubled ones included. `columns` name what is compared, by default all of the left copy.
+    """
+    columns = columns or left.columns
+    left, right = left.select(columns), right.select(columns)
+    sums = _compared(left, right, key, columns, buckets)
+    rows = _differences(left, right, key, columns, buckets, sums)
+    per_key = rows.groupBy(key).agg(
+        F.sum(F.greatest("surplus", F.lit(0))).alias("l"), F.sum(F.greatest(-F.col("surplus"), F.lit(0))).alias("r")
+    )
+    both = F.least("l", "r")
+    kinds = per_key.agg(
+        *[F.coalesce(F.sum(x), F.lit(0)).alias(kind) for kind, x in
+          {"changed": both, "only_left": F.col("l") - both, "only_right": F.col("r") - both}.items()]
+    )
+    totals = sums.agg(
+        F.coalesce(F.sum("n_left"), F.lit(0)).alias("left_rows"),
+        F.coalesce(F.sum("n_right"), F.lit(0)).alias("right_rows"),
+    )
+    return totals.join(kinds).select(F.lit(name).alias("table_name"), "left_rows", "right_rows", "changed", "only_left", "only_right")

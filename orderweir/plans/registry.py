@@ -14,17 +14,19 @@ from pyspark.sql.types import StructType
 
 from orderweir.functions import columns as c
 from orderweir.functions.envelope import to_messages, unwrap
-from orderweir.operators import cdc, evolve, latest, metrics, monitor, projections, quality
+from orderweir.operators import cdc, evolve, history, latest, metrics, monitor, projections, quality, snapshot
 from orderweir.operators.running import latest_totals
 from orderweir.operators.upsert import KeyedTable
 from orderweir.plans import bronze, gold
 from orderweir.plans.models import Models
 from orderweir.plans.warehouse import Warehouse, column_inventory, row_counts
-from orderweir.schemas import lakehouse_columns
+from orderweir.schemas import CDC_TOPICS, lakehouse_columns
 from orderweir.session import configure, shared_dir, stored
 from orderweir.sources import changes as change_source
 from orderweir.sources.landing import Landing
+from orderweir.sources.log_index import IndexedLog, envelope_time
 from orderweir.sources.order_events import order_event_json, parse_order_events
+from orderweir.streaming.compaction import JsonLog
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -129,6 +131,43 @@ def replay_from_ts(landing: Landing) -> DataFrame:
     return cdc.replay_from(change_source.changes(landing), start_ms).select("entity_id", "op", "ts_ms", "position")
 
 
+@query
+def replay_indexed(landing: Landing) -> DataFrame:
+    """The same from a stored log of messages, of which only files that reach into the time range are read.
+
+    The log came in three batches, the last one of changes that arrived late.
+    """
+    sent = change_source.change_messages(landing).filter(F.col("topic").isin(*CDC_TOPICS))
+    time = envelope_time()
+    log = IndexedLog(landing.spark, shared_dir(landing.spark, "indexed"), "topic string, key string, value string")
+    late = F.get_json_object("value", "$.op") == "c"
+    early = time < 1_705_276_800_000
+    for batch_id, part in enumerate([sent.filter(early & ~late), sent.filter(~early & ~late), sent.filter(late)]):
+        log.append(part, batch_id)
+    parsed = change_source.parse_changes(log.replay(1_705_276_800_000))
+    return parsed.select(
+        F.coalesce("after.user_id", "before.user_id").alias("entity_id"), "op", "ts_ms", F.col("source.lsn").alias("position")
+    )
+
+
+@query
+def snapshot_reconciled(landing: Landing) -> DataFrame:
+    """A table read in eight chunks while it changed, put right by its change log.
+
+    Chunk i holds its rows as of the middle of the i-th eighth of the log, so that changes fall before and after every read.
+    """
+    log = stored(change_source.changes(landing).select("entity_id", "position", "op", "after"), "change-log")
+    eighth = log.agg(F.ceil((F.max("position") + 1) / 8)).scalar()
+    chunked = log.withColumn("chunk", F.pmod(F.xxhash64("entity_id"), F.lit(8)))
+    read_at = F.col("chunk") * eighth + F.floor(eighth / 2)
+    seen = latest.latest_per_key(chunked.filter(F.col("position") <= read_at), ["entity_id"], ["position"])
+    rows = seen.filter("op <> 'd'").select(
+        "entity_id", "after", (F.col("chunk") * eighth - 1).alias("low"), ((F.col("chunk") + 1) * eighth - 1).alias("high")
+    )
+    live = snapshot.state_at(rows, log, "entity_id")
+    return live.select("entity_id", F.col("after.value").cast(c.MONEY).alias("value"), F.col("after.k").alias("k"))
+
+
 @query
 def dim_date_generated(landing: Landing) -> DataFrame:
     return landing.mdm_date()
@@ -685,6 +724,19 @@ def cdc_scd2(landing: Landing) -> DataFrame:
     )
 
 
+@query
+def cdc_scd2_batches(landing: Landing) -> DataFrame:
+    """The same, maintained over three batches that mix early and late changes of every row."""
+    changes = stored(change_source.changes(landing), "change-log")
+    log = history.HistoryLog(
+        landing.spark, shared_dir(landing.spark, "history"), "entity_id", history.log_schema(changes, "entity_id")
+    ).create()
+    part = F.pmod(F.xxhash64("position"), F.lit(3))
+    for batch_id, which in enumerate((2, 0, 1)):
+        log.take(changes.filter(part == which), batch_id)
+    return log.versions().withColumn("value", F.col("after.value").cast(c.MONEY)).drop("after")
+
+
 @query
 def bronze_append(landing: Landing) -> DataFrame:
     """Two batches appended to an immutable log, the second one delivered again."""
@@ -709,6 +761,17 @@ def evolve_additive(landing: Landing) -> DataFrame:
     return evolve.additive_union(first, orders.filter("o_orderstatus <> 'F'"))
 
 
+@query
+def json_compaction(landing: Landing) -> DataFrame:
+    """Orders as raw JSON in many small files of three batches, two of which are put together before all are read."""
+    orders = landing.source("orders").select("o_orderkey", "o_orderstatus", c.plain_text(c.money(F.col("o_totalprice"))).alias("total"))
+    log = JsonLog(landing.spark, shared_dir(landing.spark, "json"), "o_orderkey bigint, o_orderstatus string, total string")
+    for batch_id, status in enumerate("FOP"):
+        log.append(orders.filter(F.col("o_orderstatus") == status), batch_id)
+    log.compact(upto=1)
+    return log.read()
+
+
 @query
 def quarantine_bad_records(landing: Landing) -> DataFrame:
     """Order totals as text, unreadable for pending orders and missing for urgent ones."""
@@ -905,6 +968,28 @@ def layer_parity(landing: Landing) -> DataFrame:
     return lines.unionByName(orders)
 
 
+@query
+def layer_row_parity(landing: Landing) -> DataFrame:
+    """Whole rows of landing lines and headers against the fact, and orders against a copy with planted faults."""
+    models = Models(landing)
+    fact = stored(models.fact_sales_order, "fact")
+    line_columns = ["line_item_id", "order_id", "order_timestamp", "customer_id", "product_id", "quantity", "unit_price", "line_total"]
+    lines = models.stage("stg_sales_order_line_item").withColumnRenamed("sku", "product_id")
+    head_columns = ["order_id", "order_total", "line_item_count"]
+    orders = landing.source("orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", c.money(F.col("o_totalprice")).alias("total"))
+    # Urgent orders are lost, orders of low priority doubled, pending ones of others changed.
+    kept = orders.filter("o_orderpriority <> '1-URGENT'")
+    changed = (F.col("o_orderstatus") == "P") & ~F.col("o_orderpriority").isin("1-URGENT", "5-LOW")
+    faulty = kept.withColumn("total", F.when(changed, (F.col("total") + 1).cast(c.MONEY)).otherwise(F.col("total")))
+    faulty = faulty.unionByName(orders.filter("o_orderpriority = '5-LOW'"))
+    checks = [
+        quality.row_parity("line_items", lines, fact, "line_item_id", line_columns),
+        quality.row_parity("headers", models.stage("stg_sales_order"), fact.select(head_columns).distinct(), "order_id", head_columns),
+        quality.row_parity("faulty_copy", orders, faulty, "o_orderkey"),
+    ]
+    return checks[0].unionByName(checks[1]).unionByName(checks[2])
+
+
 # ---- catalog ------------------------------------------------------------------------------
 def _built(landing: Landing) -> Warehouse:
     location = shared_dir(landing.spark, "warehouse")
@@ -961,19 +1046,34 @@ def metric_gross_revenue(landing: Landing) -> DataFrame:
     return metrics.GROSS_REVENUE.compute(model)
 
 
-@query
-def freshness_p95(landing: Landing) -> DataFrame:
-    """95th percentile of the delay from order to shipment, per line status; lines shipped early count as no delay."""
+def _delays(landing: Landing, *keep: str) -> DataFrame:
+    """Seconds from order to shipment of every line."""
     line, orders = landing.source("lineitem"), landing.source("orders")
     seconds = F.greatest((c.epoch_ms(F.col("l_shipdate")) - c.epoch_ms(F.col("o_orderdate"))) / 1000, F.lit(0))
-    delays = line.join(orders, line.l_orderkey == orders.o_orderkey).select(
-        "l_linestatus", seconds.cast("bigint").alias("delay_seconds")
+    return line.join(orders, line.l_orderkey == orders.o_orderkey).select(
+        "l_linestatus", *keep, seconds.cast("bigint").alias("delay_seconds")
     )
+
+
+@query
+def freshness_p95(landing: Landing) -> DataFrame:
+    """95th percentile of the delay from order to shipment, per line status; lines shipped early count as no delay."""
+    delays = _delays(landing)
     return monitor.delay_quantile(delays, ["l_linestatus"], "delay_seconds", 0.95).select(
         "l_linestatus", F.col("delay_quantile").alias("p95_seconds"), "events"
     )
 
 
+@query
+def freshness_p95_sketched(landing: Landing) -> DataFrame:
+    """The same quantile from stored hourly sketches merged over all hours, held against the exact ranks."""
+    delays = _delays(landing, "o_orderdate")
+    sketches = stored(monitor.delay_sketches(delays, ["l_linestatus"], "o_orderdate", "delay_seconds"), "delay-sketches")
+    found = stored(monitor.sketched_quantile(sketches, ["l_linestatus"], 0.95), "delay-quantiles")
+    exact = monitor.rank_error(delays, ["l_linestatus"], "delay_seconds", found, 0.95)
+    return exact.select("l_linestatus", "events", (F.col("rank_error") <= 0.01).alias("within_one_percent"))
+
+
 @query
 def freshness_age(landing: Landing) -> DataFrame:
     """Age of the newest order, line and event at a fixed time."""

@@ -2,6 +2,7 @@
 
 import datetime
 import json
+import random
 
 import pytest
 from conftest import rows
@@ -10,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from orderweir import schemas
 from orderweir.functions.calendar import calendar_between
-from orderweir.operators import cdc, evolve, metrics, monitor, quality
+from orderweir.operators import cdc, evolve, hotkeys, metrics, monitor, quality
 from orderweir.session import shared_dir
 from orderweir.sources import connectors
 from orderweir.sources.changes import parse_changes
@@ -151,20 +152,76 @@ def brute_force(samples, seconds):
     return out
 
 
-@pytest.mark.parametrize("block", [1, 60, 3600])
-def test_range_windows_across_blocks(spark, block):
+def test_range_windows_across_blocks(spark):
     start = datetime.datetime(2026, 1, 1)
     samples = [
         (f"s{i % 2}", start + datetime.timedelta(seconds=17 * i + (i * i) % 13), (i * 37) % 50) for i in range(120)
     ]
     df = spark.createDataFrame(samples, "series string, t timestamp_ntz, v bigint")
     want = brute_force(samples, 90)
-    highest = monitor.max_over_time(df, ["series"], "t", "v", 90, block)
-    grown = monitor.increase(df.withColumn("id", F.monotonically_increasing_id()), ["series"], "t", "v", 90, "id", block)
+    highest = monitor.max_over_time(df, ["series"], "t", "v", 90)
+    grown = monitor.increase(df.withColumn("id", F.monotonically_increasing_id()), ["series"], "t", "v", 90, "id")
     assert {(r.series, r.t): r.max_value for r in highest.collect()} == {k: v[0] for k, v in want.items()}
     assert {(r.series, r.t): r["increase"] for r in grown.collect()} == {k: v[1] for k, v in want.items()}
 
 
+@pytest.mark.parametrize("seconds", [1, 2, 60])
+def test_one_busy_series_is_spread_over_tasks(spark, monkeypatch, seconds):
+    """All rows in ten minutes of one series, many of them in one millisecond, counted in slices of 200 rows."""
+    monkeypatch.setattr(hotkeys, "MAX_ROWS", 200)
+    start = datetime.datetime(2026, 1, 1)
+    draw = random.Random(4)
+    samples = [("s", start + datetime.timedelta(milliseconds=draw.choice([5_000, draw.randrange(600_000)])), i, draw.randrange(1_000))
+               for i in range(1_500)]
+    df = spark.createDataFrame(samples, "series string, t timestamp_ntz, id bigint, v bigint").repartition(3)
+    in_order = sorted(samples, key=lambda x: (x[1], x[2]))
+    want = {}
+    for _, t, i, _ in samples:
+        inside = [v for _, t2, _, v in in_order if 0 <= (t - t2).total_seconds() <= seconds]
+        want[i] = (max(inside), sum(b if b < a else b - a for a, b in zip(inside, inside[1:])))
+    highest = monitor.max_over_time(df, ["series"], "t", "v", seconds)
+    grown = monitor.increase(df, ["series"], "t", "v", seconds, "id")
+    assert {r.id: r.max_value for r in highest.collect()} == {i: w[0] for i, w in want.items()}
+    assert {r.id: r["increase"] for r in grown.collect()} == {i: w[1] for i, w in want.items()}
+    plan = highest._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "windowspecdefinition" in line]
+    assert windows and all("_part" in line.split("windowspecdefinition")[1] for line in windows)
+
+
+def test_ranges_of_missing_times_and_series(spark):
+    at = datetime.datetime(1969, 12, 31, 23, 59, 59, 500_000)  # before the epoch
+    data = [(None, at, 1, 4), (None, at + datetime.timedelta(seconds=1), 2, 1), ("s", None, 3, 9), ("s", at, 4, None)]
+    df = spark.createDataFrame(data, "series string, t timestamp_ntz, id bigint, v bigint")
+    highest = {r.id: r.max_value for r in monitor.max_over_time(df, ["series"], "t", "v", 60).collect()}
+    assert highest == {1: 4, 2: 4, 3: 9, 4: None}
+    assert monitor.increase(df, ["series"], "t", "v", 60, "id").count() == 4
+
+
+def test_sketches_of_hours_merge_to_any_period(spark):
+    rows_in = spark.range(20_000).select(
+        F.lit("g").alias("g"), (F.col("id") * 7919 % 20_011).alias("d"), F.timestamp_seconds(F.col("id") * 60).alias("t")
+    )
+    hourly = monitor.delay_sketches(rows_in, ["g"], "t", "d")
+    assert hourly.count() == 334
+    for part, share in ((hourly, 0.95), (hourly.where("period < timestamp'1970-01-08'"), 0.5)):
+        found = monitor.sketched_quantile(part, ["g"], share)
+        seen = rows_in if share == 0.95 else rows_in.where("t < timestamp'1970-01-08'")
+        exact = monitor.rank_error(seen, ["g"], "d", found, share).first()
+        assert exact["rank_error"] <= 0.01 and exact["events"] == found.first()["events"] == seen.count()
+
+
+def test_row_parity_sees_changes_losses_and_doubles(spark):
+    left = spark.range(1_000).select("id", (F.col("id") % 7).alias("v"), F.lit(None).cast("string").alias("n"))
+    row = lambda *x: spark.createDataFrame([x], left.schema)
+    right = left.where("id not in (3, 4, 5)").unionByName(row(3, 99, None)).unionByName(row(5, 5, None)).unionByName(row(5, 5, None))
+    assert rows(quality.row_parity("t", left, right, "id", buckets=16)) == [("t", 1_000, 1_000, 1, 1, 1)]
+    assert rows(quality.row_differences(left, right, "id", buckets=16)) == [(3, 3, None, 1), (3, 99, None, -1), (4, 4, None, 1), (5, 5, None, -1)]
+    assert rows(quality.row_parity("t", left, left.repartition(5), "id")) == [("t", 1_000, 1_000, 0, 0, 0)]
+    assert rows(quality.row_parity("t", left.limit(0), left, "id")) == [("t", 0, 1_000, 0, 0, 1_000)]
+    # Keys alone see two of the three faults.
+    assert rows(quality.parity("t", left, right, "id")) == [("t", 1_000, 1_000, 1, 1)]
+
+
 @pytest.mark.parametrize("cell", [1, 7, 4096])
 def test_quantile_is_exact(spark, cell):
     df = spark.range(1, 101).select(F.lit("g").alias("g"), F.col("id").alias("d"))
