@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StructType
+from pyspark.sql.types import StructType
 
 from orderweir.operators.latest import duplicate_keys, first_per_key, latest_per_key
 
@@ -113,77 +113,51 @@ def insert_if_absent(
 
 
 class KeyedTable:
-    """A Parquet table with one row per key; every merge writes a new version of it.
+    """A Parquet folder with one row per key, in a sub-folder per bucket of the key.
 
-    A version is a folder that counts once its write is complete, so a merge that fails leaves the old
-    rows readable and may simply be run again. The version before the current one stays for
-    readers that are still at work, older ones are removed. One writer per table. With a batch id,
-    which the version records, a batch that is not newer than the last one is skipped. Rows without
-    a whole key are not merged. Removed keys stay as marked rows where a time guard may need them.
+    A merge is `merged` followed by an ordinary dynamic partition overwrite: buckets are staged and swapped in when
+    the write is done, and a merge that failed may simply be run again. One writer per table; read it anew after a
+    merge. Rows without a whole key are not merged. Removed keys stay as marked rows where a time guard may need them.
 
-    A merge costs a pass over the table: it is for batches that touch much of it. Small batches belong
-    in an append-only log that is read by `latest_per_key` and compacted now and then, or in a table
-    format with its own MERGE (`merge_into`).
+    A merge costs a pass over the table: it is for batches that touch much of it. Streams append to logs that are
+    read by the last row of each key (`sinks.merge_topic`), and a table format has its own MERGE (`merge_into`).
     """
 
     def __init__(
         self, spark: SparkSession, path: str, keys: list[str], schema: StructType | str | None = None, buckets: int = 8
     ):
-        """buckets: files of a version; it may differ from one writer to the next."""
+        """buckets: of a new table; one that has rows keeps its number, which is part of its folders."""
         self.spark, self.path, self.keys, self.buckets = spark, path, keys, buckets
         self.schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
-    def _folder(self):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
-
-    def _versions(self) -> list[str]:
-        """Names of complete versions, oldest first: v<number>-<last batch id>."""
-        files, path = self._folder()
-        if not files.exists(path):
-            return []
-        child = self.spark._jvm.org.apache.hadoop.fs.Path
-        names = [status.getPath().getName() for status in files.listStatus(path)]
-        return sorted(n for n in names if n.startswith("v") and files.exists(child(f"{self.path}/{n}/_SUCCESS")))
-
-    def last_batch(self) -> int | None:
-        """Id of the last batch that was merged, if batches have ids."""
-        versions = self._versions()
-        batch = versions[-1].partition("-")[2] if versions else ""
-        return int(batch) if batch else None
-
-    def _write(self, df: DataFrame, batch_id: int | None) -> None:
-        versions = self._versions()
-        number = int(versions[-1][1:].partition("-")[0]) + 1 if versions else 0
-        df.write.mode("overwrite").parquet(f"{self.path}/v{number:09d}-{'' if batch_id is None else batch_id}")
-        files, _ = self._folder()
-        for old in versions[:-1]:
-            files.delete(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{old}"), True)
+    def _rows(self) -> DataFrame:
+        fields = StructType([*self.schema.fields]).add("_removed", "boolean")
+        return self.spark.read.schema(fields.add("_of", "integer").add("_bucket", "integer")).parquet(self.path)
+
+    def _number(self) -> int:
+        first = self._rows().select("_of").first()
+        return first[0] if first else self.buckets
+
+    def _write(self, rows: DataFrame, number: int, mode: str = "overwrite") -> None:
+        """Rows are partitioned by the hash that names the buckets already, so a bucket is one task's file."""
+        placed = rows.withColumns({"_of": F.lit(number), "_bucket": F.pmod(F.hash(*self.keys), F.lit(number))})
+        writer = placed.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("_of", "_bucket").parquet(self.path)
 
     def create(self, rows: DataFrame) -> KeyedTable:
-        """Write the first version; `rows` must be unique per key."""
+        """Write the table; `rows` must be unique per key."""
         self.schema = rows.schema
-        self._write(rows.withColumn("_removed", F.lit(False)).repartition(self.buckets, *self.keys), None)
+        self._write(rows.withColumn("_removed", F.lit(False)).repartition(self.buckets, *self.keys), self.buckets)
         return self
 
-    def _stored(self) -> DataFrame:
-        fields = StructType([*self.schema.fields]).add("_removed", BooleanType())
-        return self.spark.read.schema(fields).parquet(f"{self.path}/{self._versions()[-1]}")
-
     def read(self) -> DataFrame:
-        return self._stored().filter("not _removed").drop("_removed")
+        return self._rows().filter("not _removed").drop("_removed", "_of", "_bucket")
 
-    def upsert(
-        self, source: DataFrame, order: list[str] | None = None, strict: bool = False, batch_id: int | None = None, **rules
-    ) -> KeyedTable:
+    def upsert(self, source: DataFrame, order: list[str] | None = None, strict: bool = False, **rules) -> KeyedTable:
         """Merge a batch; see `merged` for the rules.
 
-        The latest row per key by `order` is merged. With `strict`, repeated keys
-        are an error instead. A batch id that is not above the last one is skipped.
+        The latest row per key by `order` is merged. With `strict`, repeated keys are an error instead.
         """
-        last = self.last_batch()
-        if batch_id is not None and last is not None and batch_id <= last:
-            return self
         source = source.dropna(subset=self.keys)
         if strict:
             require_unique(source, self.keys)
@@ -191,21 +165,27 @@ class KeyedTable:
             source = latest_per_key(source, self.keys, order)
         delete_when = rules.pop("delete_when", None)
         removed = F.lit(False) if delete_when is None else F.coalesce(delete_when, F.lit(False))
-        old = self._stored()
-        if not rules.get("newer_by"):
-            old = old.filter("not _removed")
         for rule in ("update", "insert"):
             if rules.get(rule) is not None:
                 rules[rule] = [*rules[rule], "_removed"]
+        number = self._number()
+        old = self._rows().drop("_of", "_bucket")
+        if not rules.get("newer_by"):
+            # A bucket without another row is not written; the marked rows it keeps are no part of the table.
+            old = old.filter("not _removed")
         # Partitioned alike, the two sides join and are written without another shuffle.
-        old = old.repartition(self.buckets, *self.keys)
-        new = source.withColumn("_removed", removed).repartition(self.buckets, *self.keys)
-        self._write(merged(old, new, self.keys, **rules), last if batch_id is None else batch_id)
+        old = old.repartition(number, *self.keys)
+        new = source.withColumn("_removed", removed).repartition(number, *self.keys)
+        self._write(merged(old, new, self.keys, **rules), number)
         return self
 
     def append_absent(self, source: DataFrame, order: list[str], defaults: dict[str, Column] | None = None) -> KeyedTable:
-        """Add the first row of every key that is not there yet; existing rows stay as they are."""
-        return self.upsert(first_per_key(source, self.keys, order), update=[], defaults=defaults)
+        """Append the first row of every key that is not there yet; existing rows stay untouched where they are."""
+        number = self._number()
+        known = self._rows().drop("_removed", "_of", "_bucket")
+        fresh = insert_if_absent(known, source.dropna(subset=self.keys), self.keys, order, defaults)
+        self._write(fresh.withColumn("_removed", F.lit(False)).repartition(number, *self.keys), number, "append")
+        return self
 
 
 def merge_into(source: DataFrame, table: str, keys: list[str], update: list[str], insert: list[str]) -> None:

@@ -505,6 +505,23 @@ def compact_latest(landing: Landing) -> DataFrame:
     return stored(latest.latest_per_key(records, ["user_id"], ["event_id"]), "compacted")
 
 
+@query
+def log_state_after_compaction(landing: Landing) -> DataFrame:
+    """A state log of three batches, compacted after two: the state is the compacted base and the batch after it."""
+    from orderweir.streaming.jobs import compact_log, last_logged
+    from orderweir.streaming.sinks import append_batch
+
+    spark, path = landing.spark, shared_dir(landing.spark, "state-log")
+    records = landing.source("events").select("user_id", "event_id", "ts", "event_type", "value")
+    dealt = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    for batch_id in range(3):
+        part = records.filter(dealt == batch_id)
+        append_batch(latest.latest_per_key(part, ["user_id"], ["event_id"]), batch_id, f"{path}/log")
+        if batch_id == 1:
+            compact_log(spark, f"{path}/log", f"{path}/base", ["user_id"], ["event_id"])
+    return last_logged(spark, f"{path}/log", ["user_id"], ["event_id"], base=f"{path}/base")
+
+
 # ---- tables that are merged ------------------------------------------------------------
 def _table(landing: Landing, purpose: str, keys: list[str]) -> KeyedTable:
     buckets = int(landing.spark.conf.get("spark.sql.shuffle.partitions"))
@@ -627,11 +644,26 @@ def ctas_customer_sales(landing: Landing) -> DataFrame:
     return _ctas(landing, landing.customer_sales(), "customer_sales")
 
 
+def _cloned(landing: Landing, table: str, keys: list[str], rows: DataFrame) -> DataFrame:
+    """An empty copy of a table is created, then filled by a first merge of all its rows."""
+    return _table(landing, f"empty-clone-{table}", keys).create(evolve.empty_clone(rows)).upsert(rows).read()
+
+
 @query
 def empty_clone(landing: Landing) -> DataFrame:
-    """An empty copy of the order table is created, then filled by a first merge of all orders."""
-    orders = landing.sales_order()
-    return _table(landing, "empty-clone", ["orderid"]).create(evolve.empty_clone(orders)).upsert(orders).read()
+    return _cloned(landing, "sales_order", ["orderid"], landing.sales_order())
+
+
+@query
+def empty_clone_line_item(landing: Landing) -> DataFrame:
+    """Lines, whose ids repeat: the later arrival of each is merged."""
+    lines = latest.latest_per_key(landing.line_arrivals(), ["lineitemid"], ["shipped_at", "position"])
+    return _cloned(landing, "line-item", ["lineitemid"], lines.drop("shipped_at", "position", "status"))
+
+
+@query
+def empty_clone_customer_sales(landing: Landing) -> DataFrame:
+    return _cloned(landing, "customer-sales", ["customerid"], landing.customer_sales_latest())
 
 
 @query
@@ -651,15 +683,32 @@ def mdm_full_refresh(landing: Landing) -> DataFrame:
     return landing.spark.createDataFrame(list(written.items()), "table_name string, row_count bigint")
 
 
+def _refreshed_table(landing: Landing, table: str, first: DataFrame, rows: DataFrame) -> DataFrame:
+    """A master table as it stands after it was replaced twice, first by a part of it."""
+    from orderweir.streaming.sinks import full_refresh
+
+    path = shared_dir(landing.spark, "mdm")
+    full_refresh(landing.spark, {table: first}, path)
+    full_refresh(landing.spark, {table: rows}, path)
+    return landing.spark.read.parquet(f"{path}/{table}").drop("_part")
+
+
 @query
 def mdm_full_refresh_rows(landing: Landing) -> DataFrame:
-    """The customer master as it stands after it was replaced twice, first by a part of it."""
-    from orderweir.streaming.sinks import full_refresh
+    rows = landing.mdm_customer360()
+    return _refreshed_table(landing, "customer360", rows.filter("customer_segment = 'BUILDING'"), rows)
 
-    path, rows = shared_dir(landing.spark, "mdm"), landing.mdm_customer360()
-    full_refresh(landing.spark, {"customer360": rows.filter("customer_segment = 'BUILDING'")}, path)
-    full_refresh(landing.spark, {"customer360": rows}, path)
-    return landing.spark.read.parquet(f"{path}/customer360").drop("_part")
+
+@query
+def mdm_full_refresh_products(landing: Landing) -> DataFrame:
+    rows = landing.mdm_product_master()
+    return _refreshed_table(landing, "product_master", rows.filter("orders_count < 30"), rows)
+
+
+@query
+def mdm_full_refresh_dates(landing: Landing) -> DataFrame:
+    rows = landing.mdm_date()
+    return _refreshed_table(landing, "mdm_date", rows.filter("is_weekend"), rows)
 
 
 @query
@@ -901,6 +950,19 @@ def stream_order_fanout_totals(landing: Landing) -> DataFrame:
     return _event_totals(event_totals(landing, shared_dir(landing.spark, "event-totals")))
 
 
+@query
+def stream_fanout_logs(landing: Landing) -> DataFrame:
+    """One stream of order events into header, line and contribution logs, and what the three say about each order."""
+    from orderweir.streaming.jobs import fanned_out
+
+    sent = fanned_out(landing, shared_dir(landing.spark, "fan-out"))
+    return sent.select(
+        F.col("orderId").alias("order_id"), F.col("customerId").alias("customer_id"),
+        c.money(F.col("orderTotal")).alias("order_total"), F.col("lineItemCount").cast("int").alias("line_item_count"),
+        "lines", "lines_total", "orders",
+    )
+
+
 @query
 def stream_dedupe_redelivered(landing: Landing) -> DataFrame:
     """The whole change log delivered twice to a stream: every distinct change once, however late."""
@@ -980,7 +1042,8 @@ def dq_non_empty(landing: Landing) -> DataFrame:
         {
             "sales_order": landing.sales_order(),
             "sales_order_line_item": landing.sales_order_line_item(),
-            "customer_sales": landing.customer_sales(),
+            # A snapshot comes from every contribution, so a look at one tells without building the changelog.
+            "customer_sales": landing.contributions(),
         }
     )
 

@@ -111,7 +111,7 @@ class Landing:
         return self.line_arrivals().drop("shipped_at", "position", "status")
 
     # ---- customer changelog ---------------------------------------------
-    def _contributions(self) -> DataFrame:
+    def contributions(self) -> DataFrame:
         """What each order adds to its customer."""
         return self.orders_with_customer().select(
             "customerid", "customername", "customeremail", "customersegment", "currency",
@@ -125,7 +125,7 @@ class Landing:
 
     def customer_sales_latest(self) -> DataFrame:
         """The last snapshot of each customer, without building the others."""
-        last = latest_totals(self._contributions(), **_TOTALS)
+        last = latest_totals(self.contributions(), **_TOTALS)
         return last.withColumn("totalspent", F.col("totalspent").cast(c.MONEY)).select(
             "customerid", "customername", "customeremail", "customersegment", "ordercount", "totalspent",
             "lastorderid", "updatedat", "currency",
@@ -133,7 +133,7 @@ class Landing:
 
     def customer_sales_arrivals(self) -> DataFrame:
         """One running snapshot per order event, in arrival order, plus arrival and status."""
-        running = running_totals(self._contributions(), **_TOTALS)
+        running = running_totals(self.contributions(), **_TOTALS)
         return running.select(
             "customerid", "customername", "customeremail", "customersegment",
             F.col("ordercount").cast("bigint").alias("ordercount"),

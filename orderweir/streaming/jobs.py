@@ -73,14 +73,32 @@ def log_totals(totals: DataFrame, path: str):
     return totals.writeStream.outputMode("update").foreachBatch(lambda batch, i: append_batch(batch, i, path))
 
 
-def last_logged(spark: SparkSession, path: str, keys: list[str], order: list[str]) -> DataFrame:
-    """The state that a log of updates describes: the last row of every key."""
-    return latest_per_key(spark.read.parquet(path), keys, [*order, "_batch_id"]).drop("_ingest_ts", "_batch_id")
+def _last_rows(spark: SparkSession, path: str, keys: list[str], order: list[str], base: str | None) -> DataFrame:
+    rows = spark.read.parquet(path)
+    if base:
+        packed = spark.read.parquet(base)
+        upto = packed.agg(F.max("_upto")).first()[0]
+        rows = packed.where(F.col("_upto") == upto).drop("_upto").unionByName(rows.where(F.col("_batch_id") > upto))
+    return latest_per_key(rows, keys, [*order, "_batch_id"])
 
 
-def compact_log(spark: SparkSession, path: str, target: str, keys: list[str], order: list[str]) -> None:
-    """Write the state of a log to a new folder; run it now and then, and start a new log beside it."""
-    last_logged(spark, path, keys, order).write.mode("errorifexists").parquet(target)
+def last_logged(spark: SparkSession, path: str, keys: list[str], order: list[str], base: str | None = None) -> DataFrame:
+    """The state that a log of updates describes: the last row of every key.
+
+    base: a folder that `compact_log` wrote; then only batches after it are read from the log.
+    """
+    return _last_rows(spark, path, keys, order, base).drop("_ingest_ts", "_batch_id")
+
+
+def compact_log(spark: SparkSession, path: str, target: str, keys: list[str], order: list[str], base: str | None = None) -> None:
+    """Write the state of a log to `target`, with the last batch it covers; run it now and then, beside writers and readers.
+
+    base: an earlier compaction to start from, which may be `target` itself: each one lies in a folder of its own.
+    """
+    upto = spark.read.parquet(path).agg(F.max("_batch_id")).first()[0]
+    state = _last_rows(spark, path, keys, order, base).where(F.col("_batch_id") <= upto)
+    writer = state.withColumn("_upto", F.lit(upto)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("_upto").parquet(target)
 
 
 def source_stream(landing: Landing, name: str, files_per_batch: int = 64) -> DataFrame:
@@ -121,6 +139,21 @@ def event_totals(landing: Landing, path: str) -> DataFrame:
     return last_logged(spark, f"{path}/log", ["customerId"], [])
 
 
+def fanned_out(landing: Landing, path: str) -> DataFrame:
+    """Nested order events read once as a stream and fanned out; headers and lines put together again per order."""
+    spark = landing.spark
+    order_event_json(landing).write.parquet(f"{path}/topic")
+    messages = spark.readStream.schema("arrival bigint, value string").option("maxFilesPerTrigger", 64).parquet(f"{path}/topic")
+    run_available(fan_out(messages, f"{path}/logs"), f"{path}/checkpoint")
+    read = lambda name: spark.read.parquet(f"{path}/logs/{name}")
+    lines = read("sales_order_line_item").groupBy("orderId").agg(
+        F.count("*").alias("lines"), F.sum("lineTotal").cast(c.MONEY).alias("lines_total")
+    )
+    contributions = read("customer_contribution").groupBy(F.col("lastOrderId").alias("orderId")).agg(F.sum("orderCount").alias("orders"))
+    heads = read("sales_order").join(lines, "orderId", "left").join(contributions, "orderId", "left")
+    return heads.select("orderId", "customerId", "orderTotal", "lineItemCount", F.coalesce("lines", F.lit(0)).alias("lines"), "lines_total", "orders")
+
+
 def redelivered_changes(landing: Landing, path: str) -> DataFrame:
     """The change log delivered twice as a stream, reduced to one copy of each change."""
     spark = landing.spark

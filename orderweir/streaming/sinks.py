@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderweir.operators import quality
+from orderweir.operators.latest import latest_per_key
 from orderweir.operators.projections import to_lakehouse
-from orderweir.operators.upsert import KeyedTable
 from orderweir.schemas import lakehouse_key
 from orderweir.functions.columns import has_key
 
@@ -79,22 +79,36 @@ def kafka_stream_writer(messages: DataFrame, servers: str):
     )
 
 
-def merge_topic(table: KeyedTable, topic: str, order: list[str] | None = None, guard: str | None = None):
-    """A `foreachBatch` function that merges the messages of one topic.
+#: The order of messages in a topic's log.
+ARRIVAL = ["timestamp", "partition", "offset"]
 
-    The last message per key by `order` wins; with `guard` an older record never
-    replaces a newer one.
+
+def merge_topic(path: str, topic: str, order: list[str] | None = None, guard: str | None = None):
+    """A `foreachBatch` function that appends the last record per key of one topic's messages to a log.
+
+    A batch writes its own rows only, and a repeated batch replaces itself. `topic_state` reads the merged table.
     """
-    order = order or ["timestamp", "partition", "offset"]
+    order = order or ARRIVAL
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = to_lakehouse(batch.filter((F.col("topic") == topic) & F.col("value").isNotNull()), topic, *order)
         keyed = rows.filter(has_key(F.col(lakehouse_key(topic))))
-        table.upsert(keyed, order=order, newer_by=guard, batch_id=batch_id)
+        last = latest_per_key(keyed, [lakehouse_key(topic)], [*([guard] if guard else []), *order])
+        append_batch(last, batch_id, path)
 
     return write
 
 
+def topic_state(spark: SparkSession, path: str, topic: str, order: list[str] | None = None, guard: str | None = None) -> DataFrame:
+    """One row per key of a log that `merge_topic` writes: the last by `order`.
+
+    With `guard` an older record never replaces a newer one, whatever batch it came in; on equal times the later arrival wins.
+    """
+    order = order or ARRIVAL
+    rows = latest_per_key(spark.read.parquet(path), [lakehouse_key(topic)], [*([guard] if guard else []), "_batch_id", *order])
+    return rows.drop("_ingest_ts", "_batch_id", *order)
+
+
 def split_good_and_bad(amount: str, target: str, good_path: str, bad_path: str):
     """A `foreachBatch` function: readable records to one log, the others with a reason to another."""
 

@@ -48,7 +48,7 @@ def test_top_k_does_not_sort_everything(spark, folder):
 
 def test_merge_shuffles_each_side_once(spark):
     table = KeyedTable(spark, shared_dir(spark, "plan"), ["id"], buckets=4).create(spark.range(100))
-    old = table._stored().repartition(4, "id")
+    old = table._rows().drop("_of", "_bucket").repartition(4, "id")
     new = spark.range(50, 150).withColumn("_removed", F.lit(False)).repartition(4, "id")
     assert plan(merged(old, new, ["id"])).count("Exchange ") == 2
 

@@ -101,6 +101,25 @@ def test_insert_if_absent_keeps_the_first(spark):
     assert rows(t.read()) == [("a", 1, "old", 0), ("b", 1, "first", 5)]
 
 
+def test_absent_rows_are_appended_and_no_file_is_rewritten(spark, tmp_path):
+    t = KeyedTable(spark, str(tmp_path / "t"), ["k"], buckets=3).create(frame(spark, *[(f"k{i}", 1, "old", i) for i in range(20)]))
+    before = {(f, f.stat().st_mtime_ns) for f in (tmp_path / "t").rglob("*.parquet")}
+    for _ in range(2):
+        t.append_absent(frame(spark, ("k1", 9, "x", 0), ("n", 9, "x", 0), (None, 9, "x", 0)), ["t"])
+    assert before < {(f, f.stat().st_mtime_ns) for f in (tmp_path / "t").rglob("*.parquet")}
+    assert t.read().count() == 21 and t.read().where("v = 'x'").count() == 1
+
+
+def test_removed_keys_of_an_otherwise_empty_bucket_go(spark):
+    t = table(spark, ("a", 1, "old", 0), buckets=1)
+    t.upsert(frame(spark, ("a", 2, None, None)), delete_when=F.col("v").isNull())
+    assert t.read().count() == 0
+    t.upsert(frame(spark))
+    assert t.read().count() == 0
+    t.upsert(frame(spark, ("a", 3, "back", 1)), update=["v"])
+    assert rows(t.read()) == [("a", 3, "back", 1)]
+
+
 def test_another_number_of_buckets_changes_nothing(spark, tmp_path):
     path = str(tmp_path / "t")
     made = KeyedTable(spark, path, ["k"], buckets=4).create(
@@ -118,14 +137,6 @@ def test_rows_without_a_key_are_not_merged(spark):
     assert rows(t.read()) == [("a", 1, "old", 0), ("b", 2, "new", 1)]
 
 
-def test_an_older_batch_after_a_newer_one_is_skipped(spark):
-    t = table(spark, ("a", 1, "old", 0))
-    t.upsert(frame(spark, ("a", 2, "five", 0)), batch_id=5)
-    t.upsert(frame(spark, ("a", 1, "four", 0)), batch_id=4)
-    t.upsert(frame(spark, ("a", 1, "again", 0)), batch_id=5)
-    assert rows(t.read()) == [("a", 2, "five", 0)] and t.last_batch() == 5
-
-
 def test_a_guard_of_two_columns_decides_ties(spark):
     t = table(spark, ("a", 5, "x", 10))
     t.upsert(frame(spark, ("a", 5, "stale", 9)), newer_by=["t", "money"])
@@ -139,10 +150,6 @@ def test_a_failed_merge_leaves_the_old_rows(spark):
     broken = frame(spark, ("a", 2, "new", 0)).withColumn("money", F.raise_error(F.lit("lost")).cast("int"))
     with pytest.raises(Exception, match="lost"):
         t.upsert(broken)
-    # What an interrupted write leaves: files without the mark of a complete version.
-    frame(spark, ("z", 9, "half", 9)).withColumn("_removed", F.lit(False)).write.option(
-        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
-    ).parquet(f"{t.path}/v000000009-")
     assert rows(t.read()) == [("a", 1, "old", 0)]
     t.upsert(frame(spark, ("a", 2, "new", 0)))
     assert rows(t.read()) == [("a", 2, "new", 0)]
