@@ -42,6 +42,11 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     return out
 
 
+def content_of(text: bytes) -> bytes:
+    """Hash of the words of a text."""
+    return xxhash.xxh3_128_digest(b" ".join(text.translate(LOWER).split()))
+
+
 def permutations() -> tuple[np.ndarray, np.ndarray]:
     draw = np.random.default_rng(20_011)
     factors = draw.integers(0, 2**31, SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -87,7 +92,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if not len(values):
                     contents.append(None), bands.append([]), sketches.append([])
                     continue
-                contents.append(xxhash.xxh3_128_digest(b" ".join(text.translate(LOWER).split())))
+                contents.append(content_of(text))
                 samples = minhash(values, factors, shifts)
                 bands.append(band_keys(samples))
                 sketches.append(odd_sketch(samples))
@@ -105,10 +110,11 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for first, texts in groups(batch):
             sets = shingle_sets(texts)
+            content = pa.array([content_of(text) if len(own) else None for text, own in zip(texts, sets)], pa.binary())
             whole = pa.array([values.view(np.int64) for values in sets], pa.list_(pa.int64()))
             half = pa.array([np.unique((values >> np.uint64(32)).astype(np.uint32)).tobytes() for values in sets], pa.binary())
             ids = batch.column(0).slice(first, len(texts))
-            yield pa.RecordBatch.from_arrays([ids, whole, half], names=["doc_id", "shingles", "half"])
+            yield pa.RecordBatch.from_arrays([ids, content, whole, half], names=["doc_id", "content", "shingles", "half"])
 
 
 def near_in_bucket(rows: pa.Table, percent: int) -> pa.Table:
@@ -185,6 +191,7 @@ def link(docs: DataFrame, percent: int = 75) -> DataFrame:
 
     * null id: takes no part, component null and kept; null, empty or blank text: no shingles, a
       component of its own; repeated rows and equal texts: one component; very long texts: whole.
+    * an id with several texts is compared by the one of smallest hash; all of them lie in its component.
     * ties: the smallest id names the component. Empty table: empty result.
     * other columns of `docs` are not read.
     """
@@ -194,12 +201,11 @@ def link(docs: DataFrame, percent: int = 75) -> DataFrame:
     roots = (
         named.join(first, "content")
         .where("doc_id = root")
-        .dropDuplicates(["doc_id", "content"])
-        .select("doc_id", "n_shingles", "bands", "sketch")
-    )
-    buckets = stored(
-        _shared(roots.select("doc_id", F.explode("bands").alias("bucket"))), "near-buckets"
+        .groupBy("doc_id")
+        .agg(F.min(F.struct("content", "n_shingles", "bands", "sketch")).alias("own"))
+        .select("doc_id", "own.*")
     )
+    buckets = stored(_shared(roots.select("doc_id", F.explode("bands").alias("bucket"))), "near-buckets")
     members = stored(roots.drop("bands").join(buckets.select("doc_id").distinct(), "doc_id", "left_semi"), "near-members")
     sieve = F.broadcast(members.select(F.pmod("doc_id", F.lit(SIEVE)).alias("sieve")).distinct())  # SIEVE rows at most
     texts = (
@@ -209,8 +215,9 @@ def link(docs: DataFrame, percent: int = 75) -> DataFrame:
         .join(members.select("doc_id"), "doc_id", "left_semi")
         .select("doc_id", "text")
     )
-    sets = texts.mapInArrow(_sets, "doc_id long, shingles array<long>, half binary")
-    sets = stored(sets.dropDuplicates(["doc_id"]), "near-sets")
+    sets = texts.mapInArrow(_sets, "doc_id long, content binary, shingles array<long>, half binary")
+    sets = sets.join(members.select("doc_id", "content"), ["doc_id", "content"], "left_semi")
+    sets = stored(sets.dropDuplicates(["doc_id", "content"]).drop("content"), "near-sets")
 
     def sifted(pairs: DataFrame) -> DataFrame:
         both = pairs.join(_side(members, "a"), "a").join(_side(members, "b"), "b")
@@ -223,19 +230,13 @@ def link(docs: DataFrame, percent: int = 75) -> DataFrame:
         both = pairs.join(one, "a").join(two, "b").withColumn("common", common)
         return both.where(F.col("common") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("common")) * percent).select("a", "b")
 
-    hubs = buckets.groupBy("bucket").agg(F.min("doc_id").alias("hub"))
-    tested = stored(
-        buckets.join(hubs, "bucket").where("doc_id <> hub").select(*_pair("doc_id", "hub")).distinct(), "near-tested"
-    )
+    tested = stored(buckets.where("doc_id <> hub").select(*_pair("doc_id", "hub")).distinct(), "near-tested")
     edges = stored(linked(sifted(tested)), "near-links")
     comps = stored(components(edges, "near-stars"), "near-comps")
 
     mixed = stored(_mixed(buckets, comps), "near-mixed")
-    drawn = F.xxhash64("bucket", F.lit(1))
-    hubs = mixed.groupBy("bucket").agg(F.min_by(F.struct("doc_id", "comp"), F.col("doc_id").bitwiseXOR(drawn)).alias("hub"))
     again = (
-        mixed.join(hubs, "bucket")
-        .where(F.col("comp") != F.col("hub.comp"))
+        mixed.where(F.col("comp") != F.col("hub.comp"))
         .select(F.col("doc_id").alias("x"), F.col("hub.doc_id").alias("y"))
         .select(*_pair("x", "y"))
         .distinct()
@@ -244,10 +245,8 @@ def link(docs: DataFrame, percent: int = 75) -> DataFrame:
     edges = stored(edges.unionByName(linked(sifted(stored(again, "near-again")))), "near-links")
     comps = stored(components(edges, "near-stars"), "near-comps")
 
-    mixed = _mixed(mixed.select("bucket", "doc_id"), comps)
-    sizes = mixed.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     rest = (
-        mixed.join(sizes, "bucket")
+        _mixed(mixed, comps)
         .withColumn("block", F.pmod(F.xxhash64("doc_id", "bucket"), F.col("blocks")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         .join(members, "doc_id")
@@ -278,18 +277,28 @@ def link(docs: DataFrame, percent: int = 75) -> DataFrame:
 
 
 def _shared(buckets: DataFrame) -> DataFrame:
-    """Only buckets of two members or more."""
-    several = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    return buckets.join(several, "bucket").select("bucket", "doc_id")
+    """Only buckets of two members or more, each member with the smallest one as hub."""
+    several = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min("doc_id").alias("hub")).where("n > 1")
+    return buckets.join(several.select("bucket", "hub"), "bucket").select("bucket", "doc_id", "hub")
 
 
 def _mixed(buckets: DataFrame, comps: DataFrame) -> DataFrame:
-    """(bucket, doc_id, comp) of the buckets whose members are in several components."""
-    told = buckets.join(comps.select(F.col("id").alias("doc_id"), "comp"), "doc_id", "left").select(
+    """(bucket, doc_id, comp, hub, blocks) of the buckets whose members are in several components; the hub is drawn anew."""
+    told = buckets.select("bucket", "doc_id").join(comps.select(F.col("id").alias("doc_id"), "comp"), "doc_id", "left").select(
         "bucket", "doc_id", F.coalesce("comp", "doc_id").alias("comp")
     )
-    several = told.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
-    return told.join(several.select("bucket"), "bucket")
+    drawn = F.col("doc_id").bitwiseXOR(F.xxhash64("bucket", F.lit(1)))
+    several = (
+        told.groupBy("bucket")
+        .agg(
+            F.min("comp").alias("low"),
+            F.max("comp").alias("high"),
+            F.min(F.struct(drawn.alias("drawn"), "doc_id", "comp")).alias("hub"),
+            F.ceil(F.count("*") / BLOCK).alias("blocks"),
+        )
+        .where("low < high")
+    )
+    return told.join(several.select("bucket", "hub", "blocks"), "bucket")
 
 
 def drop_near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
