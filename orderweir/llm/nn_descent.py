@@ -22,6 +22,10 @@ DESCENTS, BLOCK, CHUNK = 2, 512, 64
 OFFERS = 8
 #: Beam of the search, nodes opened per round, rounds at most.
 BEAM, OPEN, ROUNDS = 256, 32, 8
+#: Longest vectors, among which every search finds its first nodes to open.
+STARTS = 256
+#: Share of vectors by length that the graph's common length covers; longer ones count by direction there.
+USUAL_LENGTH = 0.99
 #: Bytes of packed neighbourhoods in a bucket of the graph table.
 BUCKET_BYTES = 64 << 20
 
@@ -34,7 +38,7 @@ def clean(vectors: DataFrame) -> DataFrame:
         " and exists(vec, x -> x <> 0)"
     )
     usual = rows.groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
-    return rows.where(F.size("vec") == (usual[0]["d"] if usual else 0)).dropDuplicates(["vec_id"])
+    return rows.where(F.size("vec") == (usual[0]["d"] if usual else 0)).groupBy("vec_id").agg(F.min("vec").alias("vec"))
 
 
 def matrix(column: pa.ChunkedArray | pa.Array, kind: type) -> np.ndarray:
@@ -52,15 +56,18 @@ def packed(nodes: DataFrame, largest: float) -> DataFrame:
     """(node, body): float32 vectors with one more component, after which all are of the same length.
 
     Among such vectors the largest inner product is the smallest distance, so a graph of near
-    vectors also leads to large inner products with a query.
+    vectors also leads to large inner products with a query. largest: the squared length that most vectors stay
+    below; longer ones are scaled down to it, so that a few very long ones do not make all others look alike.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             vecs = batch.column(1)
             rows = vecs.flatten().to_numpy().reshape(len(vecs), -1)
-            more = np.sqrt(np.maximum(largest - (rows**2).sum(axis=1), 0))
-            rows = (np.column_stack((rows, more)) / np.sqrt(largest)).astype(np.float32)
+            own = np.linalg.norm(rows / np.abs(rows).max(axis=1, keepdims=True), axis=1) * np.abs(rows).max(axis=1)
+            rows = rows / np.maximum(own, np.sqrt(largest))[:, None]
+            more = np.sqrt(np.maximum(1 - (rows**2).sum(axis=1), 0))
+            rows = np.column_stack((rows, more)).astype(np.float32)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in rows], pa.binary())], names=["node", "body"])
 
     return nodes.select("node", "vec").mapInArrow(run, "node long, body binary")
@@ -242,17 +249,29 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def search(table: DataFrame, queries: DataFrame) -> DataFrame:
-    """(query, nodes): the best nodes that a greedy search from the query's own node has met.
+def search(table: DataFrame, queries: DataFrame, starts: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """(query, nodes): the best nodes that a greedy search has met, from the query's own node and the best of `starts`.
 
     Each round opens the OPEN best nodes of a beam that are not open yet: the requests go to the
     graph table's buckets, which stay in place, and bring back the scores of the neighbours.
-    queries: (query, body), where query is a node.
+    queries: (query, body), where query is a node; starts: numbers and bodies of a bounded number of nodes.
     """
-    state = queries.select(
-        "query", "body", F.array("query").alias("nodes"), F.array(F.lit(9.0).cast("float")).alias("scores"),
-        F.array(F.lit(False)).alias("opened"), F.array("query").alias("asks"),
-    )
+    numbers, bodies = starts
+
+    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = matrix(batch.column(1), np.float32) @ bodies.T
+            at = best(scores, OPEN)
+            rows = []
+            for query, spots, values in zip(batch.column(0).to_pylist(), at, np.take_along_axis(scores, at, 1)):
+                other = numbers[spots] != query
+                nodes = np.concatenate(([query], numbers[spots][other]))
+                rows.append((nodes, np.concatenate(([9.0], values[other])), np.zeros(len(nodes), bool), nodes))
+            kinds = (pa.int64(), pa.float32(), pa.bool_(), pa.int64())
+            columns = [pa.array(c, pa.list_(t)) for c, t in zip(zip(*rows), kinds)] if rows else [pa.array([], pa.list_(t)) for t in kinds]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=["query", "body", "nodes", "scores", "opened", "asks"])
+
+    state = queries.select("query", "body").mapInArrow(begin, STATE)
     for _ in range(ROUNDS):
         asks = state.select("query", "body", F.explode("asks").alias("node"))
         met = asks.join(table, "node").select("query", "body", "nbrs")
@@ -271,18 +290,19 @@ def neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame
 
     Equal vectors are one node of the graph. First neighbours come from drawn cells; in rounds of
     NN-descent the neighbours of a node, found by joins, get to know each other; queries then go
-    through the graph greedily, best first. What they met is scored again in double precision on the
+    through the graph greedily, best first, from their own node and from the longest vectors that suit them. What they met is scored again in double precision on the
     original vectors, for every copy that can be among the k.
 
     * null id, null, empty, zero, or not wholly finite vector, or one of an unusual length: no part, neither as query
-      nor as result; repeated rows of an id: one. Ties go to the smaller vec_id.
+      nor as result; of an id with several vectors the smallest counts. Ties go to the smaller vec_id.
     * fewer candidates than k: all of them. Empty table: empty result. Other columns are not read.
     """
     spark = vectors.sparkSession
     rows = stored(_noded(clean(vectors)), "ann-rows")
     own = rows.where("vec_id = node").select("node", "vec")
-    sizes = own.agg(F.count("*").alias("n"), F.max(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)).alias("largest")).first()
-    nodes = stored(packed(own, sizes["largest"] or 1.0), "ann-nodes")
+    length = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)
+    sizes = own.agg(F.count("*").alias("n"), F.percentile_approx(length, USUAL_LENGTH, 10_000).alias("largest")).first()
+    nodes = stored(packed(own, min(sizes["largest"] or 1.0, 1e300)), "ann-nodes")
     asked = rows.join(queries.select("vec_id").distinct(), "vec_id", "left_semi").select(F.col("vec_id").alias("query_id"), "node")
     starts = asked.select(F.col("node").alias("query")).distinct()
     if sizes["n"] > 1:
@@ -291,7 +311,9 @@ def neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame
         # The added component is part of the graph's distances, not of the product that is asked for.
         plain = F.concat(F.substring("body", F.lit(1), F.length("body") - 4), F.lit(b"\x00\x00\x00\x00")).alias("body")
         asks = nodes.select(F.col("node").alias("query"), plain)
-        found = search(spark.table(name), starts.join(asks, "query"))
+        longest = own.orderBy(length.desc(), "node").limit(STARTS).select("node").join(nodes, "node").orderBy("node").collect()
+        first = np.array([r["node"] for r in longest]), np.stack([np.frombuffer(r["body"], np.float32) for r in longest])
+        found = search(spark.table(name), starts.join(asks, "query"), first)
         found = stored(found.select("query", F.explode(F.array_union("nodes", F.array("query"))).alias("node")), "ann-found")
         spark.sql(f"drop table {name}")
     else:

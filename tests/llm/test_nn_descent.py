@@ -41,6 +41,24 @@ def test_recall_on_vectors_of_unequal_lengths(spark, monkeypatch):
         assert all(abs(dict(exact(vectors, q, 1500))[i] - s) < 1e-9 for i, s in got[q])
 
 
+@pytest.mark.parametrize("case", ["outlier", "short groups"])
+def test_recall_beside_a_very_long_vector_and_in_groups(spark, monkeypatch, case):
+    """Small cells and few starts: one vector of length 3,000; groups of 40 short near copies."""
+    monkeypatch.setattr(nn_descent, "CELL", 150)
+    monkeypatch.setattr(nn_descent, "STARTS", 32)
+    draw = np.random.default_rng(7)
+    unit = lambda x: x / np.linalg.norm(x)
+    if case == "outlier":
+        vectors = [(i, unit(draw.normal(size=16))) for i in range(1_200)] + [(1_200, 3_000 * unit(draw.normal(size=16)))]
+    else:
+        centres = [unit(draw.normal(size=16)) * draw.uniform(0.2, 1) for _ in range(30)]
+        vectors = [(i, centres[i % 30] + draw.normal(size=16) * 0.01) for i in range(1_200)]
+    queries = list(range(0, 1_200, 40))
+    got = found(spark, vectors, queries)
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in exact(vectors, q, 20)}) for q in queries)
+    assert hits >= 0.9 * 20 * len(queries), hits / (20 * len(queries))
+
+
 def test_a_large_group_of_equal_vectors_and_odd_rows(spark):
     draw = np.random.default_rng(5)
     same = draw.normal(size=4)
