@@ -104,11 +104,11 @@ with recursive occ as (
   select doc_id, line_no, line, length(line) as n from (
     select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
       generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 as line_no from documents)
-  where length(line) >= 20),
+  where length(line) > 0),
 texts as (select row_number() over (order by line) as id, line, n from (select distinct line, n from occ)),
 links as (
-  select x.id as a, y.id as b from texts x join texts y on x.id < y.id and y.n between x.n - 1 and x.n + 1
-  where levenshtein(x.line, y.line) <= 1),
+  select x.id as a, y.id as b from texts x join texts y on x.id < y.id and x.n >= 20 and y.n between x.n - 2 and x.n + 2 and y.n >= 20
+  where levenshtein(x.line, y.line) <= case when least(x.n, y.n) >= 40 then 2 else 1 end),
 {REACHED},
 counts as (select a as id, count(*) as n_links from both_ways group by a),
 classed as (

@@ -102,7 +102,7 @@ def op6_nn_descent_search(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op10_line_edit_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Class of every line of 20 characters or more among all lines, equal or one edit apart."""
+    """Class of every non-empty line among all lines: equal, one edit apart from 20 characters on, two from 40 on."""
     return line_edit.link_lines(table(spark, folder, "documents"))
 
 

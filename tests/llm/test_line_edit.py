@@ -43,8 +43,8 @@ def test_banded_distance_equals_brute_force(spark, edits):
         assert r["distance"] == (d if d <= edits else -1)
 
 
-def brute(rows, edits):
-    lines = sorted({(d, i, x) for d, t in rows if d is not None for i, x in enumerate((t or "").split("\n")) if len(x) >= 20})
+def brute(rows, tiers):
+    lines = sorted({(d, i, x) for d, t in rows if d is not None for i, x in enumerate((t or "").split("\n")) if x})
     texts = sorted({x for _, _, x in lines})
     root, links = {x: x for x in texts}, dict.fromkeys(texts, 0)
 
@@ -55,6 +55,7 @@ def brute(rows, edits):
 
     for n, a in enumerate(texts):
         for b in texts[:n]:
+            edits = sum(min(len(a), len(b)) >= least for least in tiers)
             if abs(len(a) - len(b)) <= edits and distance(a, b) <= edits:
                 root[find(a)] = find(b)
                 links[a] += 1
@@ -65,23 +66,51 @@ def brute(rows, edits):
     return {(d, i): (*first[find(x)], links[x]) for d, i, x in lines}
 
 
-@pytest.mark.parametrize("edits,hot", [(1, 100_000), (1, -1), (2, 100_000), (0, 100_000)])
-def test_classes_equal_brute_force_also_through_deletion_variants(spark, monkeypatch, edits, hot):
+def classes(docs, tiers):
+    return {(r["doc_id"], r["line_no"]): (r["class_doc"], r["class_line"], r["n_links"]) for r in line_edit.link_lines(docs, tiers).collect()}
+
+
+@pytest.mark.parametrize("tiers,hot", [((), 0), ((20,), -1), ((20, 24), 100_000), ((20, 24), -1), ((6, 10, 16), -1)])
+def test_classes_equal_brute_force_also_when_all_segments_are_hot(spark, monkeypatch, tiers, hot):
     monkeypatch.setattr(line_edit, "HOT_PAIRS", hot)
     draw = random.Random(9)
-    base = ["".join(draw.choice("abcdefgh ") for _ in range(draw.randint(20, 28))) for _ in range(15)]
-    rows = [(i, "\n".join(edited(draw, draw.choice(base), draw.choice([0, 0, 1, 2]), "abxyz") for _ in range(draw.randint(0, 5)))) for i in range(40)]
+    base = ["".join(draw.choice("abcdefgh ") for _ in range(draw.choice([1, 2, 4, 7, 11, *range(17, 28)]))) for _ in range(18)]
+    most = len(tiers) + 1
+    rows = [(i, "\n".join(edited(draw, draw.choice(base), draw.randint(0, most), "abxyz") for _ in range(draw.randint(0, 5)))) for i in range(50)]
     rows += [(None, "x" * 30), (70, None), (71, ""), rows[3]]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {(r["doc_id"], r["line_no"]): (r["class_doc"], r["class_line"], r["n_links"]) for r in line_edit.link_lines(docs, edits).collect()}
-    assert got == brute(rows, edits)
+    assert classes(docs, tiers) == brute(rows, tiers)
+
+
+@pytest.mark.parametrize("tiers", [(20,), (20, 20), (20, 20, 20)])
+def test_a_segment_that_many_lines_share_is_cut_again(spark, monkeypatch, tiers):
+    monkeypatch.setattr(line_edit, "HOT_PAIRS", 60)
+    draw = random.Random(4)
+    stem = "entry {} of the list that every page of this site shows"
+    rows = [(i, edited(draw, stem.format(draw.randint(1, 40_000)), draw.choice([0, 0, 1]), "xyz")) for i in range(90)]
+    rows += [(100 + i, stem.format(i)) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert classes(docs, tiers) == brute(rows, tiers)
+
+
+def test_equal_short_lines_are_one_class(spark):
+    docs = spark.createDataFrame([(1, "Read more\nRead mor"), (2, "Read more\n\nx"), (3, "x")], "doc_id long, text string")
+    got = {(r["doc_id"], r["line_no"]): (r["class_doc"], r["class_line"], r["kept"]) for r in line_edit.link_lines(docs).collect()}
+    assert got == {(1, 0): (1, 0, True), (1, 1): (1, 1, True), (2, 0): (1, 0, False), (2, 2): (2, 2, True), (3, 0): (2, 2, False)}
+
+
+def test_more_edits_need_longer_lines(spark):
+    short, long = "a line of thirty characters ok", "a line of some more characters, which may differ in two"
+    rows = [(1, short), (2, short.replace("li", "xy")), (3, long), (4, long.replace("li", "xy")), (5, short.replace("l", "x", 1))]
+    got = {r["doc_id"]: r["class_doc"] for r in line_edit.link_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 3, 5: 1}  # 2 reaches 1 through 5 only
 
 
 def test_later_copies_of_a_line_go(spark):
     line = "a line that stands in many documents"
-    rows = [(1, f"short\n{line}\nshort"), (2, f"{line}!\nshort\nits own line, which is long"), (3, line)]
+    rows = [(1, f"short\n{line}\n\nlast"), (2, f"{line}!\nshort\n\nits own line, which is long"), (3, line)]
     got = {r["doc_id"]: r["text"] for r in line_edit.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == {1: rows[0][1], 2: "short\nits own line, which is long", 3: ""}
+    assert got == {1: rows[0][1], 2: "\nits own line, which is long", 3: ""}
 
 
 def test_odd_rows(odd, none):  # noqa: F811
