@@ -40,11 +40,12 @@ def _best_in_range(points: DataFrame, series: list[str], seconds: int, best) ->
 
     def runs(rows: DataFrame, part: str, at: str) -> DataFrame:
         """Best value up to (`_upto`) and from (`_onward`) each place within its part."""
-        order = W.partitionBy(*series, part).orderBy(at)
+        within = W.partitionBy(*series, part)
+        # Both frames grow row by row; a frame that shrinks would be computed anew for every row.
         return rows.select(
             "*",
-            best("_v").over(order.rangeBetween(W.unboundedPreceding, W.currentRow)).alias("_upto"),
-            best("_v").over(order.rangeBetween(W.currentRow, W.unboundedFollowing)).alias("_onward"),
+            best("_v").over(within.orderBy(at).rangeBetween(W.unboundedPreceding, W.currentRow)).alias("_upto"),
+            best("_v").over(within.orderBy(F.desc(at)).rangeBetween(W.unboundedPreceding, W.currentRow)).alias("_onward"),
         )
 
     own = points.select(*series, F.col("_ms").alias("_at"), "_v", F.col("_ms").alias("_for"), F.lit(False).alias("_early"))
