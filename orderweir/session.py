@@ -41,10 +41,16 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh path below the folder that all executors share: `spark.checkpoint.dir`, else the warehouse's."""
+    """A fresh path below the folder that all executors share: `spark.checkpoint.dir`, else the warehouse's.
+
+    On a cluster a warehouse on the machines' own disks is refused: each executor would write to its own.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        if warehouse.startswith("file:") and not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share; {warehouse} is not one")
+        base = warehouse.rstrip("/") + "/_shared"
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

@@ -1,5 +1,7 @@
 """What the plans must and must not contain."""
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,3 +69,22 @@ def test_bucketed_landing_joins_without_a_shuffle(spark, folder):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         warehouse.drop()
+
+
+@pytest.mark.parametrize(
+    "master,checkpoint,warehouse,base",
+    [
+        ("spark://host:7077", "/shared/check", "file:/data/warehouse", "/shared/check/rows-"),
+        ("spark://host:7077", None, "hdfs://host/warehouse", "hdfs://host/warehouse/_shared/rows-"),
+        ("local[8]", None, "file:/data/warehouse", "file:/data/warehouse/_shared/rows-"),
+        ("yarn", None, "file:/data/warehouse", None),
+    ],
+)
+def test_a_cluster_needs_a_shared_folder(master, checkpoint, warehouse, base):
+    settings = {"spark.master": master, "spark.checkpoint.dir": checkpoint, "spark.sql.warehouse.dir": warehouse}
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda name, default=None: settings.get(name) or default))
+    if base is None:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(session, "rows")
+    else:
+        assert shared_dir(session, "rows").startswith(base)
