@@ -164,7 +164,8 @@ def link_lines(docs: DataFrame, tiers: tuple[int, ...] = TIERS) -> DataFrame:
     are cut again (`_halved`) until few lines share what is unchanged, so that pairs follow the links.
     Candidates are sifted by letter counts and verified on the text.
 
-    * null id: no part; null or empty lines: no row, never removed; short lines: equal ones are one class;
+    * null id: no part; null or empty lines: no row, never removed; lines of blanks: lines like others;
+      short lines: equal ones are one class;
       very long lines: whole; repeated rows: equal results, both kept or both not. Empty table: empty result. Other
       columns are not read.
     """

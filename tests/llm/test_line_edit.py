@@ -116,6 +116,7 @@ def test_later_copies_of_a_line_go(spark):
 def test_odd_rows(odd, none):  # noqa: F811
     rows = line_edit.link_lines(odd).collect()
     whole = {r["doc_id"]: r for r in rows}
-    assert whole[7]["class_doc"] == 1 and not whole[7]["kept"] and {2, 3, 4, None}.isdisjoint(whole)
+    assert whole[7]["class_doc"] == 1 and not whole[7]["kept"] and {2, 3, None}.isdisjoint(whole)
+    assert [r["n_chars"] for r in sorted(rows, key=lambda r: r["line_no"]) if r["doc_id"] == 4] == [1, 2]  # blanks are lines, too
     assert sum(r["doc_id"] == 1 and r["kept"] for r in rows) == 2
     assert line_edit.link_lines(none).count() == 0
