@@ -68,7 +68,8 @@ STAGES = [
     ("sharding", cut_shards),
 ]
 
-#: The classifier is trained, so SQL cannot express the whole; tests compare each stage with brute force.
+#: The classifier is trained, so SQL cannot express the whole. Tests hold near duplicates against brute force, mixing and
+#: sharding against SQL; toxicity and decontamination are tested on planted documents only.
 ORACLE_SQL = None
 
 
