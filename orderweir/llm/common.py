@@ -41,9 +41,10 @@ def tie_break(docs: DataFrame, name: str) -> Column:
     return F.crc32(F.coalesce(name, F.lit("")).cast("binary"))
 
 
-def seeded(seed: str, key: Column) -> Column:
-    """A number of 60 bits that depends on the seed and the key only."""
-    digest = F.md5(F.concat(F.lit(seed + "|"), F.coalesce(key.cast("string"), F.lit(""))))
+def seeded(seed: str, key: Column, tie: Column) -> Column:
+    """A number of 60 bits that depends on the seed, the key and the tie only: rows of one key are spread by their ties."""
+    parts = [F.coalesce(part.cast("string"), F.lit("")) for part in (key, tie)]
+    digest = F.md5(F.concat(F.lit(seed + "|"), parts[0], F.lit("|"), parts[1]))
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
@@ -76,32 +77,42 @@ def running_starts(counts: DataFrame, keys: list[str], cell: str, n: str, start:
     return (
         blocked.withColumn("_within", within)
         .join(blocks, [*keys, "_block"])
-        .select(*keys, cell, (F.col("_before") + F.col("_within")).alias(start))
+        .select(*keys, cell, n, (F.col("_before") + F.col("_within")).alias(start))
     )
 
 
-def ranked(docs: DataFrame, rows: int, seed: str, id_col: str, stratum: str, tie: list[Column]) -> DataFrame:
-    """Adds `_s` (stratum key), `_h` (seeded number) and `_rank` (from 1, by `_h`, id and tie within the stratum).
+def celled(docs: DataFrame, rows: int, seed: str, id_col: str, stratum: str, tie: Column) -> tuple[DataFrame, DataFrame]:
+    """The rows with `_s` (stratum key), `_h` (seeded number) and `_cell`; and per stratum and cell (`_n`, `_start`).
 
-    A stratum is ranked in cells of the seeded number, whose starts come from a counting pass.
+    A cell is a range of the seeded number; `_start` counts the stratum's rows in the cells before.
     """
     bits = cell_bits(rows)
     cell = F.shiftright("_h", 60 - bits) if bits else F.lit(0).cast("long")
     keyed = (
         docs.withColumn("_s", stratum_key(F.col(stratum)))
-        .withColumn("_h", seeded(seed, F.col(id_col)))
+        .withColumn("_h", seeded(seed, F.col(id_col), tie))
         .withColumn("_cell", cell)
     )
     counts = keyed.groupBy("_s", "_cell").agg(F.count("*").alias("_n"))
-    starts = running_starts(counts, ["_s"], "_cell", "_n", "_start")
-    order = Window.partitionBy("_s", "_cell").orderBy("_h", id_col, *tie)
+    return keyed, running_starts(counts, ["_s"], "_cell", "_n", "_start")
+
+
+def rank_in_cell(keyed: DataFrame, starts: DataFrame, id_col: str, tie: Column) -> DataFrame:
+    """Adds `_rank` (from 1, by `_h`, id and tie within the stratum) and the columns of `starts`, joined where the rows lie."""
+    order = Window.partitionBy("_s", "_cell").orderBy("_h", id_col, tie)
     return (
-        keyed.join(starts, ["_s", "_cell"])
-        .withColumn("_rank", F.col("_start") + F.row_number().over(order))
-        .drop("_cell", "_start")
+        keyed.withColumn("_row", F.row_number().over(order))
+        .join(starts, ["_s", "_cell"])
+        .withColumn("_rank", F.col("_start") + F.col("_row"))
     )
 
 
+def ranked(docs: DataFrame, rows: int, seed: str, id_col: str, stratum: str, tie: Column) -> DataFrame:
+    """Adds `_s`, `_h` and `_rank`: the place of each row in the seeded order of its stratum."""
+    keyed, starts = celled(docs, rows, seed, id_col, stratum, tie)
+    return rank_in_cell(keyed, starts.drop("_n"), id_col, tie).drop("_cell", "_start", "_row")
+
+
 def components(edges: DataFrame, purpose: str) -> DataFrame:
     """Smallest id reachable over links: (id, comp) for every id that has one.
 

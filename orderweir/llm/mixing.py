@@ -1,93 +1,169 @@
-"""Mixing sources to target weights by Pfair scheduling."""
+"""Mixing sources to target weights by Pfair scheduling.
+
+A source of weight a beside sources that weigh W together releases its block j at j*W/a (rounded down) and must have it
+placed by (j+1)*W/a (rounded up). Earliest deadline first over these windows keeps every source within less than one
+block of its share. The slots are cut into rounds that are scheduled apart: what each source has placed at a round's
+start follows from the weights and the time alone (`_ahead`), so a round needs no other round's result.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderweir.llm.common import neutral, ranked, stratum_key, tie_break
+from orderweir.llm.common import celled, neutral, rank_in_cell, stratum_key, tie_break
 from orderweir.session import stored
 
-#: One earliest-deadline-first pass over a round: at each slot the released block with the
-#: earliest deadline, ties to the source that sorts first. Block j of a source with q of d slots
-#: is released at j*d/q (rounded down) and due at (j+1)*d/q (rounded up).
-EDF = """
-aggregate(sequence(0, d - 1),
-  struct(transform(quotas, x -> 0) as done, cast(array() as array<struct<i: int, j: int>>) as made),
-  (acc, t) -> transform(array(array_min(filter(
-      transform(quotas, (x, i) -> struct(
-        ((acc.done[i] + 1) * d + x.q - 1) div x.q as due, i as i,
-        acc.done[i] < x.q and (acc.done[i] * d) div x.q <= t as ready)),
-      x -> x.ready))),
-    b -> struct(transform(acc.done, (c, i) -> if(i = b.i, c + 1, c)) as done,
-                concat(acc.made, array(struct(b.i as i, acc.done[b.i] as j))) as made))[0],
-  acc -> acc.made)
-"""
+#: Rounds that one row stands for before it is spread over the tasks.
+GROUPED = 16
 
 
-def strata_of(
-    docs: DataFrame, stratum: str, weights: dict[str, float] | None, block_rows: int, resolution: int
-) -> DataFrame:
-    """(s, n, k, full, rest, bounds): rows, blocks per round, whole rounds, blocks of the last round.
+def _let(name: str, value: str, body: str) -> str:
+    """SQL of `body` in which `name` stands for `value`, computed once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def _shares(active: str, at: str, total: str) -> str:
+    """For each active source its share of the slots up to `at`: whole blocks (`whole`) and the rest (`f`, of `total`)."""
+    exact = f"(cast({at} as decimal(19,0)) * cast(z.a as decimal(19,0)))"
+    return (
+        f"transform({active}, z -> struct(z.i as i, z.a as a, {exact} div {total} as whole,"
+        f" cast({exact} % {total} as bigint) as f))"
+    )
+
 
-    bounds: the rounds at which any source ends, the same in all rows.
+def _ahead(shares: str, total: str) -> str:
+    """Numbers of the sources that have placed one block more than the whole part of their share.
+
+    Each source with a rest has one block whose window is open: released `age` slots ago, due in `due` slots. Taken by
+    deadline, a block is placed if the slots since its release have room: of the last u slots, blocks whose whole window
+    lies in them need their own. The sum of the rests says how many are placed. This is where earliest deadline first
+    over all slots from the phase's start would be.
     """
+    opened = (
+        f"array_sort(transform(filter({shares}, z -> z.f > 0), z -> struct("
+        f"({total} - z.f + z.a - 1) div z.a as due, z.i as i, (z.f + z.a - 1) div z.a as age)))"
+    )
+    room = (
+        "transform(filter(sequence(0L, coalesce(array_max(transform(op, o -> o.age)), 1L) - 1), u -> u > 0), u -> struct(u as u,"
+        f" u - aggregate({shares}, 0L, (m, z) -> m + greatest(u * z.a - z.f, 0L) div {total}) as x))"
+    )
+    taken = (
+        f"aggregate(op, struct({room} as room, cast(array() as array<int>) as taken,"
+        f" aggregate({shares}, 0L, (m, z) -> m + z.f) div {total} as most),"
+        " (g, o) -> if(size(g.taken) >= g.most or exists(g.room, r -> r.u >= o.age and r.x <= 0), g,"
+        " struct(transform(g.room, r -> struct(r.u as u, if(r.u >= o.age, r.x - 1, r.x) as x)) as room,"
+        " concat(g.taken, array(o.i)) as taken, g.most as most)), g -> g.taken)"
+    )
+    return _let("op", opened, taken)
+
+
+def _phases() -> str:
+    """SQL: of `strata` (s, a, m) the phases (base, slots, total, active (i, a, first), late).
+
+    A phase lasts while the same sources have blocks left: until the first one's share reaches its last block.
+    That block, if it is not placed by then, comes right after (`late`). `first` is what a source had placed before.
+    """
+    active = "filter(transform(strata, (z, i) -> struct(i as i, z.a as a, p.done[i] as first, z.m - p.done[i] as left)), z -> z.left > 0)"
+    reach = "cast(y.left as decimal(19,0)) * cast(w as decimal(19,0))"
+    slots = f"array_min(transform(act, y -> ({reach}) div y.a))"
+    after = (
+        "transform(p.done, (x, i) -> x + coalesce("
+        " get(filter(sh, z -> z.i = i), 0).whole + if(array_contains(ah, i), 1, 0), 0L))"
+    )
+    ended = f"filter(act, y -> ({reach}) div y.a = t and dn[y.i] < strata[y.i].m)"
+    step = (
+        "struct(transform(dn, (x, i) -> x + if(exists(lt, y -> y.i = i), 1L, 0L)) as done, p.base + t + size(lt) as base,"
+        " concat(p.made, array(struct(p.base as base, t as slots, w as total,"
+        " transform(act, y -> struct(y.i as i, y.a as a, y.first as first)) as active,"
+        " transform(lt, y -> struct(y.i as i, dn[y.i] as j)) as late))) as made)"
+    )
+    step = _let("lt", ended, step)
+    step = _let("dn", after, step)
+    step = _let("ah", _ahead("sh", "w"), step)
+    step = _let("sh", _shares("act", "t", "w"), step)
+    step = _let("t", slots, step)
+    step = _let("w", "aggregate(act, 0L, (m, y) -> m + y.a)", step)
+    step = f"if(size(act) = 0, p, {step})"
+    step = _let("act", active, step)
+    empty = (
+        "cast(array() as array<struct<base: bigint, slots: bigint, total: bigint,"
+        " active: array<struct<i: int, a: bigint, first: bigint>>, late: array<struct<i: int, j: bigint>>>>)"
+    )
+    start = f"struct(transform(strata, z -> 0L) as done, 0L as base, {empty} as made)"
+    return f"aggregate(sequence(1, size(strata)), {start}, (p, k) -> {step}, p -> p.made)"
+
+
+def _runs() -> str:
+    """SQL: of a round's columns (active, start, len, total) what each source places in it.
+
+    i: its number; a: its weight; f: its rest at the start; blocks `now` to before `upto`, counted from block `whole`.
+    """
+    runs = (
+        "transform(fr, (z, k) -> struct(z.i as i, z.a as a, z.f as f, active[k].first + z.whole as whole,"
+        " if(array_contains(bf, z.i), 1L, 0L) as now, un[k].whole - z.whole + if(array_contains(af, z.i), 1L, 0L) as upto))"
+    )
+    runs = _let("bf", _ahead("fr", "total"), _let("af", _ahead("un", "total"), runs))
+    return _let("fr", _shares("active", "start", "total"), _let("un", _shares("active", "(start + len)", "total"), runs))
+
+
+#: SQL: earliest deadline first over a round's slots, ties to the source that sorts first.
+EDF = """
+aggregate(sequence(0L, len - 1),
+  struct(transform(runs, r -> r.now) as now, cast(array() as array<struct<k: int, j: bigint>>) as made),
+  (e, t) -> transform(array(array_min(filter(
+      transform(runs, (r, k) -> struct(
+        ((e.now[k] + 1) * total - r.f + r.a - 1) div r.a as due, k as k,
+        e.now[k] < r.upto and e.now[k] * total < r.f + (t + 1) * r.a as ready)),
+      b -> b.ready))),
+    b -> struct(transform(e.now, (x, k) -> if(k = b.k, x + 1, x)) as now,
+                concat(e.made, array(struct(b.k as k, e.now[b.k] as j))) as made))[0],
+  e -> e.made)
+"""
+
+
+def strata_of(docs: DataFrame, stratum: str, weights: dict[str, float] | None, block_rows: int) -> DataFrame:
+    """(s, a, m): the weight as a whole number and the blocks of each source."""
     sizes = docs.groupBy(stratum_key(F.col(stratum)).alias("s")).agg(F.count("*").alias("n"))
     if weights is None:
         parts = F.floor(F.sqrt(F.col("n").cast("double")) * 1000)
     else:
         given = [F.when(F.col("s") == f"={name}", F.lit(round(w * 1e6))) for name, w in weights.items()]
         parts = F.coalesce(*given, F.lit(1_000_000))
-    everything = Window.partitionBy(F.lit(0))  # one row per source
-    return (
-        sizes.withColumn("a", F.greatest(parts.cast("long"), F.lit(1).cast("long")))
-        .withColumn("total", F.sum("a").over(everything))
-        .withColumn("k", F.expr(f"greatest(1L, (2 * a * {resolution} + total) div (2 * total))"))
-        .withColumn("blocks", F.expr(f"(n + {block_rows - 1}) div {block_rows}"))
-        .select("s", "n", "k", F.expr("blocks div k").alias("full"), F.expr("blocks % k").alias("rest"))
-        .withColumn("fulls", F.collect_set("full").over(everything))
-        .withColumn("ends", F.collect_set(F.expr("full + if(rest > 0, 1, 0)")).over(everything))
-        .withColumn("bounds", F.expr("array_sort(array_distinct(concat(array(0L), fulls, ends)))"))
-        .drop("fulls", "ends")
+    return sizes.select(
+        "s",
+        F.greatest(parts.cast("long"), F.lit(1).cast("long")).alias("a"),
+        F.expr(f"(n + {block_rows - 1}) div {block_rows}").alias("m"),
     )
 
 
-def schedule_of(strata: DataFrame) -> DataFrame:
-    """(s, phase, j, first, d, slot, base): the slot of each source's block j in a round of a phase.
+def schedule_of(strata: DataFrame, round_slots: int) -> DataFrame:
+    """(s, j, slot): the slot of every block j of every source.
 
-    A phase is a run of rounds with the same blocks per source; it changes only where a source
-    ends, so there are at most two phases per source and one more.
+    One row per block, made round by round; the sources themselves are one row.
     """
-    one = (
-        strata.groupBy("bounds")
-        .agg(F.array_sort(F.collect_list(F.struct("s", "k", "full", "rest"))).alias("strata"))
-        .select("strata", "bounds", F.posexplode("bounds").alias("phase", "first"))
-        .withColumn("last", F.expr("get(bounds, phase + 1)"))
-        .where("last is not null")
-        .withColumn(
-            "quotas",
-            F.expr(
-                "filter(transform(strata, x -> struct(x.s as s, case when first < x.full then x.k"
-                " when first = x.full then x.rest else 0L end as q)), x -> x.q > 0)"
-            ),
-        )
-        .withColumn("d", F.expr("aggregate(quotas, 0L, (a, x) -> a + x.q)"))
-        .where("d > 0")
-        .withColumn("d", F.col("d").cast("int"))
+    one = strata.groupBy().agg(F.array_sort(F.collect_list(F.struct("s", "a", "m"))).alias("strata")).where("size(strata) > 0")
+    phases = one.select(F.expr("transform(strata, z -> z.s)").alias("names"), F.explode(F.expr(_phases())).alias("p"))
+    phases = stored(phases.select("names", "p.*"), "mix-phases")
+    groups = phases.where("slots > 0").withColumn(
+        "group", F.explode(F.expr(f"sequence(0L, (slots - 1) div {round_slots * GROUPED}L)"))
     )
-    before = Window.partitionBy(F.lit(0)).orderBy("phase").rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        one.withColumn("base", F.coalesce(F.sum(F.expr("(last - first) * d")).over(before), F.lit(0)))
-        .select("phase", "first", "d", "base", "quotas", F.posexplode(F.expr(EDF)).alias("slot", "made"))
-        .select(
-            F.expr("quotas[made.i].s").alias("s"),
-            "phase",
-            F.col("made.j").cast("long").alias("j"),
-            "first",
-            "d",
-            "slot",
-            "base",
-        )
+    rounds = (
+        groups.repartition("base", "group")
+        .withColumn("start", F.explode(F.expr(f"transform(sequence(0L, {GROUPED - 1}L), k -> (group * {GROUPED} + k) * {round_slots}L)")))
+        .where("start < slots")
+        .withColumn("len", F.expr(f"least({round_slots}L, slots - start)"))
+        .withColumn("runs", F.expr(_runs()))
+        .select("names", "base", "start", "runs", F.posexplode(F.expr(EDF)).alias("slot", "made"))
+    )
+    placed = rounds.select(
+        F.expr("names[runs[made.k].i]").alias("s"),
+        F.expr("runs[made.k].whole + made.j").alias("j"),
+        F.expr("base + start + slot").alias("slot"),
+    )
+    late = phases.select("names", "base", "slots", F.posexplode("late").alias("k", "l"))
+    return placed.unionByName(
+        late.select(F.expr("names[l.i]").alias("s"), F.expr("l.j").alias("j"), F.expr("base + slots + k").alias("slot"))
     )
 
 
@@ -95,7 +171,7 @@ def mix(
     docs: DataFrame,
     weights: dict[str, float] | None = None,
     block_rows: int = 64,
-    resolution: int = 200,
+    round_slots: int = 256,
     seed: str = "mix",
     id_col: str = "doc_id",
     stratum: str = "source",
@@ -104,20 +180,20 @@ def mix(
 ) -> DataFrame:
     """Adds `mix_block` and `mix_row`: all rows in one order whose sources follow the weights.
 
-    Each source is shuffled by the seed and cut into blocks of `block_rows` rows (its last one
-    may be shorter). A round has about `resolution` blocks; a source has as many of them as its
-    weight asks for, one at least. Within a round block j has a release time and a deadline, and
-    earliest deadline first interleaves the blocks: at every slot each source has had its share,
-    give or take less than one block. Nothing is dropped or repeated: when a source has ended the
-    others share its slots by their weights. Without `weights` a source weighs the square root of
-    its rows; a source that `weights` does not name weighs 1.
+    Each source is shuffled by the seed and cut into blocks of `block_rows` rows (its last one may be shorter). From its
+    target weight every block has a release time and a deadline, and earliest deadline first interleaves the blocks: at
+    every slot each source has had its share by the weights themselves, give or take less than one block, however many
+    blocks there are. Nothing is dropped or repeated: when a source has ended the others share its slots by their
+    weights, counted from there on. Without `weights` a source weighs the square root of its rows; a source that
+    `weights` does not name weighs 1. Weights count to a millionth.
     `rank` names a column for the row's place within its source (from 1), for steps that go on with the order.
 
-    The schedule has one row per block of a distinct round: at most (2 x sources + 1) x
-    (resolution + sources); the number of rows does not matter. Its computation is for mixtures
-    of up to some hundred sources.
+    `round_slots` slots are scheduled at a time, each such round apart from the others; the result does not depend on it. The
+    schedule has one row per block and reaches the rows as one list per cell of their seeded order. A round's work grows
+    with the number of sources times the slots between two blocks of the lightest one: this is for mixtures of up to some
+    hundred sources whose weights are no less than about 0.0001 of the whole; lighter ones are right but slow.
 
-    * null id: seeded like an empty one; null source: a source of its own; texts do not matter;
+    * null id: seeded like an empty one; null source: a source of its own; texts only break ties;
       repeated rows: each is placed, equal ones in any order (ties go by id, then by the CRC-32 of `tie`,
       or by `tie` itself if it is a number).
     * empty table: empty result. Existing columns `mix_block` and `mix_row` are replaced.
@@ -126,17 +202,18 @@ def mix(
     restored = [c for c, name in zip(restored, names) if name not in ("mix_block", "mix_row", rank)]
     extra = [F.col("_rank").alias(rank)] if rank else []
     id_col, stratum, tie = names[id_col], names[stratum], tie_break(docs, names[tie])
-    strata = stored(strata_of(docs, stratum, weights, block_rows, resolution), "mix")
-    schedule = stored(schedule_of(strata), "mix")
+    schedule = schedule_of(stored(strata_of(docs, stratum, weights, block_rows), "mix"), round_slots)
+    keyed, starts = celled(docs, docs.count(), seed, id_col, stratum, tie)
+    spans = starts.withColumn("_first", F.expr(f"_start div {block_rows}"))
+    wanted = spans.withColumn("_j", F.explode(F.expr(f"sequence(_first, (_start + _n - 1) div {block_rows})")))
+    lists = (
+        wanted.join(schedule.toDF("_s", "_j", "_slot"), ["_s", "_j"])
+        .groupBy("_s", "_cell", "_start", "_first")
+        .agg(F.expr("transform(array_sort(collect_list(struct(_j, _slot))), x -> x._slot)").alias("_slots"))
+    )
     return (
-        ranked(docs, docs.count(), seed, id_col, stratum, [tie])
-        .join(strata.select(*[F.col(c).alias(f"_{c}") for c in ("s", "k", "bounds")]), "_s")
-        .withColumn("_block", F.expr(f"(_rank - 1) div {block_rows}"))
+        rank_in_cell(keyed, stored(lists, "mix"), id_col, tie)
+        .withColumn("mix_block", F.expr(f"_slots[cast((_rank - 1) div {block_rows} - _first as int)]"))
         .withColumn("mix_row", F.expr(f"cast((_rank - 1) % {block_rows} as int)"))
-        .withColumn("_round", F.expr("_block div _k"))
-        .withColumn("_j", F.expr("_block % _k"))
-        .withColumn("_phase", F.expr("size(filter(_bounds, x -> x <= _round)) - 1"))
-        .join(schedule.toDF(*[f"_{c}" for c in schedule.columns]), ["_s", "_phase", "_j"])
-        .withColumn("mix_block", F.expr("_base + (_round - _first) * _d + _slot"))
         .select(*restored, "mix_block", "mix_row", *extra)
     )

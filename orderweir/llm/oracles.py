@@ -20,10 +20,10 @@ RANKED = """
 measured as (
   select doc_id, source, coalesce('=' || source, '') as s, coalesce(text, '') as t,
     string_split(hex(encode(coalesce(text, ''))), '') as h from documents),
+summed as (select doc_id, source, s, strlen(t) + 8 as size, {crc} as text_crc32 from measured),
 ranked as (
-  select doc_id, source, s, strlen(t) + 8 as size, {crc} as text_crc32,
-    ('0x' || substr(md5('{seed}|' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT as x
-  from measured),
+  select *, ('0x' || substr(md5('{seed}|' || coalesce(doc_id::VARCHAR, '') || '|' || text_crc32::VARCHAR), 1, 15))::BIGINT as x
+  from summed),
 placed as (
   select *, row_number() over (partition by s order by x, doc_id, text_crc32) as r,
     count(*) over (partition by s) as n from ranked)"""
@@ -42,35 +42,33 @@ select doc_id, size, text_crc32, 'rows' as law, (p * 24 // total)::INT as shard,
 from positions"""
 )
 
+#: Slot by slot from the first to the last: of the blocks released by now, the one due first. When the first source's share
+#: reaches its last block, what is left of such sources follows, and the others go on as if they started there.
 MIX = (
     "with recursive "
-    + RANKED.format(crc="0", seed="mix").replace("text_crc32) as r", "text_crc32) - 1 as r")
+    + RANKED.format(crc=CRC32, seed="mix")
     + """,
 strata as (
-  select s, n, k, ((n + 63) // 64) // k as whole, ((n + 63) // 64) % k as rest from (
-    select s, n, greatest(1, (2 * a * 200 + sum(a) over ()) // (2 * sum(a) over ()))::BIGINT as k from (
-      select s, count(*) as n, greatest(floor(sqrt(count(*)::DOUBLE) * 1000)::BIGINT, 1) as a from ranked group by s))),
-ends as (select 0 as p union select whole from strata union select whole + (rest > 0)::INT from strata),
-phases as (select row_number() over (order by p) - 1 as phase, p as lo, lead(p) over (order by p) as hi from ends),
-shares as (
-  select phase, lo, hi, s, case when lo < whole then k when lo = whole then rest else 0 end as q
-  from phases, strata where hi is not null),
-rounds as (
-  select phase, lo, hi, sum(q)::BIGINT as d, list(s order by s) as names, list(q::BIGINT order by s) as q
-  from shares where q > 0 group by phase, lo, hi),
-bases as (select *, coalesce(sum((hi - lo) * d) over (order by phase rows between unbounded preceding and 1 preceding), 0) as base from rounds),
-edf as (
-  select phase, d, names, q, 0 as t, list_transform(q, lambda x: 0::BIGINT) as done, null::VARCHAR as s, null::BIGINT as j from bases
+  select list(s order by s) as names, list(a order by s) as a, list(m order by s) as m from (
+    select s, greatest(floor(sqrt(count(*)::DOUBLE) * 1000)::BIGINT, 1) as a, (count(*) + 63) // 64 as m from ranked group by s)),
+walk as (
+  select -1::BIGINT as slot, 0::BIGINT as t, list_transform(m, lambda x: 0::BIGINT) as done,
+    list_transform(m, lambda x: 0::BIGINT) as before, null::BIGINT as i, null::BIGINT as j from strata
   union all
-  select phase, d, names, q, t + 1, list_transform(done, lambda x, i: x + (i = best.i)::INT), names[best.i], done[best.i] from (
-    select *, list_min(list_transform(
-      list_filter(range(1, len(q) + 1), lambda i: done[i] < q[i] and (done[i] * d) // q[i] <= t),
-      lambda i: {'due': ((done[i] + 1) * d + q[i] - 1) // q[i], 'i': i})) as best
-    from edf where t < d)),
-rows as (
-  select p.doc_id, p.source, p.s, p.r, (p.r // 64) // k as round, (p.r // 64) % k as j from placed p join strata using (s))
-select doc_id, source, (base + (round - lo) * b.d + e.t - 1)::BIGINT as mix_block, (r % 64)::INT as mix_row
-from rows join bases b on round >= lo and round < hi join edf e on e.phase = b.phase and e.s = rows.s and e.j = rows.j"""
+  select slot + 1, if(over, 0, t + 1), after, if(over, after, before), i, done[i] from (
+    select *, t + 1 >= span and len(list_filter(ending, lambda k: after[k] < m[k])) = 0 as over from (
+      select *, list_transform(done, lambda x, k: x + (k = i)::INT) as after from (
+        select *, case when t < span then list_min(list_transform(
+            list_filter(active, lambda k: done[k] < m[k] and ((done[k] - before[k]) * w) // a[k] <= t),
+            lambda k: {'due': ((done[k] - before[k] + 1) * w + a[k] - 1) // a[k], 'k': k})).k
+          else list_min(list_filter(ending, lambda k: done[k] < m[k])) end as i from (
+          select *, list_filter(active, lambda k: ((m[k] - before[k]) * w) // a[k] = span) as ending from (
+            select *, list_min(list_transform(active, lambda k: ((m[k] - before[k]) * w) // a[k])) as span from (
+              select *, list_sum(list_transform(active, lambda k: a[k]))::BIGINT as w from (
+                select slot, t, done, before, a, m, list_filter(range(1, len(m) + 1), lambda k: before[k] < m[k]) as active
+                from walk, strata) where len(active) > 0)))))))
+select doc_id, source, slot as mix_block, ((r - 1) % 64)::INT as mix_row
+from placed join (select names[i] as s, j, slot from walk, strata where i is not null) using (s) where j = (r - 1) // 64"""
 )
 
 #: Components of the undirected links (a, b): smallest id that each one reaches.

@@ -49,7 +49,7 @@ def interleave(
     draw = F.conv(F.substring(F.md5(F.concat(F.lit(seed + "|"), F.col("_s"))), 1, 13), 16, 10).cast("long")
     sizes = sizes.withColumn("_u", (draw + 0.5) / float(2**52))
     if order is None:
-        own, rank, ties = ranked(docs, rows, seed, id_col, stratum, [tie]), F.col("_rank"), ["_h", id_col, tie]
+        own, rank, ties = ranked(docs, rows, seed, id_col, stratum, tie), F.col("_rank"), ["_h", id_col, tie]
     else:
         place, block, row = (names[c] for c in order)
         own, ties = docs.withColumn("_s", stratum_key(F.col(stratum))).withColumn("_rank", F.col(place) - 1), []
@@ -64,7 +64,7 @@ def interleave(
         .drop("_rank", "_total", "_u")
     )
     counts = spread.groupBy("_cell").agg(F.count("*").alias("_n"))
-    starts = running_starts(counts.withColumn("_all", F.lit(0)), ["_all"], "_cell", "_n", "_start").drop("_all")
+    starts = running_starts(counts.withColumn("_all", F.lit(0)), ["_all"], "_cell", "_n", "_start").drop("_all", "_n")
     if order is not None:
         starts = stored(starts, "shard-starts")  # the rows up to here are needed twice, their counts once
     by_fraction = Window.partitionBy("_cell").orderBy("_f", "_s", *ties)
@@ -78,7 +78,7 @@ def interleave(
     else:
         cut = cut.drop("_cell", "_start", "_f").withColumn("_cell", F.expr(f"{block} div {ORDER_BLOCKS * shards}"))
         counts = cut.groupBy("shard", "_cell").agg(F.count("*").alias("_n"))
-        starts = stored(running_starts(counts, ["shard"], "_cell", "_n", "_start"), "shard-starts")
+        starts = stored(running_starts(counts, ["shard"], "_cell", "_n", "_start").drop("_n"), "shard-starts")
         by_order = Window.partitionBy("shard", "_cell").orderBy(block, row)
         slotted = cut.join(starts, ["shard", "_cell"]).withColumn(
             "slot", F.col("_start") + F.row_number().over(by_order) - 1

@@ -1,5 +1,8 @@
+import random
 from collections import Counter, defaultdict
 
+import pytest
+
 from orderweir.llm import mixing, sharding
 from tests_llm_help import none, odd  # noqa: F401
 
@@ -13,7 +16,7 @@ def test_blocks_follow_the_weights_with_less_than_one_block_of_deviation(spark):
     weights = {"a": 5.0, "b": 3.0, "c": 1.5, "d": 0.5}
     rows = [(i, f"t{i}", s) for i, s in enumerate(s for s in "abcd" for _ in range(400))]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    got = order(docs, weights=weights, block_rows=2, resolution=20)
+    got = order(docs, weights=weights, block_rows=2, round_slots=20)
     assert len(got) == len(rows) and len({g[3] for g in got}) == len(rows)
     blocks = [s for b, s in sorted({(b, s) for b, _, s, _ in got})]
     assert [b for b, _ in sorted({(b, s) for b, _, s, _ in got})] == list(range(len(blocks)))
@@ -25,8 +28,70 @@ def test_blocks_follow_the_weights_with_less_than_one_block_of_deviation(spark):
             assert all(abs(done[x] - t * share[x] / 20) < 1 for x in share), (t, done)
 
 
+DRAWN = random.Random(7)
+MIXTURES = {
+    "999 to 1": [(999, 6_000), (1, 9)],
+    "one of 500 weighs 100": [(100, 700), *[(1, 7)] * 499],
+    "half and many": [(499, 1_500), *[(1, 4)] * 499],
+    "equal": [(1, 40)] * 40,
+    "one source": [(3, 700)],
+    **{
+        f"drawn {k}": [(max(1, int(10 ** DRAWN.uniform(0, 6))), DRAWN.randint(1, 900)) for _ in range(DRAWN.randint(2, 25))]
+        for k in range(6)
+    },
+}
+
+
+@pytest.mark.parametrize("name", list(MIXTURES))
+def test_the_bound_holds_for_any_weights(spark, name):
+    """Every block once; at every slot of a phase each source within less than one block of its unrounded share."""
+    sources = {f"s{i:03}": am for i, am in enumerate(MIXTURES[name])}
+    strata = spark.createDataFrame([(s, a, m) for s, (a, m) in sources.items()], "s string, a long, m long")
+    got = sorted((r["slot"], r["s"], r["j"]) for r in mixing.schedule_of(strata, 256).collect())
+    if len(sources) < 100:
+        assert got == sorted((r["slot"], r["s"], r["j"]) for r in mixing.schedule_of(strata, 19).collect())
+    assert [g[0] for g in got] == list(range(sum(m for _, m in sources.values())))
+    done = Counter()
+    left, since, before = dict(sources), 0, Counter()
+    for slot, s, j in got:
+        assert j == done[s]
+        done[s] += 1
+        total, t = sum(a for a, _ in left.values()), slot + 1 - since
+        last = min((m - before[x]) * total // a for x, (a, m) in left.items())
+        if t <= last:
+            # Counted in whole numbers: |placed * total - t * weight| < total.
+            assert all(abs((done[x] - before[x]) * total - t * a) < total for x, (a, _) in left.items()), (slot, s)
+        ending = [x for x, (a, m) in left.items() if (m - before[x]) * total // a == last]
+        if t >= last and all(done[x] == left[x][1] for x in ending):
+            left = {x: am for x, am in left.items() if done[x] < am[1]}
+            since, before = slot + 1, Counter(done)
+    assert all(done[s] == m for s, (_, m) in sources.items()) and not left
+
+
+def test_cells_do_not_change_the_mixture(spark, monkeypatch):
+    from orderweir.llm import common
+
+    rows = [(i, f"t{i}", f"s{i % 4}") for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    one = order(docs, block_rows=3)
+    monkeypatch.setattr(common, "CELL_ROWS", 16)
+    monkeypatch.setattr(common, "BLOCK_CELLS", 4)
+    assert order(docs, block_rows=3) == one
+
+
+def test_rows_of_one_id_are_spread_over_cells(spark, monkeypatch):
+    from orderweir.llm import common
+
+    monkeypatch.setattr(common, "CELL_ROWS", 64)
+    rows = [(None if i % 3 else 1, f"t{i}", "hot") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    _, starts = common.celled(docs, 4000, "mix", "doc_id", "source", common.tie_break(docs, "text"))
+    assert max(r["_n"] for r in starts.collect()) < 150
+    assert len({(r["mix_block"], r["mix_row"]) for r in mixing.mix(docs).collect()}) == 4000
+
+
 def test_every_row_is_placed_once_for_odd_rows(odd, none):
-    got = order(odd, block_rows=3, resolution=7)
+    got = order(odd, block_rows=3, round_slots=7)
     assert len(got) == odd.count() and len({g[:2] for g in got}) == len(got)
     assert mixing.mix(odd).columns == [*odd.columns, "mix_block", "mix_row"]
     assert mixing.mix(none).count() == 0
