@@ -13,7 +13,7 @@ from orderweir.llm.common import neutral, table, tie_break
 from orderweir.session import configure, stored
 
 #: Mark in the metadata of the column `source`: the rows are mixed, and with these options of `mixing.mix`.
-MIXTURE, MIX_OPTIONS = "mixture", {"seed": "mix", "block_rows": 64, "resolution": 200}
+MIXTURE, MIX_OPTIONS = "mixture", {"seed": "mix", "block_rows": 64}
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
