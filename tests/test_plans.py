@@ -71,6 +71,20 @@ def test_bucketed_landing_joins_without_a_shuffle(spark, folder):
         warehouse.drop()
 
 
+def test_fact_moves_lines_four_times(spark, folder):
+    """To parts, to orders with their headers, to products and to customers, without the broadcasts of small tables."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        text = plan(QUERIES["fact_sales_order"](spark, folder))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # An exchange per line move and other side, one of the rows of days, those of headers: customers, counts, both.
+    keys = [line.split("hashpartitioning(")[1].split("#")[0] for line in text.splitlines() if "Exchange hashpartitioning(" in line]
+    assert keys.count("order_id") == 0 and keys.count("h_order") == 1 and keys.count("orderid") == 2
+    assert keys.count("l_partkey") == 1 and keys.count("sku") == 1 and keys.count("customer_id") == 1
+
+
 @pytest.mark.parametrize(
     "master,checkpoint,warehouse,base",
     [
