@@ -1,7 +1,8 @@
 """A message log with an index of event times per file, so that a replay reads only files it needs.
 
 The time of a message lies inside its body, where no file statistics see it. Each batch therefore
-writes a small index beside its files; a replay asks the index first and parses nothing else.
+writes a small index beside its files; a replay asks the index first and parses nothing else. The time is
+read out of a body once, when its batch is appended, and kept beside it.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ class IndexedLog:
         self.time = envelope_time() if time is None else time
 
     def _log(self, *paths: str) -> DataFrame:
-        fields = StructType([*self.schema.fields]).add("_batch_id", "long")
+        fields = StructType([*self.schema.fields]).add("_ms", "long").add("_batch_id", "long")
         return self.spark.read.schema(fields).option("basePath", f"{self.path}/log").parquet(*paths)
 
     def append(self, messages: DataFrame, batch_id: int) -> None:
@@ -36,12 +37,12 @@ class IndexedLog:
         A repeated batch replaces its files and its index. Messages without a time are in every replay.
         """
         timed = messages.select(*[f.name for f in self.schema.fields], self.time.alias("_ms"))
-        append_batch(timed.repartitionByRange("_ms").drop("_ms"), batch_id, f"{self.path}/log")
+        append_batch(timed.repartitionByRange("_ms"), batch_id, f"{self.path}/log")
         written = self._log(f"{self.path}/log").where(F.col("_batch_id") == batch_id)
         entries = written.groupBy(F.col("_metadata.file_path").alias("file")).agg(
-            F.min(self.time).alias("first_ms"),
-            F.max(self.time).alias("last_ms"),
-            F.count_if(self.time.isNull()).alias("undated"),
+            F.min("_ms").alias("first_ms"),
+            F.max("_ms").alias("last_ms"),
+            F.count_if(F.col("_ms").isNull()).alias("undated"),
             F.count("*").alias("messages"),
         )
         append_batch(entries, batch_id, f"{self.path}/index")
@@ -61,7 +62,7 @@ class IndexedLog:
         """Messages from a point in time on, late ones included, and those without a time."""
         files = self.files_since(start_ms, end_ms)
         log = self._log(*files) if files else self._log(f"{self.path}/log").where("false")
-        wanted = self.time >= start_ms
+        wanted = F.col("_ms") >= start_ms
         if end_ms is not None:
-            wanted = wanted & (self.time < end_ms)
+            wanted = wanted & (F.col("_ms") < end_ms)
         return log.where(F.coalesce(wanted, F.lit(True))).select(*[f.name for f in self.schema.fields])

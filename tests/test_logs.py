@@ -97,6 +97,20 @@ def test_a_repeated_batch_replaces_its_files_and_index(spark, tmp_path):
     assert log.index().agg(F.sum("messages")).first()[0] == 3
 
 
+def test_a_body_is_looked_into_when_it_is_appended_only(spark, tmp_path):
+    """Once for the ranges of the files and once for the files; the index and replays take the time kept beside it."""
+    looked = spark.sparkContext.accumulator(0)
+
+    def first_number(value):
+        looked.add(1)
+        return int("".join(filter(str.isdigit, value)))
+
+    log = IndexedLog(spark, str(tmp_path), MESSAGE, F.udf(first_number, "long")("value"))
+    log.append(messages(spark, range(100)), 0)
+    assert sorted(int(r["key"]) for r in log.replay(90).collect()) == list(range(90, 100))
+    assert looked.value <= 200
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_snapshot_in_chunks_under_changes(spark, seed):
     """Three chunks, each read at any moment between its marks, changes all the time: equal to the log replayed."""
