@@ -1,3 +1,4 @@
+import os
 import random
 
 import numpy as np
@@ -42,6 +43,22 @@ def test_unlabelled_documents_are_told_apart(labelled):
     assert left == {i for i, r in rows.items() if not r["toxic"]}
 
 
+def test_one_task_fits_the_chain_and_the_driver_does_not(labelled, monkeypatch):
+    """Labels of one id in either order make the same chain."""
+    docs, labels = labelled
+    driver, fit = os.getpid(), toxicity.fit_chain
+
+    def elsewhere(*given):
+        assert os.getpid() != driver
+        return fit(*given)
+
+    monkeypatch.setattr(toxicity, "fit_chain", elsewhere)
+    again = labels.withColumns({"quality": labels.quality * 0 + 1, "toxic": labels.toxic * 0})
+    one, two = (toxicity.train(docs, a.unionByName(b)) for a, b in ((labels, again), (again, labels)))
+    assert one.thresholds == two.thresholds
+    assert all((a.weights == b.weights).all() for a, b in zip(one.models, two.models))
+
+
 def test_the_chain_uses_the_earlier_category():
     draw = np.random.default_rng(2)
     first = draw.random(600) < 0.4
