@@ -20,6 +20,8 @@ CELL, MOST_PIVOTS, DRAWS = 4_000, 1_024, 4
 DESCENTS, BLOCK, CHUNK = 2, 512, 64
 #: Candidates that a neighbourhood offers each of its members per round.
 OFFERS = 8
+#: Rows of an Arrow batch that a task works on at a time.
+SLICE = 256
 #: Beam of the search, nodes opened per round, rounds at most.
 BEAM, OPEN, ROUNDS = 256, 32, 8
 #: Longest vectors, among which every search finds its first nodes to open.
@@ -47,6 +49,13 @@ def matrix(column: pa.ChunkedArray | pa.Array, kind: type) -> np.ndarray:
     return np.frombuffer(b"".join(bodies), kind).reshape(len(bodies), -1).astype(np.float32)
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches, SLICE at a time: what a task makes of them may be many times as large."""
+    for batch in batches:
+        for at in range(0, len(batch), SLICE):
+            yield batch.slice(at, SLICE)
+
+
 def best(scores: np.ndarray, k: int) -> np.ndarray:
     """Columns of the k largest values of each row."""
     return np.argpartition(-scores, min(k, scores.shape[1]) - 1, axis=1)[:, :k] if scores.shape[1] else np.zeros((len(scores), 0), int)
@@ -94,11 +103,11 @@ def first_graph(nodes: DataFrame, count: int, k: int) -> DataFrame:
         def near(table: pa.Table) -> pa.Table:
             ids, x = table["node"].to_numpy(), matrix(table["body"], np.float32)
             out = []
-            for i in range(0, len(x), 512):
-                sims = x[i : i + 512] @ x.T
+            for i in range(0, len(x), SLICE):
+                sims = x[i : i + SLICE] @ x.T
                 sims[np.arange(len(sims)), np.arange(i, i + len(sims))] = -np.inf
                 at = best(sims, min(k, len(x) - 1))
-                out.append((np.repeat(ids[i : i + 512], at.shape[1]), ids[at].ravel(), np.take_along_axis(sims, at, 1).ravel()))
+                out.append((np.repeat(ids[i : i + SLICE], at.shape[1]), ids[at].ravel(), np.take_along_axis(sims, at, 1).ravel()))
             columns = [pa.array(np.concatenate(c)) for c in zip(*out)]
             return pa.table(columns, names=["node", "nbr", "sim"])
 
@@ -154,12 +163,12 @@ def _join_neighbourhoods(key: tuple, links: pa.Table, bodies: pa.Table) -> pa.Ta
         value = np.take_along_axis(sims, at, 1)
         better = value > least[own][:, None]
         row, column = np.nonzero(better)
-        out.append((node[own[row]], node[own[at[row, column]]], value[row, column]))
+        out.append((own[row] * len(node) + own[at[row, column]], value[row, column]))
     if not out:
         return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float32())], names=["node", "nbr", "sim"])
-    node, nbr, sim = (np.concatenate(c) for c in zip(*out))
-    pairs, where = np.unique(np.stack((node, nbr)), axis=1, return_index=True)
-    return pa.table([pa.array(pairs[0]), pa.array(pairs[1]), pa.array(sim[where])], names=["node", "nbr", "sim"])
+    pairs, sim = (np.concatenate(c) for c in zip(*out))
+    pairs, where = np.unique(pairs, return_index=True)
+    return pa.table([pa.array(node[pairs // len(node)]), pa.array(node[pairs % len(node)]), pa.array(sim[where])], names=["node", "nbr", "sim"])
 
 
 def descend(nodes: DataFrame, graph: DataFrame, cells: DataFrame, count: int, k: int) -> DataFrame:
@@ -184,12 +193,18 @@ def descend(nodes: DataFrame, graph: DataFrame, cells: DataFrame, count: int, k:
     return kept(old.unionByName(offered), k)
 
 
+def blocked(graph: DataFrame, count: int) -> DataFrame:
+    """(node, block): blocks of like nodes, those of one smallest neighbour; where that are more than BLOCK, they are cut by hash."""
+    leads = graph.select("node", F.least("node", F.array_min("nbrs")).alias("lead"))
+    parts = leads.groupBy("lead").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    part = F.pmod(F.xxhash64("node"), "parts")
+    return leads.join(parts, "lead").select("node", F.pmod(F.xxhash64("lead", part), F.lit(count // BLOCK + 1)).alias("block"))
+
+
 def build(nodes: DataFrame, count: int, k: int = NEIGHBOURS) -> DataFrame:
     """(node, nbrs): the neighbour graph. nodes: (node, body), bodies all different."""
     graph = stored(kept(first_graph(nodes, count, k), k), "ann-graph")
-    # Blocks of like nodes: the smallest neighbour, then pieces of BLOCK nodes by its order.
-    leads = graph.select("node", F.least("node", F.array_min("nbrs")).alias("lead"))
-    cells = stored(leads.select("node", F.pmod(F.xxhash64("lead"), F.lit(count // BLOCK + 1)).alias("block")), "ann-blocks")
+    cells = stored(blocked(graph, count), "ann-blocks")
     for _ in range(DESCENTS):
         graph = stored(descend(nodes, graph, cells, count, k), "ann-graph")
     return graph.select("node", "nbrs")
@@ -213,7 +228,7 @@ def graph_table(nodes: DataFrame, graph: DataFrame, count: int, name: str, k: in
 
 def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Scores of the neighbours of an opened node for the query that asked."""
-    for batch in batches:
+    for batch in slices(batches):
         asked, nbrs = matrix(batch.column("body"), np.float32), batch.column("nbrs")
         flat, sizes = nbrs.flatten(), np.diff(nbrs.offsets.to_numpy())
         scores = np.einsum("ij,ij->i", matrix(flat.field("half"), np.float16), np.repeat(asked, sizes, axis=0))
@@ -230,7 +245,7 @@ STATE = "query long, body binary, nodes array<long>, scores array<float>, opened
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The beam after a round: old and new nodes, the best BEAM of them, and which ones to open next."""
-    for batch in batches:
+    for batch in slices(batches):
         rows = []
         for row in batch.to_pylist():
             nodes = np.concatenate((row["nodes"], *(row["met_nodes"] or ()))).astype(np.int64)

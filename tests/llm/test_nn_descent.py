@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,3 +81,27 @@ def test_few_vectors(spark, n):
     vectors = [(i, draw.normal(size=3)) for i in range(n)]
     got = found(spark, vectors, [0])
     assert got == {} if n < 2 else len(got[0]) == n - 1
+
+
+def test_nodes_of_one_smallest_neighbour_are_cut_into_blocks(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "BLOCK", 16)
+    graph = spark.range(1, 401).select(F.col("id").alias("node"), F.array(F.lit(0).cast("long")).alias("nbrs"))
+    sizes = [r["count"] for r in nn_descent.blocked(graph, 400).groupBy("block").count().collect()]
+    assert sum(sizes) == 400 and max(sizes) <= 8 * 16
+
+
+def test_opened_nodes_are_scored_a_few_at_a_time(monkeypatch):
+    """A batch of many opened nodes is worked on in slices, with the scores of each row."""
+    monkeypatch.setattr(nn_descent, "SLICE", 4)
+    draw = np.random.default_rng(8)
+    asked = draw.normal(size=(11, 3)).astype(np.float32)
+    near = [draw.normal(size=(i % 3 + 1, 3)).astype(np.float16) for i in range(11)]
+    nbrs = [[{"nbr": 10 * i + j, "half": x.tobytes()} for j, x in enumerate(rows)] for i, rows in enumerate(near)]
+    kind = pa.list_(pa.struct([("nbr", pa.int64()), ("half", pa.binary())]))
+    columns = [pa.array(range(11), pa.int64()), pa.array([a.tobytes() for a in asked], pa.binary()), pa.array(nbrs, kind)]
+    got = list(nn_descent._scored(iter([pa.RecordBatch.from_arrays(columns, names=["query", "body", "nbrs"])])))
+    assert [len(b) for b in got] == [4, 4, 3]
+    rows = [row for b in got for row in b.to_pylist()]
+    for i, row in enumerate(rows):
+        assert row["query"] == i and row["nodes"] == [10 * i + j for j in range(len(near[i]))]
+        assert np.allclose(row["scores"], near[i].astype(np.float32) @ asked[i], atol=1e-5)
