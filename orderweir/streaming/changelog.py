@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Iterator
+from operator import itemgetter
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -24,8 +25,12 @@ SNAPSHOT = (
 )
 FIELDS = [field.split()[0] for field in SNAPSHOT.split(", ")]
 # Times travel as microseconds: state and events then compare as whole numbers.
-EVENT = [name for name in FIELDS if name != "updatedAt"]
 STATE = SNAPSHOT.replace("updatedAt timestamp_ntz", "updatedAt bigint") + ", lastArrival bigint"
+SNAPSHOT_ROW = Row(*FIELDS)
+# Places in a state and in an event, which has its own arrival in place of the last one.
+TIME, ARRIVAL = FIELDS.index("updatedAt"), len(FIELDS)
+SUMS = [FIELDS.index(name) for name in CUSTOMER_SUMS]
+NEWEST = [TIME, ARRIVAL, *(FIELDS.index(name) for name in CUSTOMER_LATEST)]
 
 
 class RunningTotals(StatefulProcessor):
@@ -45,25 +50,24 @@ class RunningTotals(StatefulProcessor):
         self.totals = handle.getValueState("totals", STATE, ttlDurationMs=ttl)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        known = self.totals.get() if self.totals.exists() else None
-        now = dict(zip([*FIELDS, "lastArrival"], known)) if known else None
-        for row in sorted(rows, key=lambda row: row["arrival"]):
-            event = row.asDict()
-            arrival = event.pop("arrival")
+        # One call to the store tells whether there are totals and which; rows and state have the columns of STATE in order.
+        known = self.totals.get()
+        now = list(known) if known else None
+        for event in sorted(rows, key=itemgetter(ARRIVAL)):
             if now is None:
-                now = {**event, **{name: event[name] or 0 for name in CUSTOMER_SUMS}}
+                now = list(event)
+                for i in SUMS:
+                    now[i] = now[i] or 0
             else:
-                for name in CUSTOMER_SUMS:
-                    now[name] += event[name] or 0
-                rank = lambda at, arrived: (at is not None, at or 0, arrived)
-                if rank(event["updatedAt"], arrival) >= rank(now["updatedAt"], now["lastArrival"]):
-                    now.update({name: event[name] for name in ("updatedAt", *CUSTOMER_LATEST)})
-                else:
-                    arrival = now["lastArrival"]
-            now["lastArrival"] = arrival
-            yield Row(**{name: now[name] for name in FIELDS})
+                for i in SUMS:
+                    now[i] += event[i] or 0
+                at, before = event[TIME], now[TIME]
+                if (at is not None, at or 0, event[ARRIVAL]) >= (before is not None, before or 0, now[ARRIVAL]):
+                    for i in NEWEST:
+                        now[i] = event[i]
+            yield SNAPSHOT_ROW(*now[:ARRIVAL])
         if now:
-            self.totals.update(tuple(now[name] for name in [*FIELDS, "lastArrival"]))
+            self.totals.update(tuple(now))
 
     def close(self) -> None:
         pass
@@ -77,10 +81,9 @@ def snapshots(contributions: DataFrame, arrival: str, keep_for: datetime.timedel
     one row per customer. With `keep_for` run the query on an interval: a clock drives its expiry, so
     a query over what is available would not end.
     """
-    time = F.expr("unix_micros(cast(updatedAt as timestamp))").alias("updatedAt")
+    shaped = {"totalSpent": F.col("totalSpent").cast(MONEY), "updatedAt": F.expr("unix_micros(cast(updatedAt as timestamp))")}
     events = contributions.filter(has_key(F.col("customerId"))).select(
-        *[F.col(name).cast(MONEY) if name == "totalSpent" else F.col(name) for name in EVENT],
-        time,
+        *[shaped.get(name, F.col(name)).alias(name) for name in FIELDS],
         F.col(arrival).cast("bigint").alias("arrival"),
     )
     emitted = events.groupBy("customerId").transformWithState(
