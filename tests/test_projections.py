@@ -146,3 +146,18 @@ def test_large_orders_travel_in_parts(landing):
         landing.source("customer"), F.col("o_custkey") == F.col("c_custkey")).count()
     counted = lambda df: projections.customer_contributions(df).agg(F.sum("orderCount")).first()[0]
     assert counted(split) == counted(whole) == len(headers(whole))
+
+
+def test_no_task_puts_more_events_together_than_its_lines(spark, landing, monkeypatch):
+    """More lines than the shuffle partitions may hold: more tasks, the same events."""
+    text = lambda df: sorted((e.orderId, e.part, e.lineCount, sorted(map(str, e.lineItems or []))) for e in df.collect())
+    whole = text(parse_order_events(order_event_json(landing)))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    monkeypatch.setattr("orderweir.sources.order_events.LINES_PER_TASK", 400)
+    try:
+        made = order_event_json(landing)
+        assert made.rdd.getNumPartitions() > landing.source("lineitem").count() // 400
+        assert text(parse_order_events(made)) == whole
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
