@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderweir.session import stored
@@ -20,8 +21,8 @@ CELL, MOST_PIVOTS, DRAWS = 4_000, 1_024, 4
 DESCENTS, BLOCK, CHUNK = 2, 512, 64
 #: Candidates that a neighbourhood offers each of its members per round.
 OFFERS = 8
-#: Rows of an Arrow batch that a task works on at a time.
-SLICE = 256
+#: Rows of an Arrow batch between Spark and its Python workers, and those of them that a task works on at a time.
+BATCH, SLICE = 1_024, 256
 #: Beam of the search, nodes opened per round, rounds at most.
 BEAM, OPEN, ROUNDS = 256, 32, 8
 #: Longest vectors, among which every search finds its first nodes to open.
@@ -56,6 +57,18 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, SLICE)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Inside, Arrow batches have BATCH rows at most: a row with its neighbours' vectors is several KB, and both sides hold whole batches."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(name)
+    spark.conf.set(name, min(int(usual), BATCH) if int(usual) > 0 else BATCH)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, usual)
+
+
 def best(scores: np.ndarray, k: int) -> np.ndarray:
     """Columns of the k largest values of each row."""
     return np.argpartition(-scores, min(k, scores.shape[1]) - 1, axis=1)[:, :k] if scores.shape[1] else np.zeros((len(scores), 0), int)
@@ -298,6 +311,27 @@ def search(table: DataFrame, queries: DataFrame, starts: tuple[np.ndarray, np.nd
     return state.select("query", "nodes")
 
 
+def squared_length() -> Column:
+    return F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)
+
+
+def _found(own: DataFrame, starts: DataFrame, count: int, largest: float) -> DataFrame:
+    """(query, node): what the search from `starts` (query) has met in the graph of `own` (node, vec). Nothing is left to compute."""
+    spark = own.sparkSession
+    nodes = stored(packed(own, largest), "ann-nodes")
+    name = f"ann_graph_{uuid.uuid4().hex}"
+    graph_table(nodes, build(nodes, count), count, name)
+    # The added component is part of the graph's distances, not of the product that is asked for.
+    plain = F.concat(F.substring("body", F.lit(1), F.length("body") - 4), F.lit(b"\x00\x00\x00\x00")).alias("body")
+    asks = nodes.select(F.col("node").alias("query"), plain)
+    longest = own.orderBy(squared_length().desc(), "node").limit(STARTS).select("node").join(nodes, "node").orderBy("node").collect()
+    first = np.array([r["node"] for r in longest]), np.stack([np.frombuffer(r["body"], np.float32) for r in longest])
+    found = search(spark.table(name), starts.join(asks, "query"), first)
+    found = stored(found.select("query", F.explode(F.array_union("nodes", F.array("query"))).alias("node")), "ann-found")
+    spark.sql(f"drop table {name}")
+    return found
+
+
 def neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score): for each query its k rows of largest inner product, itself left out.
 
@@ -315,22 +349,12 @@ def neighbours(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame
     spark = vectors.sparkSession
     rows = stored(_noded(clean(vectors)), "ann-rows")
     own = rows.where("vec_id = node").select("node", "vec")
-    length = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)
-    sizes = own.agg(F.count("*").alias("n"), F.percentile_approx(length, USUAL_LENGTH, 10_000).alias("largest")).first()
-    nodes = stored(packed(own, min(sizes["largest"] or 1.0, 1e300)), "ann-nodes")
+    sizes = own.agg(F.count("*").alias("n"), F.percentile_approx(squared_length(), USUAL_LENGTH, 10_000).alias("largest")).first()
     asked = rows.join(queries.select("vec_id").distinct(), "vec_id", "left_semi").select(F.col("vec_id").alias("query_id"), "node")
     starts = asked.select(F.col("node").alias("query")).distinct()
     if sizes["n"] > 1:
-        name = f"ann_graph_{uuid.uuid4().hex}"
-        graph_table(nodes, build(nodes, sizes["n"]), sizes["n"], name)
-        # The added component is part of the graph's distances, not of the product that is asked for.
-        plain = F.concat(F.substring("body", F.lit(1), F.length("body") - 4), F.lit(b"\x00\x00\x00\x00")).alias("body")
-        asks = nodes.select(F.col("node").alias("query"), plain)
-        longest = own.orderBy(length.desc(), "node").limit(STARTS).select("node").join(nodes, "node").orderBy("node").collect()
-        first = np.array([r["node"] for r in longest]), np.stack([np.frombuffer(r["body"], np.float32) for r in longest])
-        found = search(spark.table(name), starts.join(asks, "query"), first)
-        found = stored(found.select("query", F.explode(F.array_union("nodes", F.array("query"))).alias("node")), "ann-found")
-        spark.sql(f"drop table {name}")
+        with small_batches(spark):
+            found = _found(own, starts, sizes["n"], min(sizes["largest"] or 1.0, 1e300))
     else:
         found = starts.select("query", F.col("query").alias("node"))
     product = F.aggregate(F.zip_with("a", "b", lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)

@@ -105,3 +105,27 @@ def test_opened_nodes_are_scored_a_few_at_a_time(monkeypatch):
     for i, row in enumerate(rows):
         assert row["query"] == i and row["nodes"] == [10 * i + j for j in range(len(near[i]))]
         assert np.allclose(row["scores"], near[i].astype(np.float32) @ asked[i], atol=1e-5)
+
+
+def test_batches_between_spark_and_its_workers_are_small(spark, monkeypatch):
+    """While the graph is built and searched no worker is handed thousands of rows at once; afterwards the session is as it was."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual, most = spark.conf.get(name), []
+
+    def lengths(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([len(batch)], pa.int64())})
+
+    def seen(step):
+        def run(*parts):
+            most.append(max(r["n"] for r in spark.range(5_000, numPartitions=1).mapInArrow(lengths, "n long").collect()))
+            return step(*parts)
+
+        return run
+
+    for step in ("build", "search"):
+        monkeypatch.setattr(nn_descent, step, seen(getattr(nn_descent, step)))
+    draw = np.random.default_rng(2)
+    found(spark, [(i, draw.normal(size=4)) for i in range(60)], [0, 20])
+    assert len(most) == 2 and max(most) <= nn_descent.BATCH
+    assert spark.conf.get(name) == usual
