@@ -117,15 +117,17 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
     """Smallest id reachable over links: (id, comp) for every id that has one.
 
     edges: (a, b) longs without nulls. Large-star and small-star steps on written tables; every
-    step groups by id with a map-side minimum, so a hub with very many links is no single task.
+    step groups by id with a map-side minimum, so a hub with very many links is no single task. A round
+    and its test are as few shuffles and broadcasts as can be, each of which costs the driver threads and plans.
     """
     link = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     link = stored(link, purpose)
     while True:
         both = link.unionByName(link.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
+        # A row per link at most, some of them repeated until the round's end.
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
+        large = large.where("a <> b")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a")
         small = (
@@ -135,10 +137,11 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
         )
         link = stored(small, purpose)
         # Stars only: no root is itself a child, and no child has two roots.
-        roots = link.select(F.col("b").alias("a")).distinct()
-        if link.join(roots, "a", "left_semi").isEmpty():
-            children = link.groupBy("a").agg(F.count("*").alias("n")).where("n > 1")
-            if children.isEmpty():
-                break
+        ends = link.select(F.col("a").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("root")).unionByName(
+            link.select(F.col("b").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("root"))
+        )
+        ends = ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("root").alias("root"))
+        if ends.where("up > 1 or (up = 1 and root = 1)").isEmpty():
+            break
     members = link.select(F.col("a").alias("id"), F.col("b").alias("comp"))
     return members.unionByName(members.select(F.col("comp").alias("id"), "comp").distinct())

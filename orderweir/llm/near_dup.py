@@ -242,7 +242,8 @@ def link(docs: DataFrame, percent: int = 75) -> DataFrame:
         .distinct()
         .join(tested, ["a", "b"], "left_anti")
     )
-    edges = stored(edges.unionByName(linked(sifted(stored(again, "near-again")))), "near-links")
+    stars = lambda: comps.select(F.col("id").alias("a"), F.col("comp").alias("b"))  # noqa: E731  # links found so far, in fewer rounds
+    edges = stored(stars().unionByName(linked(sifted(stored(again, "near-again")))), "near-links")
     comps = stored(components(edges, "near-stars"), "near-comps")
 
     rest = (
@@ -259,7 +260,7 @@ def link(docs: DataFrame, percent: int = 75) -> DataFrame:
     )
     size = lambda side: members.select(F.col("doc_id").alias(side), F.col("n_shingles").alias(f"n_{side}"))
     rest = stored(rest, "near-rest").join(size("a"), "a").join(size("b"), "b")
-    edges = stored(edges.unionByName(linked(rest)), "near-links")
+    edges = stored(stars().unionByName(linked(rest)), "near-links")
     comps = components(edges, "near-stars").withColumnRenamed("id", "root")
     return (
         signs.select("doc_id", "n_shingles", "content")

@@ -86,3 +86,31 @@ def test_odd_sketch_estimates_high_similarity():
             estimate = 1 + np.log(max(1 - 2 * z / near_dup.SKETCH_BITS, 0.001)) * near_dup.SKETCH_BITS / (4 * near_dup.SAMPLES)
             errors.append(estimate - share)
         assert abs(np.mean(errors)) < 0.03 and np.max(np.abs(errors)) < near_dup.MARGIN
+
+
+def test_components_shuffle_little_per_round(spark, monkeypatch):
+    """Chains, stars and a ring against union-find; every shuffle costs the driver a thread, so a round has few."""
+    from orderweir.llm import common
+
+    draw = random.Random(3)
+    edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(200 + i, 200 + (i + 1) % 9) for i in range(9)]
+    edges += [(draw.randrange(300, 360), draw.randrange(300, 360)) for _ in range(40)] + [(7, 7)]
+    root = {i: i for pair in edges for i in pair}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in edges:
+        low, high = sorted((top(a), top(b)))
+        root[high] = low
+    want = sorted((i, top(i)) for i in {i for a, b in edges if a != b for i in (a, b)})
+    rounds, written = [], common.stored
+    monkeypatch.setattr(common, "stored", lambda df, purpose: (rounds.append(1), written(df, purpose))[1])
+    shuffles = lambda: spark.sparkContext._jsc.sc().newShuffleId()
+    began = shuffles()
+    found = common.components(spark.createDataFrame(edges, "a long, b long"), "test-stars")
+    used = shuffles() - began - 1
+    assert sorted(tuple(r) for r in found.collect()) == want
+    assert used <= 1 + 4 * (len(rounds) - 1), (used, len(rounds) - 1)  # joins are broadcast here
