@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderweir.session import stored
+from orderweir.session import release, stored
 
 #: Rows that one window task ranks; hot strata are cut into cells of about this size.
 CELL_ROWS = 16_384
@@ -143,5 +143,7 @@ def components(edges: DataFrame, purpose: str) -> DataFrame:
         ends = ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("root").alias("root"))
         if ends.where("up > 1 or (up = 1 and root = 1)").isEmpty():
             break
+        release(link.sparkSession)
+    release(link.sparkSession)
     members = link.select(F.col("a").alias("id"), F.col("b").alias("comp"))
     return members.unionByName(members.select(F.col("comp").alias("id"), "comp").distinct())

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from orderweir.llm.common import components, utf8
 from orderweir.llm.words import LOWER, MIX, MIX2, NOT_SPACE, groups, mixed, runs, scan
-from orderweir.session import stored
+from orderweir.session import release, stored
 
 SHINGLE_WORDS = 5
 #: 32 bands of 4 samples: a pair of similarity 0.75 shares no band with probability 5e-6.
@@ -218,6 +218,7 @@ def link(docs: DataFrame, percent: int = 75) -> DataFrame:
     sets = texts.mapInArrow(_sets, "doc_id long, content binary, shingles array<long>, half binary")
     sets = sets.join(members.select("doc_id", "content"), ["doc_id", "content"], "left_semi")
     sets = stored(sets.dropDuplicates(["doc_id", "content"]).drop("content"), "near-sets")
+    release(docs.sparkSession)
 
     def sifted(pairs: DataFrame) -> DataFrame:
         both = pairs.join(_side(members, "a"), "a").join(_side(members, "b"), "b")
@@ -232,6 +233,7 @@ def link(docs: DataFrame, percent: int = 75) -> DataFrame:
 
     tested = stored(buckets.where("doc_id <> hub").select(*_pair("doc_id", "hub")).distinct(), "near-tested")
     edges = stored(linked(sifted(tested)), "near-links")
+    release(docs.sparkSession)
     comps = stored(components(edges, "near-stars"), "near-comps")
 
     mixed = stored(_mixed(buckets, comps), "near-mixed")
@@ -242,9 +244,16 @@ def link(docs: DataFrame, percent: int = 75) -> DataFrame:
         .distinct()
         .join(tested, ["a", "b"], "left_anti")
     )
-    stars = lambda: comps.select(F.col("id").alias("a"), F.col("comp").alias("b"))  # noqa: E731  # links found so far, in fewer rounds
-    edges = stored(stars().unionByName(linked(sifted(stored(again, "near-again")))), "near-links")
-    comps = stored(components(edges, "near-stars"), "near-comps")
+
+    def grown(more: DataFrame) -> DataFrame:
+        """The components with these links too, from those found so far in fewer rounds; without any they stay as they are."""
+        if more.isEmpty():
+            return comps
+        return components(comps.select(F.col("id").alias("a"), F.col("comp").alias("b")).unionByName(more), "near-stars")
+
+    more = stored(linked(sifted(stored(again, "near-again"))), "near-links")
+    release(docs.sparkSession)
+    comps = stored(grown(more), "near-comps")
 
     rest = (
         _mixed(mixed, comps)
@@ -260,8 +269,7 @@ def link(docs: DataFrame, percent: int = 75) -> DataFrame:
     )
     size = lambda side: members.select(F.col("doc_id").alias(side), F.col("n_shingles").alias(f"n_{side}"))
     rest = stored(rest, "near-rest").join(size("a"), "a").join(size("b"), "b")
-    edges = stored(stars().unionByName(linked(rest)), "near-links")
-    comps = components(edges, "near-stars").withColumnRenamed("id", "root")
+    comps = grown(stored(linked(rest), "near-links")).withColumnRenamed("id", "root")
     return (
         signs.select("doc_id", "n_shingles", "content")
         .join(first, "content", "left")

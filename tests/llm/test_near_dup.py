@@ -3,7 +3,10 @@ import re
 
 import numpy as np
 
-from orderweir.llm import near_dup
+from pyspark.sql import functions as F
+
+from orderweir.llm import common, near_dup
+from orderweir.session import stored
 from tests_llm_help import none, odd, prose  # noqa: F401
 
 
@@ -114,3 +117,23 @@ def test_components_shuffle_little_per_round(spark, monkeypatch):
     used = shuffles() - began - 1
     assert sorted(tuple(r) for r in found.collect()) == want
     assert used <= 1 + 4 * (len(rounds) - 1), (used, len(rounds) - 1)  # joins are broadcast here
+
+
+def test_the_driver_collects_its_garbage_after_every_round(spark):
+    """A heap left to grow until it is full kept its size: the driver came close to its limit."""
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    whole = lambda: sum(b.getCollectionCount() for b in beans if "Old" in b.getName() or "MarkSweep" in b.getName())
+    began = whole()
+    edges = spark.createDataFrame([(i, i + 1) for i in range(9)], "a long, b long")
+    assert {tuple(row) for row in common.components(edges, "collected").collect()} == {(i, 0) for i in range(10)}
+    assert whole() > began
+
+
+def test_a_stored_frame_takes_one_job(spark):
+    """Its schema is known, so that no job reads it from the files."""
+    spark.sparkContext.setJobGroup("stored-once", "")
+    again = stored(spark.range(5).withColumn("x", F.lit("a").cast("string")), "stored-once")
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("stored-once")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) == 1
+    assert sorted(map(tuple, again.collect())) == [(i, "a") for i in range(5)]
