@@ -132,6 +132,23 @@ def test_a_batch_touches_its_months_and_customers_only(spark, tmp_path, dims):
     assert (left["total_line_items"], left["distinct_products_purchased"], left["last_order_timestamp"]) == (0, 0, None)
 
 
+def test_new_orders_leave_the_files_of_their_months_as_they_are(spark, tmp_path, dims):
+    """New orders come beside those of earlier batches; the same batch once more adds nothing."""
+    job = new_job(spark, tmp_path / "r")
+    parts = [
+        frames(spark, [line(i, n, 40, "c1", "s1", 5) for n in range(2)], [head(i, 40, "c1")], [snap("c1", i + 1, i)])
+        for i in range(3)
+    ]
+    files = lambda: {f: f.stat().st_mtime_ns for f in pathlib.Path(tmp_path, "r/fact").rglob("*.parquet")}
+    for number, batch in enumerate(parts):
+        before = files()
+        job.take(number, *batch, *dims)
+        assert before.items() <= files().items()
+        same(job, parts[: number + 1], dims)
+    job.take(2, *parts[2], *dims)
+    same(job, parts, dims)
+
+
 def test_a_changed_customer_is_refreshed_on_request(spark, tmp_path, dims):
     job = new_job(spark, tmp_path / "r")
     first = frames(spark, [line(1, 0, 30, "c1", "s1", 5)], [head(1, 30, "c1")], [snap("c1", 1, 1)])
