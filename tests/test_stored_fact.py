@@ -9,6 +9,7 @@ from conftest import rows
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderweir.operators import quality
 from orderweir.plans import models, registry
 from orderweir.plans.models import Models
 from orderweir.plans.registry import QUERIES
@@ -90,3 +91,9 @@ def test_a_fact_in_parts_changes_no_result(spark, folder, monkeypatch, name):
     monkeypatch.setattr(Models, "fact_parts", lambda self, lines, of=Models.fact_parts: written.extend(of(self, lines)) or written)
     assert rows(QUERIES[name](spark, folder)) == whole
     assert len(written) == 3
+
+
+def test_equal_copies_are_read_once(spark):
+    left = spark.range(1_000).withColumn("v", F.col("id") % 5)
+    found = quality.row_differences(left, left.repartition(5), "id", buckets=16)
+    assert "Range" not in plan(found) and found.columns == ["id", "v", "surplus"] and found.count() == 0
