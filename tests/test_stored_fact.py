@@ -82,7 +82,7 @@ def test_shuffle_files_go_with_the_write(spark):
     assert kept.count() == 7 and spark.conf.get(DROP_SHUFFLES, None) == setting
 
 
-@pytest.mark.parametrize("name", ["gold_summary"])
+@pytest.mark.parametrize("name", ["gold_summary", "layer_row_counts"])
 def test_a_fact_in_parts_changes_no_result(spark, folder, monkeypatch, name):
     whole = rows(QUERIES[name](spark, folder))
     for module in (models, registry):
