@@ -9,9 +9,10 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from orderweir import session
 from orderweir.functions.calendar import calendar_between
 from orderweir.operators.latest import latest_per_key
-from orderweir.plans import bronze, gold, silver
+from orderweir.plans import bronze, gold, models, silver
 from orderweir.plans.refresh import MONTH, Refresh
 
 LINE = (
@@ -166,3 +167,25 @@ def test_reading_a_log_by_month_skips_other_folders(spark, tmp_path, dims):
     job.take(0, *frames(spark, [line(i, 0, 31 * i, "c1", "s1", 5) for i in range(6)], [], []), *dims)
     plan = job.fact().where(F.col(MONTH) == "2026-02")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(order_month" in plan or "PartitionFilters: [" in plan and "2026-02" in plan
+
+
+def test_a_batch_in_parts_leaves_nothing_but_its_tables(spark, tmp_path, dims, monkeypatch):
+    """Orders new, known and repeated are written part by part; the lines held for a batch are deleted after it."""
+    job, parts = new_job(spark, tmp_path / "r"), []
+    for start in (0, 6):  # the second batch corrects half of the first one's orders
+        parts.append(
+            frames(
+                spark, [line(i, n, 30 + 10 * i + start, f"c{i % 4}", "s1", 5 + start) for i in range(start, start + 12) for n in range(2)],
+                [head(i, 30 + 10 * i + start, f"c{i % 3}") for i in range(start, start + 12)], [snap(f"c{i}", 1 + start, i) for i in range(4)],
+            )
+        )
+    monkeypatch.setattr(models, "LINES_PER_PART", 9)
+    folders, paths = [], session.shared_dir
+    monkeypatch.setattr(session, "shared_dir", lambda *named: folders.append(paths(*named)) or folders[-1])
+    for number, batch in enumerate(parts):
+        job.take(number, *batch, *dims)
+        same(job, parts[: number + 1], dims)
+    job.take(1, *parts[1], *dims)
+    same(job, parts, dims)
+    held = [pathlib.Path(f.removeprefix("file:")) for f in folders if "/refresh-lines-" in f]
+    assert len(held) == 3 and not any(f.exists() for f in held)
